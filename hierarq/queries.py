@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hierarq.plans import detection, records, serving
+from hierarq.plans import detection, modification, records, serving
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for _module in (serving, detection, records):
+for _module in (serving, detection, modification, records):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
