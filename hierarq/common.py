@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,3 +81,25 @@ def salted_join(rows: DataFrame, lookup: DataFrame, on: list[str], spread: Colum
     a = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     b = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return a.join(b, [*on, "_salt"], how).drop("_salt")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, so that workers can import it
+    wherever they run. The driver's file server hands it out; nothing is read from a shared disk."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    root = Path(__file__).resolve().parent
+    if root.suffix == ".zip" or not root.is_dir():
+        return
+    folder = tempfile.mkdtemp(prefix="hierarq-ship-")
+    atexit.register(shutil.rmtree, folder, True)
+    target = Path(folder) / f"hierarq_{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(target))

@@ -97,17 +97,18 @@ def nodes(records: DataFrame) -> DataFrame:
 
 
 def _lone_array_fields(n: DataFrame) -> DataFrame:
-    """Fields that hold a lone object here and an array of objects elsewhere."""
-    objects = n.where("kind = 'object' AND parent_id IS NOT NULL")
-    arrays = objects.where("ordinal IS NOT NULL").select("field").distinct()
-    return objects.where("ordinal IS NULL").select("field").distinct().join(arrays, "field", "left_semi")
+    """Names of fields that hold a lone object here and an array of objects elsewhere. Names and
+    not paths: in a recursive record (replies to replies) a field has ever new paths."""
+    objects = n.where("kind = 'object' AND parent_id IS NOT NULL AND label IS NOT NULL")
+    arrays = objects.where("ordinal IS NOT NULL").select("label").distinct()
+    return objects.where("ordinal IS NULL").select("label").distinct().join(arrays, "label", "left_semi")
 
 
 def _walk(chain: Column, as_element: Column | None) -> Column:
     """struct(path, element, parent, is_element) of the object at the end of ``chain``."""
 
     def step(acc: Column, s: Column) -> Column:
-        lone = s["lone"] & (F.array_contains(as_element, s["field"]) if as_element is not None else F.lit(False))
+        lone = s["lone"] & (F.array_contains(as_element, s["label"]) if as_element is not None else F.lit(False))
         element = s["ordinal"].isNotNull() | lone
         path = F.concat(acc["path"], F.when(s["label"].isNotNull(), F.concat(F.lit("."), s["label"])).otherwise(""),
                         F.when(s["ordinal"].isNotNull(), F.concat(F.lit("["), s["ordinal"].cast("string"), F.lit("]")))
@@ -124,15 +125,15 @@ def object_paths(n: DataFrame) -> DataFrame:
     """(record_id, node_id, parent_id, field, node_path, parent_path, is_element) of every
     object: ``parent_path`` is that of the nearest enclosing array element, or ``$``."""
     fields = staged(_lone_array_fields(n), "lone-fields")
-    known = [r.field for r in fields.limit(MAX_FIELDS + 1).collect()]
+    known = [r.label for r in fields.limit(MAX_FIELDS + 1).collect()]
     objects = n.where("kind = 'object'").select("record_id", "node_id", "parent_id", "field", "chain")
     if len(known) <= MAX_FIELDS:
         objects = objects.withColumn("hits", F.array(*map(F.lit, known)).cast("array<string>"))
     else:  # too many to send along: what each object's steps meet is joined
         steps = objects.select("record_id", "node_id", F.explode(F.filter("chain", lambda s: s["lone"])).alias("s")).select(
-            "record_id", "node_id", F.col("s.field").alias("field"))
-        met = salted_join(steps, fields, ["field"], F.struct("record_id", "node_id")).groupBy("record_id", "node_id").agg(
-            F.collect_set("field").alias("hits"))
+            "record_id", "node_id", F.col("s.label").alias("label"))
+        met = salted_join(steps, fields, ["label"], F.struct("record_id", "node_id")).groupBy("record_id", "node_id").agg(
+            F.collect_set("label").alias("hits"))
         objects = objects.join(met, ["record_id", "node_id"], "left").withColumn(
             "hits", F.coalesce("hits", F.array().cast("array<string>")))
     walked = objects.withColumn("w", _walk(F.col("chain"), F.col("hits")))
