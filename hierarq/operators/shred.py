@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from hierarq.common import salted_join, staged
 
 NODES_SCHEMA = ("record_id long, node_id int, parent_id int, label string, ordinal int, kind string, scalar string, "
-                "field string, chain array<struct<label: string, ordinal: int, field: string, lone: boolean>>")
+                "field string, chain array<struct<label: string, ordinal: int, field: string, lone: boolean, element: boolean>>")
 #: Field names that may be told to every task at once; beyond, they are joined.
 MAX_FIELDS = 10_000
 
@@ -63,8 +63,8 @@ def shred(payload: str) -> list[tuple]:
         kind = "object" if isinstance(value, dict) else "array" if isinstance(value, list) else "scalar"
         chain = above
         if parent is not None and (kind == "object" or ordinal is not None):
-            chain = [*above, (label if ordinal is None or label is not None else None, ordinal, field,
-                              kind == "object" and ordinal is None)]
+            is_object = kind == "object"
+            chain = [*above, (label, ordinal, field, is_object and ordinal is None, is_object and ordinal is not None)]
         scalar = None
         if kind == "scalar" and value is not None:
             scalar = value if isinstance(value, str) else json.dumps(value)
@@ -89,7 +89,7 @@ def nodes(records: DataFrame) -> DataFrame:
         for f in frames:
             rows = [(r, *n) for r, p in zip(f.record_id, f.payload, strict=True) for n in shred(p)]
             out = pd.DataFrame(rows, columns=names)
-            out["chain"] = [None if c is None else [dict(zip(("label", "ordinal", "field", "lone"), s, strict=True)) for s in c]
+            out["chain"] = [None if c is None else [dict(zip(("label", "ordinal", "field", "lone", "element"), s, strict=True)) for s in c]
                             for c in out["chain"]]
             yield out.astype({"parent_id": "Int32", "ordinal": "Int32"})
 
@@ -109,7 +109,7 @@ def _walk(chain: Column, as_element: Column | None) -> Column:
 
     def step(acc: Column, s: Column) -> Column:
         lone = s["lone"] & (F.array_contains(as_element, s["label"]) if as_element is not None else F.lit(False))
-        element = s["ordinal"].isNotNull() | lone
+        element = s["element"] | lone
         path = F.concat(acc["path"], F.when(s["label"].isNotNull(), F.concat(F.lit("."), s["label"])).otherwise(""),
                         F.when(s["ordinal"].isNotNull(), F.concat(F.lit("["), s["ordinal"].cast("string"), F.lit("]")))
                         .when(lone, "[0]").otherwise(""))

@@ -14,7 +14,7 @@ ACCEPTED = (".pdf", ".html")
 
 
 def raw_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, modified, size, content, accepted) of the files under ``path``."""
+    """(path, modified, size, content, accepted) of the files under ``path``; empty files do not show."""
     b = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return b.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"), "content",
                     F.regexp_extract(F.lower("path"), "\\.[^.]+$", 0).isin(*ACCEPTED).alias("accepted"))
