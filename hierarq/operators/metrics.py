@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Price per thousand tokens in and out by class of model.
-PRICES = [("els-large-v1", 0.005, 0.025), ("els-large-v2", 0.005, 0.025), ("els-medium-v3", 0.003, 0.015)]
+# Price per thousand tokens in and out by class of model, a part of the model's id.
+PRICES = [("large", 0.005, 0.025), ("medium", 0.003, 0.015)]
 
 
 def once(calls: DataFrame) -> DataFrame:
@@ -23,10 +23,11 @@ def once(calls: DataFrame) -> DataFrame:
 
 def priced(calls: DataFrame, prices: list[tuple[str, float, float]] = PRICES) -> DataFrame:
     """``calls`` with cost_usd; the price list is a setting of a few rows, broadcast."""
-    p = calls.sparkSession.createDataFrame(prices, "model_id string, p_in double, p_out double")
+    p = calls.sparkSession.createDataFrame(prices, "_class string, p_in double, p_out double")
+    named = calls.withColumn("_class", F.regexp_extract("model_id", "|".join(c for c, _, _ in prices), 0))
     cost = F.coalesce(F.col("input_tokens"), F.lit(0)) / 1000 * F.coalesce("p_in", F.lit(0.0)) + F.coalesce(
         F.col("output_tokens"), F.lit(0)) / 1000 * F.coalesce("p_out", F.lit(0.0))
-    return calls.join(F.broadcast(p), "model_id", "left").withColumn("cost_usd", cost).drop("p_in", "p_out")
+    return named.join(F.broadcast(p), "_class", "left").withColumn("cost_usd", cost).drop("_class", "p_in", "p_out")
 
 
 def measured(latency: Column) -> Column:

@@ -34,11 +34,11 @@ def orphans(rows: DataFrame, key: list[str], state: DataFrame) -> DataFrame:
         wanted = wanted.where(F.col(k).isNotNull())
     keys = wanted.groupBy(*key).agg(F.min("loaded_at").alias("earliest"))
     missing = keys.join(state, key, "left_anti").select(*key, F.lit("missing").alias("why"),
-                                                        F.lit(None).cast("timestamp").alias("first_at"))
+                                                        F.lit(None).cast(state.schema["first_at"].dataType).alias("first_at"))
     known = keys.join(state, key).where(F.col("gone") | (F.col("first_at") > F.col("earliest"))).select(
-        *key, F.when(F.col("gone"), "deleted").otherwise("late").alias("why"), F.col("first_at").cast("timestamp"))
+        *key, F.when(F.col("gone"), "deleted").otherwise("late").alias("why"), "first_at")
     back = salted_join(wanted, missing.unionByName(known), key, F.col("row_key"))
-    return back.where((F.col("why") != "late") | (F.col("first_at") > F.col("loaded_at").cast("timestamp"))).select(
+    return back.where((F.col("why") != "late") | (F.col("first_at") > F.col("loaded_at"))).select(
         *[F.col(c) for c in rows.columns], F.col("why").alias("reason"))
 
 

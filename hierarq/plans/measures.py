@@ -24,8 +24,8 @@ _G = """g AS (SELECT DISTINCT test_case_id AS id, test_case_id AS seq, set_id, s
 _M = """c AS (SELECT * FROM llm_call_metrics QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY ingested_at) = 1),
     x AS (SELECT *, coalesce(input_tokens, 0) / 1000 * coalesce(pi, 0) + coalesce(output_tokens, 0) / 1000 * coalesce(po, 0) AS cost_usd,
       CASE WHEN NOT isnan(latency_ms) AND latency_ms >= 0 THEN latency_ms END AS ms
-      FROM c LEFT JOIN (VALUES ('els-large-v1', 0.005::DOUBLE, 0.025::DOUBLE), ('els-large-v2', 0.005, 0.025), ('els-medium-v3', 0.003, 0.015))
-      t(model_id, pi, po) USING (model_id))"""
+      FROM c LEFT JOIN (VALUES ('large', 0.005::DOUBLE, 0.025::DOUBLE), ('medium', 0.003, 0.015)) t(kind, pi, po)
+      ON t.kind = regexp_extract(c.model_id, 'large|medium'))"""
 
 
 def _golden(s: SparkSession, d: str) -> DataFrame:
