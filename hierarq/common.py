@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 #: Blank characters that people and scanners leave around codes: white space,
 #: no-break spaces, zero-width characters and the byte order mark.
-BLANKS = r"[\s  -‍ ⁠　﻿]"
+BLANKS = r"[\s\u00a0\u2000-\u200d\u202f\u2060\u3000\ufeff]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
