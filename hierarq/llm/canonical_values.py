@@ -114,7 +114,7 @@ _LONG_UNITS = [w for w in MONTH_WORDS + YEAR_WORDS if len(w) >= 5]
 def plain(text: str) -> str:
     """Lower case without accents, fractions as ``+1/2``, one kind of dash, single blanks."""
     t = text.replace("½", " 1/2 ").replace("⁄", "/")
-    t = unicodedata.normalize("NFKD", t.replace(" ", " ").lower())
+    t = unicodedata.normalize("NFKD", t.replace("\u00a0", " ").lower())
     t = "".join(c for c in t if not unicodedata.combining(c))
     t = re.sub(r"[‐-―−~]", "-", t)
     t = re.sub(r"\b(\d+)\s+(\d)\s*/\s*(\d+)(?!\d)", lambda m: str(float(Fraction(int(m[2]), int(m[3]) or 1) + int(m[1]))), t)
@@ -323,7 +323,7 @@ def map_to_bands(rows: DataFrame, bands: DataFrame, value: str = "age_band") ->
 
     ``rows`` has table_name, row_id and ``value``. The reference list is read in shards of
     bounded size; up to ``MAX_BROADCAST`` forms it is one shard."""
-    df = rows.where(F.regexp_replace(F.coalesce(F.col(value), F.lit("")), r"[\s ]+", "") != "").select(
+    df = rows.where(F.regexp_replace(F.coalesce(F.col(value), F.lit("")), r"[\s\u00a0]+", "") != "").select(
         "table_name", "row_id", value)
     listed = band_forms([(r[0], r[1], r[2], r[3]) for r in
                          bands.select("band_id", "label", "low_months", "high_months").toLocalIterator()])

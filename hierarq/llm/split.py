@@ -58,7 +58,7 @@ BOUNDARIES = [
 ]
 HARD_PENALTY = 6.0
 #: Code points that continue the one before: marks, joiners, variation selectors, skin tones.
-_CONTINUES = re.compile("[̀-ͯ᪰-᫿⃐-⃿︀-️‍\U0001f3fb-\U0001f3ff]")
+_CONTINUES = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u20d0-\u20ff\ufe00-\ufe0f\u200d\U0001f3fb-\U0001f3ff]")
 
 
 def boundaries(text: str, limits: SplitLimits) -> tuple[np.ndarray, np.ndarray]:
