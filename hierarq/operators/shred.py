@@ -9,7 +9,8 @@ Defined results: payloads that do not parse or hold no object or array give no n
 null payloads and null record ids; copies of a record count once (the earliest
 ``received_at``); of a repeated field the last value counts; a JSON object written as a
 string counts as that object; a lone object in a field that elsewhere holds an array of
-objects counts as its element 0; null elements keep their index; records nested
+objects counts as its element 0; null elements keep their index; the control characters
+U+001E and U+001F in field names are blanks in paths; records nested
 deeper than the parser's stack do not parse; empty tables give empty tables.
 """
 
@@ -18,16 +19,22 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hierarq.common import salted_join, staged
 
 NODES_SCHEMA = ("record_id long, node_id int, parent_id int, label string, ordinal int, kind string, scalar string, "
-                "field string, chain array<struct<label: string, ordinal: int, field: string, lone: boolean, element: boolean>>")
+                "field string, chain string")
+#: In a chain, steps end with STEP; a step is its mark (``e`` an object in an array, ``l`` a lone
+#: object, ``a`` an array in an array), its ordinal, MARK, and its label.
+STEP, MARK = "\x1e", "\x1f"
+_NO_CONTROL = str.maketrans(STEP + MARK, "  ")
 #: Field names that may be told to every task at once; beyond, they are joined.
 MAX_FIELDS = 10_000
+#: Records whose nodes are handed on together.
+PARSED_AT_ONCE = 1_000
 
 
 def _parse(text: str) -> object:
@@ -56,15 +63,16 @@ def shred(payload: str) -> list[tuple]:
     if not isinstance(root, (dict, list)):
         return []
     out: list[tuple] = []
-    stack: list[tuple] = [(root, None, None, None, "$", [])]
+    stack: list[tuple] = [(root, None, None, None, "$", "")]
     while stack:
         value, parent, label, ordinal, field, above = stack.pop()
         node = len(out)
         kind = "object" if isinstance(value, dict) else "array" if isinstance(value, list) else "scalar"
         chain = above
         if parent is not None and (kind == "object" or ordinal is not None):
-            is_object = kind == "object"
-            chain = [*above, (label, ordinal, field, is_object and ordinal is None, is_object and ordinal is not None)]
+            mark = ("l" if ordinal is None else "e") if kind == "object" else "a"
+            name = "" if label is None else MARK + label.translate(_NO_CONTROL)
+            chain = f"{above}{mark}{'' if ordinal is None else ordinal}{name}{STEP}"
         scalar = None
         if kind == "scalar" and value is not None:
             scalar = value if isinstance(value, str) else json.dumps(value)
@@ -84,16 +92,20 @@ def nodes(records: DataFrame) -> DataFrame:
     one = records.where("record_id IS NOT NULL AND payload IS NOT NULL").groupBy("record_id").agg(
         F.min(F.struct("received_at", "payload")).alias("r")).select("record_id", F.col("r.payload").alias("payload"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["record_id", "node_id", "parent_id", "label", "ordinal", "kind", "scalar", "field", "chain"]
-        for f in frames:
-            rows = [(r, *n) for r, p in zip(f.record_id, f.payload, strict=True) for n in shred(p)]
-            out = pd.DataFrame(rows, columns=names)
-            out["chain"] = [None if c is None else [dict(zip(("label", "ordinal", "field", "lone", "element"), s, strict=True)) for s in c]
-                            for c in out["chain"]]
-            yield out.astype({"parent_id": "Int32", "ordinal": "Int32"})
+    names = [x.split()[0] for x in NODES_SCHEMA.split(", ")]
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    types = [kinds[x.split()[1]] for x in NODES_SCHEMA.split(", ")]
 
-    return staged(one.mapInPandas(run, NODES_SCHEMA), "nodes")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, payloads = (c.to_pylist() for c in batch.columns)
+            for at in range(0, len(ids), PARSED_AT_ONCE):
+                rows = [(r, *n) for r, p in zip(ids[at : at + PARSED_AT_ONCE], payloads[at : at + PARSED_AT_ONCE], strict=True)
+                        for n in shred(p)]
+                cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
+
+    return staged(one.mapInArrow(run, NODES_SCHEMA), "nodes")
 
 
 def _lone_array_fields(n: DataFrame) -> DataFrame:
@@ -108,17 +120,20 @@ def _walk(chain: Column, as_element: Column | None) -> Column:
     """struct(path, element, parent, is_element) of the object at the end of ``chain``."""
 
     def step(acc: Column, s: Column) -> Column:
-        lone = s["lone"] & (F.array_contains(as_element, s["label"]) if as_element is not None else F.lit(False))
-        element = s["element"] | lone
-        path = F.concat(acc["path"], F.when(s["label"].isNotNull(), F.concat(F.lit("."), s["label"])).otherwise(""),
-                        F.when(s["ordinal"].isNotNull(), F.concat(F.lit("["), s["ordinal"].cast("string"), F.lit("]")))
-                        .when(lone, "[0]").otherwise(""))
+        label = F.substring_index(s, MARK, -1)
+        named = F.instr(s, MARK) > 0
+        ordinal = F.substring_index(F.substring(s, 2, 12), MARK, 1)
+        lone = s.startswith("l") & (F.array_contains(as_element, label) if as_element is not None else F.lit(False))
+        element = s.startswith("e") | lone
+        path = F.concat(acc["path"], F.when(named, F.concat(F.lit("."), label)).otherwise(""),
+                        F.when(~s.startswith("l"), F.concat(F.lit("["), ordinal, F.lit("]"))).when(lone, "[0]").otherwise(""))
         return F.struct(path.alias("path"), F.when(element, path).otherwise(acc["element"]).alias("element"),
                         F.when(element, acc["element"]).otherwise(acc["parent"]).alias("parent"),
                         F.coalesce(element, F.lit(False)).alias("is_element"))
 
     start = F.struct(F.lit("$").alias("path"), F.lit("$").alias("element"), F.lit("$").alias("parent"), F.lit(False).alias("is_element"))
-    return F.aggregate(chain, start, step)
+    steps = F.filter(F.split(chain, STEP), lambda x: x != "")
+    return F.aggregate(steps, start, step)
 
 
 def object_paths(n: DataFrame) -> DataFrame:
@@ -130,8 +145,9 @@ def object_paths(n: DataFrame) -> DataFrame:
     if len(known) <= MAX_FIELDS:
         objects = objects.withColumn("hits", F.array(*map(F.lit, known)).cast("array<string>"))
     else:  # too many to send along: what each object's steps meet is joined
-        steps = objects.select("record_id", "node_id", F.explode(F.filter("chain", lambda s: s["lone"])).alias("s")).select(
-            "record_id", "node_id", F.col("s.label").alias("label"))
+        lone = F.filter(F.split("chain", STEP), lambda x: x.startswith("l"))
+        steps = objects.select("record_id", "node_id", F.explode(lone).alias("s")).select(
+            "record_id", "node_id", F.substring_index("s", MARK, -1).alias("label"))
         met = salted_join(steps, fields, ["label"], F.struct("record_id", "node_id")).groupBy("record_id", "node_id").agg(
             F.collect_set("label").alias("hits"))
         objects = objects.join(met, ["record_id", "node_id"], "left").withColumn(
