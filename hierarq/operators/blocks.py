@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hierarq.functions.text import tokens_of
+from hierarq.operators.ordered import numbered, sum_before
 
 CHUNK_TOKENS, OVERLAP_TOKENS, SAMPLE_TOKENS = 2000, 500, 6000
 
@@ -83,14 +84,10 @@ def missing_results(expected: DataFrame, results: DataFrame, keys: list[str]) ->
 
 def strided_sample(blocks: DataFrame, doc: str = "document_s3_key", target: int = SAMPLE_TOKENS) -> DataFrame:
     """Every stride-th block of a document from the start until the target is reached; the stride is
-    the document's tokens by the target, at least 1. Positions count from 0 without gaps.
-
-    Running sums go by document, over narrow columns that Spark sorts and spills; text is
-    not carried along."""
+    the document's tokens by the target, at least 1. Positions count from 0 without gaps."""
     rows = blocks.select(doc, "pos", "block_id", tokens_of(F.col("text")).alias("tok"))
     total = rows.groupBy(doc).agg(F.greatest(F.lit(1), F.floor(F.sum("tok") / target)).alias("stride"))
-    own = Window.partitionBy(doc).orderBy("pos", "block_id")
-    numbered = rows.withColumn("n", F.row_number().over(own) - 1).join(total, doc)
-    taken = numbered.where(F.col("n") % F.col("stride") == 0)
-    before = F.coalesce(F.sum("tok").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return taken.withColumn("before", before).where(F.col("before") < target).select(doc, "pos", "block_id", "tok")
+    order = [F.col("pos"), F.col("block_id")]
+    placed = numbered(rows, [doc], order, "n").join(total, doc)
+    taken = placed.where((F.col("n") - 1) % F.col("stride") == 0).select(doc, "pos", "block_id", "tok")
+    return sum_before(taken, [doc], order, "tok").where(F.col("before") < target).select(doc, "pos", "block_id", "tok")

@@ -6,10 +6,11 @@ partitioning. Choices by key combine map-side (min_by), so no key's rows are col
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hierarq.functions.text import has_camel_case, squeezed, without_age_prefix
+from hierarq.operators.ordered import filled_forward
 
 
 def first_wins(df: DataFrame, key: list[str], order: list[str], keep: str = "first") -> DataFrame:
@@ -68,11 +69,6 @@ def route_by_prefix(elements: DataFrame, domains: DataFrame, scope: list[str], c
 
 
 def filled_domain(elements: DataFrame, scope: list[str], order: list[str]) -> DataFrame:
-    """The code of the most recent domain element in document order (at first, the first one).
-
-    The window runs per document over narrow columns (sorted and spilled by Spark)."""
-    w = Window.partitionBy(*scope).orderBy(*order)
-    own = F.when(F.col("level") == "domain", F.col("code"))
-    last = F.last(own, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    first = F.first(own, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return elements.withColumn("current_domain", F.coalesce(last, first))
+    """The code of the most recent domain element in document order (at first, the first one)."""
+    own = elements.withColumn("_own_code", F.when(F.col("level") == "domain", F.col("code")))
+    return filled_forward(own, scope, [F.col(c) for c in order], "_own_code", "current_domain").drop("_own_code")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hierarq.common import table
 from hierarq.functions import text
-from hierarq.operators import blocks, detect, merge
+from hierarq.operators import blocks, detect, merge, ordered
 from hierarq.operators.serve import first_delivery
 from hierarq.plans.registry import Registry
 
@@ -45,8 +45,7 @@ def s6_parsed_blocks(s: SparkSession, d: str) -> DataFrame:
 def o1_reading_order(s: SparkSession, d: str) -> DataFrame:
     b = first_delivery(table(s, d, "text_blocks").select("block_id", "document_s3_key", "page_number", "geometry", "pos",
                                                          "extracted_at"), "block_id", "extracted_at")
-    w = Window.partitionBy("document_s3_key").orderBy(*blocks.reading_order(b))
-    return b.select("block_id", "document_s3_key", F.row_number().over(w).alias("place"))
+    return ordered.numbered(b, ["document_s3_key"], blocks.reading_order(b)).select("block_id", "document_s3_key", "place")
 
 
 @R.add("a4_token_sums", f"""
@@ -73,8 +72,8 @@ def w2_manifest(s: SparkSession, d: str) -> DataFrame:
     WITH {_E}, k AS (SELECT *, row_number() OVER (PARTITION BY document_s3_key ORDER BY code, element_id) AS n FROM e WHERE level = 'domain')
     SELECT document_s3_key, ((n - 1) // 3)::INT AS batch_index, count(*) AS domains FROM k GROUP BY ALL""")
 def w2_fixed_groups(s: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("document_s3_key").orderBy("code", "element_id")
-    k = _elements(s, d).where("level = 'domain'").withColumn("n", F.row_number().over(w))
+    own = _elements(s, d).where("level = 'domain'").select("document_s3_key", "code", "element_id")
+    k = ordered.numbered(own, ["document_s3_key"], [F.col("code"), F.col("element_id")], "n")
     return k.groupBy("document_s3_key", F.floor((F.col("n") - 1) / 3).cast("int").alias("batch_index")).agg(F.count("*").alias("domains"))
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hierarq.common import table
 from hierarq.operators import evaluate, metrics
+from hierarq.operators.ordered import previous
 from hierarq.operators.serve import first_delivery
 from hierarq.plans.registry import Registry
 
@@ -288,8 +289,9 @@ def a26_persisted(s: SparkSession, d: str) -> DataFrame:
     WHERE run_id IS NOT NULL""")
 def w7_previous_stage(s: SparkSession, d: str) -> DataFrame:
     c = metrics.once(table(s, d, "llm_call_metrics")).where("run_id IS NOT NULL")
-    w = Window.partitionBy("run_id", "batch_index").orderBy("called_at", "call_id")
-    return c.select("call_id", F.lag("stage").over(w).alias("previous_stage"))
+    narrow = c.select("call_id", "run_id", "batch_index", "called_at", "stage")
+    return previous(narrow, ["run_id", "batch_index"], [F.col("called_at"), F.col("call_id")], "stage", "previous_stage").select(
+        "call_id", "previous_stage")
 
 
 QUERIES, SQL = R.queries, R.sql

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hierarq.common import current_version, table
 from hierarq.operators import serve
+from hierarq.operators.ordered import numbered
 from hierarq.operators.serve import first_delivery, live
 from hierarq.plans.registry import CURRENT, Registry
 
@@ -74,8 +75,7 @@ def a6_age_bands_of_state(s: SparkSession, d: str) -> DataFrame:
 def p17_documents(s: SparkSession, d: str) -> DataFrame:
     """The documents of a country and state in their order."""
     got = serve.where_all(_docs(s, d), country="US", state="TX", age_band=None)
-    place = F.row_number().over(Window.partitionBy("country", "state").orderBy("title", "id"))
-    return got.select("id", "country", "state", "title", "version_year", place.alias("place"))
+    return numbered(got.select("id", "country", "state", "title", "version_year"), ["country", "state"], [F.col("title"), F.col("id")])
 
 
 @R.add("j4_j6_live_nodes", f"""
@@ -115,10 +115,9 @@ def hierarchy_flat(s: SparkSession, d: str) -> DataFrame:
     """The hierarchy of every document, flat, in display order."""
     docs = _docs(s, d).select(F.col("id").alias("document_id"), "title")
     rows = serve.hierarchy_rows(docs, *_chain(s, d))
-    order = Window.partitionBy("document_id").orderBy(
-        F.coalesce("display_order", F.lit(serve.NO_ORDER)), "domain_code", "domain_id", "strand_code", "strand_id",
-        "sub_strand_code", "sub_strand_id")
-    return rows.select("document_id", "title", "domain_code", "strand_code", "sub_strand_id", F.row_number().over(order).alias("place"))
+    order = [F.coalesce("display_order", F.lit(serve.NO_ORDER)), *map(F.col, (
+        "domain_code", "domain_id", "strand_code", "strand_id", "sub_strand_code", "sub_strand_id"))]
+    return numbered(rows, ["document_id"], order).select("document_id", "title", "domain_code", "strand_code", "sub_strand_id", "place")
 
 
 @R.add("hierarchy_nested")
@@ -237,11 +236,10 @@ def p26_visible_nodes(s: SparkSession, d: str) -> DataFrame:
 def o9_sorted_nodes(s: SparkSession, d: str) -> DataFrame:
     """Sort by code, descending; a custom order set in a document goes first."""
     dom = live(table(s, d, "domains"))
-    own = Window.partitionBy("document_id")
-    ordered = F.max(F.col("display_order").isNotNull()).over(own)
+    custom = dom.groupBy("document_id").agg(F.max(F.col("display_order").isNotNull()).alias("ordered"))
     rank = F.when(F.col("ordered"), F.coalesce("display_order", F.lit(serve.NO_ORDER))).otherwise(0)
-    return dom.withColumn("ordered", ordered).select("id", "document_id", F.row_number().over(
-        own.orderBy(rank, F.desc("code"), "id")).alias("place"))
+    rows = dom.select("id", "document_id", "display_order", "code").join(custom, "document_id")
+    return numbered(rows, ["document_id"], [rank, (F.col("code"), "desc"), F.col("id")]).select("id", "document_id", "place")
 
 
 @R.add("a15_grouped_documents", f"""

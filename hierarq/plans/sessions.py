@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hierarq.common import shared_dir, table
 from hierarq.functions import text
+from hierarq.operators.ordered import numbered
 from hierarq.operators.serve import first_delivery
 from hierarq.plans.registry import CURRENT, Registry
 from hierarq.sources import objects, providers
@@ -67,16 +68,16 @@ def t8_stream_fold(s: SparkSession, d: str) -> DataFrame:
 @R.add("w8_without_last_two", """
     SELECT event_id, user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) > 2""")
 def w8_without_last_two(s: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id"))
-    return table(s, d, "events").select("event_id", "user_id", F.row_number().over(w).alias("n")).where("n > 2").drop("n")
+    e = table(s, d, "events").select("event_id", "user_id", "ts")
+    return numbered(e, ["user_id"], [(F.col("ts"), "desc"), (F.col("event_id"), "desc")], "n").where("n > 2").select("event_id", "user_id")
 
 
 @R.add("w9_new_since", """
     SELECT event_id, user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) > 50""")
 def w9_new_since(s: SparkSession, d: str) -> DataFrame:
     """Events after the last offset a session was told of (50 here)."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return table(s, d, "events").select("event_id", "user_id", F.row_number().over(w).alias("n")).where("n > 50").drop("n")
+    e = table(s, d, "events").select("event_id", "user_id", "ts")
+    return numbered(e, ["user_id"], [F.col("ts"), F.col("event_id")], "n").where("n > 50").select("event_id", "user_id")
 
 
 @R.add("p30_visible_messages", """
@@ -121,8 +122,8 @@ def plan_activities(s: SparkSession, d: str) -> DataFrame:
 @R.add("o8_latest_orders", """
     SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS place FROM orders""")
 def o8_latest_orders(s: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), "o_orderkey")
-    return table(s, d, "orders").select("o_custkey", "o_orderkey", F.row_number().over(w).alias("place"))
+    o = table(s, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return numbered(o, ["o_custkey"], [(F.col("o_orderdate"), "desc"), F.col("o_orderkey")]).select("o_custkey", "o_orderkey", "place")
 
 
 @R.add("scalar_functions", """

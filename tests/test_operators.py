@@ -117,3 +117,26 @@ def test_standard_ids(spark) -> None:  # noqa: ANN001
     df = spark.createDataFrame([("US", "CA", 2020, "D", "I", ""), ("US", "CA", 2020, "D", "I", "PK3")], "c string, s string, y int, d string, i string, a string")
     got = [r[0] for r in df.select(text.standard_id(*[F.col(c) for c in "csydia"])).collect()]
     assert got == ["US-CA-2020-D-I", "US-CA-2020-D-I-PK3"]
+
+
+def test_positions_sums_and_fills_over_ranges(spark) -> None:  # noqa: ANN001
+    from pyspark.sql import Window
+
+    from hierarq.operators import ordered
+
+    df = spark.range(400).select(F.when(F.col("id") % 5 > 0, F.lit("hot")).when(F.col("id") % 10 == 0, F.lit("b")).alias("k"),
+                                 F.expr("hash(id) % 50").alias("o"), "id", F.expr("CASE WHEN id % 17 = 0 THEN id END").alias("v"))
+    order = [F.col("o"), F.col("id")]
+    w = Window.partitionBy("k").orderBy("o", "id")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    want = {r.id: (r.a, r.b, r.c, r.d, r.e) for r in df.select(
+        "id", F.row_number().over(w).alias("a"), F.coalesce(F.sum("id").over(before), F.lit(0)).alias("b"),
+        F.coalesce(F.last("v", True).over(w), F.first("v", True).over(whole)).alias("c"), F.lag("id").over(w).alias("d"),
+        F.row_number().over(Window.partitionBy("k").orderBy(F.desc("o"), "id")).alias("e")).collect()}
+    got = [{r.id: r[-1] for r in x.select("id", n).collect()} for n, x in (
+        ("a", ordered.numbered(df, ["k"], order, "a")), ("b", ordered.sum_before(df, ["k"], order, "id", "b")),
+        ("c", ordered.filled_forward(df, ["k"], order, "v", "c")), ("d", ordered.previous(df, ["k"], order, "id", "d")),
+        ("e", ordered.numbered(df, ["k"], [(F.col("o"), "desc"), F.col("id")], "e")))]
+    assert {i: tuple(g[i] for g in got) for i in want} == want
+    assert ordered.numbered(df.limit(0), ["k"], order).count() == 0
