@@ -6,89 +6,94 @@ a payload that does not parse or holds no object gets one error on ``$``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _REQUIRED = ["country", "state", "document", "standard", "metadata"]
 
 
-def _type(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
-
-def _at(v: Column, path: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(v, path, kind)
-
-
-def _error(cond: Column, path: str, kind: str) -> Column:
-    return F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(path).alias("field_path"), F.lit(kind).alias("error_type")))
-
-
-def _is_text(v: Column, path: str) -> Column:
-    """The value is a string with something in it."""
-    return F.coalesce((_type(_at(v, path)) == "STRING") & (F.length(_at(v, path, "string")) > 0), F.lit(False))
+def record_errors(payload: str | None) -> list[tuple[str, str]]:
+    """(field_path, error_type) of every rule a payload breaks, each once."""
+    try:
+        r = json.loads(payload) if payload is not None else None
+    except (ValueError, RecursionError):
+        r = None
+    if not isinstance(r, dict):
+        return [("$", "invalid_type")]
+    out: dict[tuple[str, str], None] = {}
 
+    def wrong(path: str, kind: str = "invalid_type") -> None:
+        out[(path, kind)] = None
 
-def _is_object(v: Column, path: str) -> Column:
-    return F.coalesce(_type(_at(v, path)).startswith("OBJECT"), F.lit(False))
+    def texts(parent: dict, path: str, names: tuple[str, ...]) -> None:
+        for n in names:
+            if n not in parent:
+                wrong(f"{path}.{n}", "missing_field")
+            elif not isinstance(parent[n], str) or not parent[n]:
+                wrong(f"{path}.{n}")
 
-
-def _text_rules(v: Column, parent: str, names: list[str]) -> list[Column]:
-    out = []
-    inside = _is_object(v, parent)
-    for n in names:
-        p = f"{parent}.{n}"
-        absent = _at(v, p).isNull()
-        out += [_error(inside & absent, p[2:], "missing_field"), _error(inside & ~absent & ~_is_text(v, p), p[2:], "invalid_type")]
-    return out
-
-
-def validation_errors(payload: Column) -> Column:
-    """array<struct<field_path, error_type>> of every rule a payload breaks."""
-    v = F.try_parse_json(payload)
-    root = F.coalesce(_type(v).startswith("OBJECT"), F.lit(False))
-    rules = []
     for n in _REQUIRED:
-        p = f"$.{n}"
-        absent = _at(v, p).isNull()
-        kind = _type(_at(v, p))
-        empty = kind.isin("VOID", "OBJECT<>") | ((kind == "STRING") & (_at(v, p, "string") == ""))
-        rules += [_error(root & absent, n, "missing_field"), _error(root & ~absent & empty, n, "invalid_type")]
-    country, state = _at(v, "$.country", "string"), "$.state"
-    given = root & _at(v, "$.country").isNotNull() & (_type(_at(v, "$.country")) != "VOID")
-    two = (_type(_at(v, "$.country")) == "STRING") & (F.length(country) == 2)
-    rules += [_error(given & ~two, "country", "invalid_type"), _error(given & two & ~country.rlike("^[A-Z]{2}$"), "country", "format")]
-    rules.append(_error(root & _at(v, state).isNotNull() & ~_is_text(v, state), "state", "invalid_type"))
+        if n not in r:
+            wrong(n, "missing_field")
+        elif r[n] is None or r[n] in ("", {}):
+            wrong(n)
+    country, state = r.get("country"), r.get("state")
+    if country is not None:
+        if not isinstance(country, str) or len(country) != 2:
+            wrong("country")
+        elif not re.fullmatch("[A-Z]{2}", country):
+            wrong("country", "format")
+    if "state" in r and (not isinstance(state, str) or not state):
+        wrong("state")
+    document, standard = r.get("document"), r.get("standard")
     for n in ("document", "standard", "metadata"):
-        kind = _type(_at(v, f"$.{n}"))
-        rules.append(_error(root & _at(v, f"$.{n}").isNotNull() & (kind != "VOID") & ~kind.startswith("OBJECT"), n, "invalid_type"))
-    rules += _text_rules(v, "$.document", ["title", "source_url", "age_band", "publishing_agency"])
-    year = _at(v, "$.document.version_year")
-    doc = _is_object(v, "$.document")
-    rules += [_error(doc & year.isNull(), "document.version_year", "missing_field"),
-              _error(doc & year.isNotNull() & (_type(year) != "BIGINT"), "document.version_year", "invalid_type")]
-    rules += _text_rules(v, "$.standard", ["standard_id"])
-    std = _is_object(v, "$.standard")
-    for n, needed in (("domain", True), ("indicator", True), ("strand", False), ("sub_strand", False)):
-        p = f"$.standard.{n}"
-        kind = _type(_at(v, p))
-        if needed:
-            rules.append(_error(std & _at(v, p).isNull(), p[2:], "missing_field"))
-        rules.append(_error(std & _at(v, p).isNotNull() & ~kind.startswith("OBJECT") & ((kind != "VOID") | F.lit(needed)),
-                            p[2:], "invalid_type"))
-        rules += _text_rules(v, p, ["code"] if n == "indicator" else ["code", "name"])
-    for n in ("description", "name"):
-        p = f"$.standard.indicator.{n}"
-        kind = _type(_at(v, p))
-        rules.append(_error(_at(v, p).isNotNull() & ~kind.isin("STRING", "VOID"), p[2:], "invalid_type"))
-    found = F.array_distinct(F.array_compact(F.array(*rules)))
-    lost = F.array(F.struct(F.lit("$").alias("field_path"), F.lit("invalid_type").alias("error_type")))
-    return F.when(root, found).otherwise(lost)
+        if r.get(n) is not None and not isinstance(r[n], dict):
+            wrong(n)
+    if isinstance(document, dict):
+        texts(document, "document", ("title", "source_url", "age_band", "publishing_agency"))
+        if "version_year" not in document:
+            wrong("document.version_year", "missing_field")
+        elif type(document["version_year"]) is not int:
+            wrong("document.version_year")
+    if isinstance(standard, dict):
+        texts(standard, "standard", ("standard_id",))
+        for n, needed in (("domain", True), ("indicator", True), ("strand", False), ("sub_strand", False)):
+            level = standard.get(n)
+            if isinstance(level, dict):
+                texts(level, f"standard.{n}", ("code",) if n == "indicator" else ("code", "name"))
+            elif n not in standard:
+                if needed:
+                    wrong(f"standard.{n}", "missing_field")
+            elif level is not None or needed:
+                wrong(f"standard.{n}")
+        if isinstance(standard.get("indicator"), dict):
+            for n in ("description", "name"):
+                if not isinstance(standard["indicator"].get(n), (str, type(None))):
+                    wrong(f"standard.indicator.{n}")
+    return list(out)
 
 
 def validated(records: DataFrame) -> DataFrame:
-    """``records`` with the array ``errors``; a record is valid if it is empty."""
-    return records.withColumn("errors", validation_errors(F.col("payload")))
+    """``records`` with the array ``errors``; a record is valid if it is empty.
+
+    Sixty rules on one parsed payload: as Column expressions they outgrow the code generator,
+    so they run in Arrow batches, each payload parsed once."""
+    errors = pa.list_(pa.struct([("field_path", pa.string()), ("error_type", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[{"field_path": p, "error_type": k} for p, k in record_errors(x)] for x in batch.column("payload").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, errors)], names=[*batch.schema.names, "errors"])
+
+    schema = T.StructType([*records.schema.fields, T.StructField("errors", T.ArrayType(T.StructType([
+        T.StructField("field_path", T.StringType()), T.StructField("error_type", T.StringType())])))])
+    return records.mapInArrow(run, schema)
 
 
 def not_unique(records: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
