@@ -108,7 +108,6 @@ BY_WORDS = ["by", "hacia", "al", "los"]
 _TOKEN = re.compile(r"\d+(?:\.\d+)?|y/o|[^\W\d_]+|-|/|[^\s\w]")
 _NUMBER = re.compile(r"\d+(?:\.\d+)?$")
 _UNIT_TREE = BKTree([(w, i) for i, w in enumerate(w for w in MONTH_WORDS + YEAR_WORDS if len(w) >= 5)])
-_LONG_UNITS = [w for w in MONTH_WORDS + YEAR_WORDS if len(w) >= 5]
 
 
 def plain(text: str) -> str:
