@@ -11,7 +11,9 @@ null payloads and null record ids; copies of a record count once (the earliest
 string counts as that object; a lone object in a field that elsewhere holds an array of
 objects counts as its element 0; null elements keep their index; the control characters
 U+001E and U+001F in field names are blanks in paths; records nested
-deeper than the parser's stack do not parse; empty tables give empty tables.
+deeper than the parser's stack do not parse; empty tables give empty tables. An entity is a
+path of labels in which a label that comes again leads back to its first place, so replies to
+replies are one entity; ``$`` is the root (object or array) and has no parent.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ STEP, MARK = "\x1e", "\x1f"
 _NO_CONTROL = str.maketrans(STEP + MARK, "  ")
 #: Field names that may be told to every task at once; beyond, they are joined.
 MAX_FIELDS = 10_000
+#: Labels an entity may have as columns; beyond, its scalars stand in one map.
+MAX_COLUMNS = 1_000
 #: Records whose nodes are handed on together.
 PARSED_AT_ONCE = 1_000
 
@@ -136,9 +140,19 @@ def _walk(chain: Column, as_element: Column | None) -> Column:
     return F.aggregate(steps, start, step)
 
 
+def _folded(chain: Column) -> Column:
+    """The entity of the object at the end of ``chain``."""
+    named = F.filter(F.split(chain, STEP), lambda x: F.instr(x, MARK) > 0)
+    labels = F.transform(named, lambda x: F.replace(F.substring_index(x, MARK, -1), F.lit("."), F.lit("\\.")))
+    back = lambda acc, x: F.slice(acc, 1, F.array_position(acc, x).cast("int"))
+    place = F.aggregate(labels, F.array().cast("array<string>"), lambda acc, x: F.when(
+        F.array_contains(acc, x), back(acc, x)).otherwise(F.concat(acc, F.array(x))))
+    return F.concat_ws(".", F.lit("$"), place)
+
+
 def object_paths(n: DataFrame) -> DataFrame:
-    """(record_id, node_id, parent_id, field, node_path, parent_path, is_element) of every
-    object: ``parent_path`` is that of the nearest enclosing array element, or ``$``."""
+    """(record_id, node_id, parent_id, field, entity, node_path, parent_path, is_element) of every
+    object: ``parent_path`` is that of the nearest enclosing array element, or ``$``; null for ``$``."""
     fields = staged(_lone_array_fields(n), "lone-fields")
     known = [r.label for r in fields.limit(MAX_FIELDS + 1).collect()]
     objects = n.where("kind = 'object'").select("record_id", "node_id", "parent_id", "field", "chain")
@@ -153,8 +167,9 @@ def object_paths(n: DataFrame) -> DataFrame:
         objects = objects.join(met, ["record_id", "node_id"], "left").withColumn(
             "hits", F.coalesce("hits", F.array().cast("array<string>")))
     walked = objects.withColumn("w", _walk(F.col("chain"), F.col("hits")))
-    return walked.select("record_id", "node_id", "parent_id", "field", F.col("w.path").alias("node_path"),
-                         F.when(F.col("w.is_element"), F.col("w.parent")).otherwise(F.col("w.element")).alias("parent_path"),
+    above = F.when(F.col("w.is_element"), F.col("w.parent")).otherwise(F.col("w.element"))
+    return walked.select("record_id", "node_id", "parent_id", "field", _folded(F.col("chain")).alias("entity"),
+                         F.col("w.path").alias("node_path"), F.when(F.col("parent_id").isNotNull(), above).alias("parent_path"),
                          F.col("w.is_element").alias("is_element"))
 
 
@@ -163,13 +178,50 @@ def array_elements(records: DataFrame) -> DataFrame:
     return object_paths(nodes(records)).where("is_element").select("record_id", "parent_path", "node_path").distinct()
 
 
-def entity(n: DataFrame, paths: DataFrame, field: str, labels: list[str]) -> DataFrame:
-    """The flat table of the objects in ``field``: record_id, node_path (its key),
-    parent_path (its parent's key) and one column per scalar child in ``labels``."""
-    own = paths.where(F.col("field") == field).select("record_id", "node_id", "node_path", "parent_path")
-    scalars = n.where("kind = 'scalar' AND ordinal IS NULL").where(F.col("label").isin(labels)).select(
+def _keyed(n: DataFrame, paths: DataFrame) -> DataFrame:
+    """(record_id, node_id, entity, node_path, parent_path) of every object, and of roots that are arrays."""
+    lists = n.where("parent_id IS NULL AND kind = 'array'").select(
+        "record_id", "node_id", F.lit("$").alias("entity"), F.lit("$").alias("node_path"), F.lit(None).cast("string").alias("parent_path"))
+    return paths.select("record_id", "node_id", "entity", "node_path", "parent_path").unionByName(lists)
+
+
+def _scalars(n: DataFrame) -> DataFrame:
+    return n.where("kind = 'scalar' AND ordinal IS NULL AND label IS NOT NULL AND scalar IS NOT NULL").select(
         "record_id", F.col("parent_id").alias("node_id"), "label", "scalar")
-    wide = scalars.groupBy("record_id", "node_id").pivot("label", labels).agg(F.first("scalar"))
+
+
+def _as_map(scalars: DataFrame) -> DataFrame:
+    return scalars.groupBy("record_id", "node_id").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "scalar")))).alias("scalars"))
+
+
+def objects(n: DataFrame, paths: DataFrame) -> DataFrame:
+    """All entities in one table: record_id, entity, node_path, parent_path and the scalar children as a map."""
+    return _keyed(n, paths).join(_as_map(_scalars(n)), ["record_id", "node_id"], "left").drop("node_id")
+
+
+def entity(n: DataFrame, paths: DataFrame, name: str, labels: list[str] | None = None) -> DataFrame:
+    """The flat table of the objects of an entity: record_id, node_path (its key), parent_path (its
+    parent's key) and one column per scalar child in ``labels``, by default per label the data
+    have there. A label that is taken but for its case, or by a key, gets underscores."""
+    own = _keyed(n, paths).where(F.col("entity") == name).drop("entity")
+    scalars = _scalars(n)
+    if labels is None:
+        met = scalars.join(own.select("record_id", "node_id"), ["record_id", "node_id"], "left_semi").select("label").distinct()
+        labels = sorted(r.label for r in met.limit(MAX_COLUMNS + 1).collect())
+        if len(labels) > MAX_COLUMNS:
+            return own.join(_as_map(scalars), ["record_id", "node_id"], "left").drop("node_id")
+    taken = {"record_id", "node_id", "node_path", "parent_path"}
+    cells = []
+    for label in labels:
+        column = label
+        while column.lower() in taken:
+            column += "_"
+        taken.add(column.lower())
+        cells.append(F.max(F.when(F.col("label") == label, F.col("scalar"))).alias(column))
+    if not cells:
+        return own.drop("node_id")
+    wide = scalars.where(F.col("label").isin(labels)).groupBy("record_id", "node_id").agg(*cells)
     return own.join(wide, ["record_id", "node_id"], "left").drop("node_id")
 
 

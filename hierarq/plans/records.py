@@ -25,10 +25,30 @@ def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
     return shred.nodes(table(spark, d, "canonical_records")).drop("chain")
 
 
-def _entity(field: str, labels: list[str]):  # noqa: ANN202
+def p5_objects(spark: SparkSession, d: str) -> DataFrame:
+    """All entities of the data, also those without a table of their own below."""
+    n = shred.nodes(table(spark, d, "canonical_records"))
+    return shred.objects(n, shred.object_paths(n))
+
+
+#: Names of the tables of the entities of the canonical schema; their columns come from the data.
+ENTITIES = {
+    "p5_roots": "$", "p5_documents": "$.document", "p5_standards": "$.standard", "p5_domains": "$.standard.domain",
+    "p5_strands": "$.standard.strand", "p5_sub_strands": "$.standard.sub_strand", "p5_indicators": "$.standard.indicator",
+    "p5_domain_attachments": "$.standard.domain.attachments", "p5_strand_attachments": "$.standard.strand.attachments",
+    "p5_sub_strand_attachments": "$.standard.sub_strand.attachments", "p5_indicator_attachments": "$.standard.indicator.attachments",
+    "p5_metadata": "$.metadata", "p5_crosswalks": "$.metadata.crosswalks", "p5_frameworks": "$.metadata.crosswalks.framework",
+    "p5_contacts": "$.metadata.crosswalks.framework.contact", "p5_targets": "$.metadata.crosswalks.framework.targets",
+    "p5_reviews": "$.metadata.reviews", "p5_comments": "$.metadata.reviews.comments", "p5_replies": "$.metadata.reviews.comments.replies",
+    "p5_histories": "$.metadata.history", "p5_revisions": "$.metadata.history.revisions",
+    "p5_changes": "$.metadata.history.revisions.changes", "p5_evidence": "$.metadata.history.revisions.changes.evidence",
+}
+
+
+def _entity(name: str):  # noqa: ANN202
     def run(spark: SparkSession, d: str) -> DataFrame:
         n = shred.nodes(table(spark, d, "canonical_records"))
-        return shred.entity(n, shred.object_paths(n), field, labels)
+        return shred.entity(n, shred.object_paths(n), name)
 
     return run
 
@@ -56,14 +76,7 @@ def p6_descendants(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found, "p3_report": p3_report, "p5_found": p5_found, "p5_nodes": p5_nodes,
-    "p5_documents": _entity("$.document", ["title", "version_year", "source_url", "age_band", "publishing_agency"]),
-    "p5_standards": _entity("$.standard", ["standard_id"]),
-    "p5_indicators": _entity("$.standard.indicator", ["code", "name", "description"]),
-    "p5_metadata": _entity("$.metadata", ["page_number", "source_text"]),
-    "p5_reviews": _entity("$.metadata.reviews", ["id", "role", "score"]),
-    "p5_comments": _entity("$.metadata.reviews.comments", ["author", "text"]),
-    "p5_revisions": _entity("$.metadata.history.revisions", ["rev", "on"]),
-    "p5_changes": _entity("$.metadata.history.revisions.changes", ["field", "from", "to"]),
+    **{table_name: _entity(name) for table_name, name in ENTITIES.items()}, "p5_objects": p5_objects,
     "p5_lists": p5_lists, "p6_found": p6_found, "p6_paths": p6_paths, "p6_descendants": p6_descendants,
 }
 

@@ -128,6 +128,29 @@ def test_entities_keep_links(spark) -> None:  # noqa: ANN001
     assert [(r.ordinal, r.scalar) for r in shred.scalar_lists(n, paths).orderBy("ordinal").collect()] == [(0, "p"), (2, "q")]
 
 
+def test_every_object_has_a_row_and_a_parent(spark, small, monkeypatch) -> None:  # noqa: ANN001
+    from hierarq.plans import records
+
+    own = ['{"x":1,"c":[{"t":"a","r":[{"t":"b","r":[{"t":"c","T":"d","node_path":"e"}]}]}],"o":{"p":{"q":2}}}', '[{"x":3},{"c":[]}]', "1"]
+    n = shred.nodes(_records(spark, own))
+    paths = shred.object_paths(n)
+    every = {(r.record_id, r.node_path): r for r in shred.objects(n, paths).collect()}
+    assert {k: (r.entity, r.parent_path) for k, r in every.items()} == {
+        (0, "$"): ("$", None), (0, "$.c[0]"): ("$.c", "$"), (0, "$.c[0].r[0]"): ("$.c.r", "$.c[0]"),
+        (0, "$.c[0].r[0].r[0]"): ("$.c.r", "$.c[0].r[0]"), (0, "$.o"): ("$.o", "$"), (0, "$.o.p"): ("$.o.p", "$"),
+        (1, "$"): ("$", None), (1, "$[0]"): ("$", "$"), (1, "$[1]"): ("$", "$")}
+    assert every[0, "$.o.p"].scalars == {"q": "2"}
+    replies = shred.entity(n, paths, "$.c.r")
+    assert sorted(tuple(r[c] for c in ("node_path", "T", "t_", "node_path_")) for r in replies.collect()) == [
+        ("$.c[0].r[0]", None, "b", None), ("$.c[0].r[0].r[0]", "d", "c", "e")]
+    met = {r.entity for r in records.QUERIES["p5_objects"](spark, small).select("entity").distinct().collect()}
+    assert met <= set(records.ENTITIES.values()) and "$.metadata.reviews.comments.replies" in met
+    got = records.QUERIES["p5_roots"](spark, small)
+    assert {"country", "state"} <= set(got.columns) and got.where("parent_path IS NOT NULL AND parent_path <> '$'").count() == 0
+    monkeypatch.setattr(shred, "MAX_COLUMNS", 0)
+    assert [r.scalars for r in shred.entity(n, paths, "$.o.p").collect()] == [{"q": "2"}]
+
+
 def test_many_field_names_are_joined(spark, monkeypatch) -> None:  # noqa: ANN001
     data = _records(spark, ['{"a":[{"b":{"x":1}}]}', '{"a":{"b":[{"x":2}]}}'])
     want = {tuple(r) for r in shred.array_elements(data).collect()}
