@@ -110,13 +110,27 @@ def _plans(s: SparkSession, d: str) -> DataFrame:
                                                        "activities")))).alias("content"))
 
 
+def flattened(plans: DataFrame, owner: int | None = None) -> DataFrame:
+    """(user_id, plan_id, label, activity) of the plans, or of one owner's (P20)."""
+    mine = plans if owner is None else plans.where(F.col("user_id") == owner)
+    p = mine.select("user_id", "plan_id", F.explode(F.from_json("content", _PLAN)).alias("x"))
+    return p.select("user_id", "plan_id", F.col("x.label").alias("label"), F.explode("x.activities").alias("activity"))
+
+
 @R.add("plan_activities", """
     SELECT o_custkey AS user_id, strftime(o_orderdate, '%Y') AS plan_id, o_orderkey::VARCHAR AS label,
       lpad(l_linenumber::VARCHAR, 2, '0') || '-' || l_returnflag AS activity FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey % 10 = 3""")
 def plan_activities(s: SparkSession, d: str) -> DataFrame:
-    """Plan content parsed and flattened, one owner group's plans only."""
-    p = _plans(s, d).where("user_id % 10 = 3").select("user_id", "plan_id", F.explode(F.from_json("content", _PLAN)).alias("x"))
-    return p.select("user_id", "plan_id", F.col("x.label").alias("label"), F.explode("x.activities").alias("activity"))
+    """The tenth of ``plan_activities_all`` that this query's SQL asks for."""
+    return flattened(_plans(s, d).where("user_id % 10 = 3"))
+
+
+@R.add("plan_activities_all", """
+    SELECT o_custkey AS user_id, strftime(o_orderdate, '%Y') AS plan_id, o_orderkey::VARCHAR AS label,
+      lpad(l_linenumber::VARCHAR, 2, '0') || '-' || l_returnflag AS activity FROM orders JOIN lineitem ON l_orderkey = o_orderkey""")
+def plan_activities_all(s: SparkSession, d: str) -> DataFrame:
+    """The content of all plans parsed and flattened."""
+    return flattened(_plans(s, d))
 
 
 @R.add("o8_latest_orders", """
