@@ -11,8 +11,10 @@ chains in scattered key order), its pointers are doubled by joins instead.
 Defined results: codes compare without blanks and letter case; a node given by several rows is
 one node, with the smallest of their parents if they differ; a blank, null or unknown
 parent makes a root; a node whose parent is itself is a circle of one; nodes on and below
-circles have no root, depth or path; rows without a code are left out; empty tables give
-empty tables; other columns are ignored.
+circles have no root, depth or path; nodes below a circle have descendants as in a forest
+whose roots hang on the circle, nodes on it have none counted (0), since everything on and below
+their circle is below them; rows without a code are left out; empty tables give empty tables;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -158,19 +160,36 @@ def edges(rows: DataFrame, tree: str = "set_id", code: str = "code", parent: str
                       F.lit("open").alias("status"))
 
 
+def _below(nodes: DataFrame, full: DataFrame, fragment_rows: int, fragments: int) -> DataFrame:
+    """(k, seg) of the nodes below circles: the path from the node that hangs on the circle. Links
+    into the circle lead to no node here, so each subtree is solved as a tree of its own."""
+    keys = full.where("NOT _on AND status <> 'tree'").select("k")
+    rows = staged(nodes.join(keys, "k", "left_semi"), "below")
+    n = rows.count()
+    return _solve(rows, n, 0, fragment_rows, fragments)[0].select("k", "seg") if n else rows.select("k", "seg")
+
+
 def hierarchies(rows: DataFrame, tree: str = "set_id", code: str = "code", parent: str = "parent_code",
-                fragment_rows: int = FRAGMENT_ROWS, fragments: int = FRAGMENTS) -> DataFrame:
-    """(tree, code, root, depth, path array, on_circle, below_circle) of every node; roots
-    have depth 0."""
+                fragment_rows: int = FRAGMENT_ROWS, fragments: int = FRAGMENTS, below: bool = True) -> DataFrame:
+    """(tree, code, root, depth, path array, on_circle, below_circle, below_path array) of every
+    node; roots have depth 0. ``below_path`` leads from a circle to a node below it and is there
+    only with ``below``."""
     nodes = staged(edges(rows, tree, code, parent), "forest")
     solved, members = _solve(nodes, nodes.count(), 0, fragment_rows, fragments)
     circle = members.distinct().withColumn("_on", F.lit(True))
-    full = solved.join(circle, "k", "left")
-    on = F.coalesce("_on", F.lit(False))
+    full = solved.join(circle, "k", "left").withColumn("_on", F.coalesce("_on", F.lit(False)))
+    if below:
+        full = staged(full, "solved")
+        hung = _below(nodes, full, fragment_rows, fragments).select("k", F.col("seg").alias("_below"))
+        full = full.join(hung, "k", "left")
+    else:
+        full = full.withColumn("_below", F.lit(None).cast("array<string>"))
+    on = F.col("_on")
     lost = on | (F.col("status") != "tree")
     return full.select(F.substring_index("k", _SEP, 1).alias(tree), F.substring_index("k", _SEP, -1).alias(code),
                        F.when(~lost, F.col("seg")[0]).alias("root"), F.when(~lost, F.size("seg") - 1).alias("depth"),
-                       F.when(~lost, F.col("seg")).alias("path"), on.alias("on_circle"), (lost & ~on).alias("below_circle"))
+                       F.when(~lost, F.col("seg")).alias("path"), on.alias("on_circle"), (lost & ~on).alias("below_circle"),
+                       F.col("_below").alias("below_path"))
 
 
 def circles(full: DataFrame, tree: str = "set_id", code: str = "code") -> DataFrame:
@@ -178,9 +197,10 @@ def circles(full: DataFrame, tree: str = "set_id", code: str = "code") -> DataFr
 
 
 def descendants(full: DataFrame, tree: str = "set_id", code: str = "code") -> DataFrame:
-    """(tree, code, descendant, distance) of every pair of a node and one below it."""
-    steps = full.where("path IS NOT NULL").select(tree, F.col(code).alias("descendant"), "depth", F.posexplode("path").alias(
-        "at", code))
+    """(tree, code, descendant, distance) of every pair of a node that is on no circle and one below it."""
+    line = F.coalesce("path", "below_path")
+    steps = full.where(line.isNotNull()).select(tree, F.col(code).alias("descendant"), (F.size(line) - 1).alias("depth"),
+                                                F.posexplode(line).alias("at", code))
     return steps.where("at < depth").select(tree, code, "descendant", (F.col("depth") - F.col("at")).alias("distance"))
 
 

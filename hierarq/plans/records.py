@@ -58,12 +58,12 @@ def p5_lists(spark: SparkSession, d: str) -> DataFrame:
     return shred.scalar_lists(n, shred.object_paths(n))
 
 
-def _full(spark: SparkSession, d: str) -> DataFrame:
-    return hierarchy.hierarchies(table(spark, d, "golden_elements").where(F.col("state") == "CA"))
+def _full(spark: SparkSession, d: str, below: bool = True) -> DataFrame:
+    return hierarchy.hierarchies(table(spark, d, "golden_elements").where(F.col("state") == "CA"), below=below)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return hierarchy.circles(_full(spark, d))
+    return hierarchy.circles(_full(spark, d, below=False))
 
 
 def p6_paths(spark: SparkSession, d: str) -> DataFrame:

@@ -200,6 +200,28 @@ def test_hierarchies_match_brute_force(spark, seed, rows_per_task, fragments) ->
     assert got == want
 
 
+@pytest.mark.parametrize(("rows_per_task", "fragments"), [(100_000, 4), (7, 3)])
+def test_descendants_below_circles_match_brute_force(spark, rows_per_task, fragments) -> None:  # noqa: ANN001
+    rng = random.Random(5)
+    rows = [("s", f"C{i}", f"C{(i + 1) % 3}" if i < 3 else "C9" if i == 9 else rng.choice([None, "C0", "C9", f"C{rng.randrange(i)}", f"C{i - 1}"]))
+            for i in range(60)]
+    circular = {"C0", "C1", "C2", "C9"}
+    parent = {c: p for _, c, p in rows}
+    want = set()
+    for c in parent:
+        at, distance = parent[c], 1
+        while c not in circular and at is not None and at not in circular:
+            want.add(("s", at, c, distance))
+            at, distance = parent[at], distance + 1
+    full = hierarchy.hierarchies(_tree_rows(spark, rows), fragment_rows=rows_per_task, fragments=fragments)
+    got = [tuple(r) for r in hierarchy.descendants(full).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    below = {r.code for r in full.where("below_circle").collect()}
+    assert {x for x in want if x[1] in below}
+    counts = {r.code: r.descendants for r in hierarchy.paths(full).collect()}
+    assert counts == {c: sum(x[1] == c for x in want) for c in parent}
+
+
 def test_hierarchy_edges(spark) -> None:  # noqa: ANN001
     rows = [("s", " a ", None), ("s", "b", "A"), ("s", "b", "A"), ("s", "c", "c"), ("s", "d", "C"), ("s", None, "a"), ("s", " ", "a"), ("t", "b", "a"),
             (None, "x", " ")]
