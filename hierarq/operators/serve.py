@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hierarq.common import current_version
+from hierarq.common import current_version, staged
 
 #: Stands for a display order that is not set (after all others).
 NO_ORDER = 2147483647
@@ -116,3 +123,77 @@ def top_k_cosine(vectors: DataFrame, query: list[float], k: int, column: str = "
     scored = vectors.where(F.size(column) == len(query)).withColumn("_norm", norm).where("_norm > 0").withColumn(
         "similarity", dot / (F.col("_norm") * F.lit(size))).drop("_norm")
     return scored.orderBy(F.desc("similarity"), key).limit(k)
+
+
+#: Query vectors that are sent to the tasks at once, on average.
+QUERY_BLOCK = 1_000
+#: Rows that are held against a block at once.
+ROWS_AT_ONCE = 2_000
+
+
+def _best(q: np.ndarray, sim: np.ndarray, key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` first per query by similarity, then key."""
+    order = np.lexsort((key, -sim, q))
+    q, sim, key = q[order], sim[order], key[order]
+    at = np.arange(len(q))
+    starts = np.maximum.accumulate(np.where(np.r_[True, q[1:] != q[:-1]], at, 0)) if len(q) else at
+    kept = at - starts < k
+    return q[kept], sim[kept], key[kept]
+
+
+def _widths(vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row numbers, unit vectors) for each width; vectors without length, with nulls or not finite are left out."""
+    lengths = np.nan_to_num(pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype("float64"), nan=-1)
+    for w in np.unique(lengths[lengths > 0]).astype(int):
+        rows = np.flatnonzero(lengths == w)
+        m = vectors.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, w)
+        norm = np.sqrt((m * m).sum(axis=1))
+        sound = np.isfinite(norm) & (norm > 0)
+        yield rows[sound], m[sound] / norm[sound, None]
+
+
+def top_k_cosine_of_many(vectors: DataFrame, queries: DataFrame, k: int, column: str = "embedding", key: str = "vec_id") -> DataFrame:
+    """(query_id, ``key``, similarity) of the ``k`` rows of ``vectors`` most similar to each row of
+    ``queries``, exactly: blocks of queries are broadcast one after the other, each task keeps a
+    partial top-k per query, and one merge follows. ``key`` (a long) is unique in both. Similarities
+    equal to twelve places go by ``key``; only vectors of one width compare."""
+    spark = vectors.sparkSession
+    q = staged(queries.where(F.col(key).isNotNull() & (F.size(column) > 0)).select(key, column), "queries")
+    blocks = max(1, -(-q.count() // QUERY_BLOCK))
+    rows = vectors.where(F.col(key).isNotNull() & (F.size(column) > 0)).select(key, column)
+    parts = []
+    for i in range(blocks):
+        block = q.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == i).toArrow().combine_chunks()
+        if not block.num_rows:
+            continue
+        ids, vecs = block.column(0).to_numpy(), block.column(1).chunk(0)
+        sent = spark.sparkContext.broadcast({m.shape[1]: (ids[r], m) for r, m in _widths(vecs)})
+        part = rows.mapInArrow(_partial(sent, k, key), f"query_id long, {key} long, similarity double")
+        parts.append(staged(part, f"partial-{i}"))
+        sent.unpersist()
+    if not parts:
+        return spark.createDataFrame([], f"query_id long, {key} long, similarity double")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), key))
+    merged = [p.withColumn("_place", place).where(F.col("_place") <= k).drop("_place") for p in parts]
+    return reduce(DataFrame.unionByName, merged)
+
+
+def _partial(sent: Broadcast, k: int, key: str):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = (np.empty(0, "int64"), np.empty(0), np.empty(0, "int64"))
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                keys = batch.column(0).to_numpy()
+                for r, m in _widths(batch.column(1)):
+                    ids, asked = sent.value.get(m.shape[1], (None, None))
+                    if ids is None or not len(r):
+                        continue
+                    sims = np.round(asked @ m.T, 12)
+                    least = np.partition(sims, -k, axis=1)[:, -k] if len(r) > k else np.full(len(ids), -np.inf)
+                    x, y = np.nonzero(sims >= least[:, None])
+                    best = _best(*(np.concatenate(p) for p in zip(best, (ids[x], sims[x, y], keys[r[y]]), strict=True)), k)
+        yield pa.RecordBatch.from_arrays([pa.array(best[0]), pa.array(best[2]), pa.array(best[1])],
+                                         schema=pa.schema([("query_id", pa.int64()), (key, pa.int64()), ("similarity", pa.float64())]))
+
+    return run

@@ -302,4 +302,36 @@ def p18_vector_topk_filtered(s: SparkSession, d: str) -> DataFrame:
     return got.select("vec_id", "label", "name", F.round("similarity", 4).alias("similarity"))
 
 
+def _of_many(s: SparkSession, d: str, vectors: DataFrame) -> DataFrame:
+    """The 10 of ``vectors`` most similar to each row of embeddings whose vec_id is divisible by 20."""
+    asked = table(s, d, "embeddings").where("vec_id % 20 = 0")
+    got = serve.top_k_cosine_of_many(vectors, asked, 10)
+    return got.join(vectors.drop("embedding"), "vec_id").withColumn("similarity", F.round("similarity", 4))
+
+
+_PLACE = f"row_number() OVER (PARTITION BY q.vec_id ORDER BY round({_COSINE}, 12) DESC, e.vec_id) AS place"
+
+
+@R.add("o2_vector_topk_all", f"""
+    SELECT query_id, vec_id, label, similarity FROM (
+      SELECT q.vec_id AS query_id, e.vec_id, e.label, round({_COSINE}, 4) AS similarity, {_PLACE}
+      FROM embeddings e, embeddings q WHERE q.vec_id % 20 = 0) WHERE place <= 10""")
+def o2_vector_topk_all(s: SparkSession, d: str) -> DataFrame:
+    """O2 for the whole query set, each query against all vectors."""
+    got = _of_many(s, d, table(s, d, "embeddings"))
+    return got.select("query_id", "vec_id", "label", "similarity")
+
+
+@R.add("p18_vector_topk_filtered_all", f"""
+    SELECT query_id, vec_id, label, name, similarity FROM (
+      SELECT q.vec_id AS query_id, e.vec_id, e.label, n.n_name AS name, round({_COSINE}, 4) AS similarity, {_PLACE}
+      FROM embeddings e JOIN nation n ON n.n_nationkey = e.label, embeddings q WHERE q.vec_id % 20 = 0 AND e.label IN (1, 2, 3))
+    WHERE place <= 10""")
+def p18_vector_topk_filtered_all(s: SparkSession, d: str) -> DataFrame:
+    """J1 P18 for the whole query set: filter first, then top-k per query."""
+    kept = table(s, d, "embeddings").where(F.col("label").isin(1, 2, 3)).join(
+        table(s, d, "nation").select(F.col("n_nationkey").alias("label"), F.col("n_name").alias("name")), "label")
+    return _of_many(s, d, kept).select("query_id", "vec_id", "label", "name", "similarity")
+
+
 QUERIES, SQL = R.queries, R.sql
