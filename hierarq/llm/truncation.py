@@ -1,13 +1,14 @@
 """Texts cut off by field limits or mid-transfer (problem 10).
 
-A stack automaton reads each text once: quotes and brackets open and close, and the end
+A stack automaton reads each text once: brackets and curly quotes open and close, and the end
 is judged by what is still open and by the last line. Broken multibyte sequences, cut
 entities, escapes and tags decide at once; a table row, list item, heading, signature,
 link or the like may end without a full stop; running prose may not. Ends that could be
 either (a short last line) are held against the corpus: does the same line end stand
 elsewhere as an end, or does it only go on (``Childhood`` -> ``Childhood Council``, or
-``Childh`` -> ``Childhood``)? Baselines per source (how often its texts end without a
-terminator, and lengths that pile up) settle texts that end in an ellipsis.
+``Childh`` -> ``Childhood``)? Lengths that pile up in a source settle texts that end in an
+ellipsis. Straight quotes and markup elements are not on the stack, and no share of texts
+without a terminator is computed per source.
 
 Defined results: null, empty and blank texts are no case; repeated rows of one doc_id
 count once; a null source is a source of its own; very long texts are read whole; an empty
