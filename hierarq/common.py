@@ -55,17 +55,19 @@ def code_key(c: Column) -> Column:
     return F.when(t == "", None).otherwise(t)
 
 
-def current_version(df: DataFrame, key: str = "id", at: str = "loaded_at") -> DataFrame:
+def current_version(df: DataFrame, key: str = "id", at: str = "loaded_at", columns: list[str] | None = None) -> DataFrame:
     """The version with the latest ``at`` of each ``key``; equal copies count once.
 
+    With ``columns`` the key and these come out, and only these and ``at`` are read and shuffled.
     Versions that tie on ``at`` are decided by the greatest row in column order, so
     the result never depends on partitioning. Rows with a null key are dropped. The
     aggregation combines map-side: a key with many versions costs one row per task.
     """
-    rest = [c for c in df.columns if c not in (key, at)]
+    rest = [c for c in (df.columns if columns is None else columns) if c not in (key, at)]
     packed = F.struct(F.col(at), *[F.col(c) for c in rest])
     best = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(packed).alias("_v"))
-    return best.select(key, *[F.col(f"_v.{c}").alias(c) for c in df.columns if c != key])
+    out = [c for c in (df.columns if columns is None else columns) if c != key]
+    return best.select(key, *[F.col(f"_v.{c}").alias(c) for c in out])
 
 
 #: Shares into which the rows of one key are dealt by ``salted_join``.

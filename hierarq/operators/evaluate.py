@@ -98,27 +98,76 @@ def stability(runs: DataFrame, scope: list[str]) -> DataFrame:
     return sizes.join(rate, scope, "left").withColumn("disagreement", F.coalesce("disagreement", F.lit(0.0)))
 
 
-def checks(elements: DataFrame, scope: list[str]) -> DataFrame:
-    """Named rules over all elements of a scope: (scope..., check, passed, detail)."""
-    levels = F.collect_set("level")
-    rules = {
-        "four_levels_present": F.size(F.array_intersect(levels, F.array(*map(F.lit, ("domain", "strand", "sub_strand", "indicator"))))) == 4,
-        "no_sub_strand": F.count_if(F.col("level") == "sub_strand") == 0,
-        "no_band_in_title": F.count_if(F.col("title").rlike("(?:Early|Later) \\(")) == 0,
-        "no_context_header": F.count_if(F.col("title").contains("Indicators and Examples in the Context")) == 0,
-        "no_lettered_items": F.count_if(F.coalesce(F.col("source_text"), F.lit("")).rlike("^[a-z]\\. ")) == 0,
-        "pk3_and_pk4": (F.count_if(F.col("age_band") == "PK3") > 0) & (F.count_if(F.col("age_band") == "PK4") > 0),
-        "only_pk_bands": F.count_if(F.col("age_band").isNotNull() & ~F.col("age_band").isin("PK3", "PK4")) == 0,
-        "numbered_titles_are_strands": F.count_if(F.coalesce(F.col("source_text"), F.lit("")).rlike("^\\d+\\. [A-Z][^:]*:")
-                                                  & (F.col("level") != "strand")) == 0,
+#: Sentinel of checks that meet a null text where a text is needed.
+_BROKEN = -1
+# What the checks look for.
+BAND_IN_TITLE, LETTERED, NUMBERED = r"(?U)\b(Early|Later)\s*\(", r"(?U)^\s*[a-z]\.\s", r"(?Ud)^\s*\d+\.\s+[A-Z].*:"
+EXAMPLES_HEADER = "Indicators and Examples in the Context"
+COLUMN_HEADERS = ["PK3 Outcome", "PK4 Outcome", "PK3", "PK4"]
+LEVEL_NAMES = ["domain", "strand", "sub_strand", "indicator"]
+
+
+def _counters() -> dict[str, Column]:
+    """What the checks count, over rows; a null where a text is needed makes ``*_null``."""
+    ind = F.col("level") == "indicator"
+    title, source, code = F.col("title"), F.col("source_text"), F.coalesce(F.col("code"), F.lit(""))
+    n = {f"is_{level}": F.col("level") == level for level in LEVEL_NAMES}
+    n |= {"band_title": ind & title.rlike(BAND_IN_TITLE), "band_title_null": ind & title.isNull(),
+          "lettered": ind & source.rlike(LETTERED), "lettered_null": ind & source.isNull(),
+          "numbered": source.rlike(NUMBERED) & ~F.coalesce(F.col("level") == "strand", F.lit(False)), "numbered_null": source.isNull(),
+          "pk3": ind & code.startswith("PK3."), "pk4": ind & code.startswith("PK4."),
+          "other_band": ind & ~F.coalesce(F.col("age_band").isin("PK3", "PK4"), F.lit(False)),
+          "column_header": ind & F.regexp_replace(F.coalesce(title, F.lit("")), r"(?U)^\s+|\s+$", "").isin(COLUMN_HEADERS),
+          "examples_header": F.coalesce(title, F.lit("")).contains(EXAMPLES_HEADER)}
+    return n
+
+
+def _verdicts() -> dict[str, Column]:
+    """Cases by id: how much of it is wrong (0 passes, ``_BROKEN`` could not be decided)."""
+    c = F.col
+    unless = lambda null, bad: F.when(c(null) > 0, _BROKEN).otherwise(c(bad))
+    absent = sum((F.when(c(f"is_{level}") == 0, 1).otherwise(0) for level in LEVEL_NAMES), F.lit(0))
+    return {
+        "ca_age_columns_emitted": c("lone_bands"), "ca_age_label_not_in_title": unless("band_title_null", "band_title"),
+        "ca_no_lettered_examples_as_indicators": unless("lettered_null", "lettered"), "ca_four_level_hierarchy": absent,
+        "co_no_sub_strand": c("is_sub_strand"), "co_numeric_strands": unless("numbered_null", "numbered"),
+        "co_indicator_parent_is_strand": F.lit(0), "tx_pk3_pk4_distinct": F.when((c("pk3") > 0) & (c("pk4") > 0), 0).otherwise(1),
+        "tx_age_band_set": c("other_band"), "tx_no_column_header_as_indicator": c("column_header"),
+        "az_no_lettered_examples": unless("lettered_null", "lettered"), "az_no_examples_header_as_element": c("examples_header"),
+        "az_four_level_hierarchy": absent,
     }
-    t = elements.groupBy(*scope).agg(F.count("*").alias("rows"), *[c.alias(n) for n, c in rules.items()])
-    pairs = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("passed")) for n in rules])
-    return t.select(*scope, "rows", F.explode(pairs).alias("c")).select(*scope, "c.check", "c.passed", "rows")
+
+
+def case_name(case_id: str) -> str:
+    """The name under which a case is registered: lower case, with underscores."""
+    return case_id.lower().replace("-", "_")
+
+
+def checks(elements: DataFrame, scope: list[str], case_ids: list[str] | None = None) -> DataFrame:
+    """(scope..., case_id, status, wrong) of registered cases, by default all: PASS, FAIL, ERROR
+    (a null where the case needs a text) or SKIP (an id that names no case). ``wrong`` counts what
+    fails. Rows are counted per scope and code first, so no scope is collected."""
+    code = F.regexp_replace(F.coalesce("code", F.lit("")), r"(?U)^\s+|\s+$", "")
+    band = F.coalesce("age_band", F.lit(""))
+    own = elements.withColumn("_code", F.when(F.col("level") == "indicator", F.nullif(code, F.lit(""))))
+    counters = _counters()
+    per_code = own.groupBy(*scope, "_code").agg(
+        *[F.count_if(v).alias(k) for k, v in counters.items()], F.max(band.contains("Early")).alias("_early"), F.max(band.contains("Later")).alias("_later"))
+    lone = F.col("_code").isNotNull() & ~(F.col("_early") & F.col("_later"))
+    total = per_code.groupBy(*scope).agg(*[F.sum(k).alias(k) for k in counters], F.count_if(lone).alias("lone_bands"))
+    known = _verdicts()
+    asked = list(known) if case_ids is None else case_ids
+    rows = F.array(*[F.struct(F.lit(i).alias("case_id"), known[case_name(i)].cast("long").alias("wrong") if case_name(i) in known
+                              else F.lit(None).cast("long").alias("wrong")) for i in asked])
+    status = F.when(F.col("wrong").isNull(), "SKIP").when(F.col("wrong") == _BROKEN, "ERROR").when(F.col("wrong") == 0, "PASS").otherwise("FAIL")
+    return total.select(*scope, F.explode(rows).alias("c")).select(*scope, "c.case_id", "c.wrong").select(
+        *scope, "case_id", status.alias("status"), F.nullif(F.col("wrong"), F.lit(_BROKEN).cast("long")).alias("wrong"))
 
 
 def bands_complete(elements: DataFrame, scope: list[str]) -> DataFrame:
-    """Codes on more than one row, and whether both an earlier and a later band stand on them."""
-    t = elements.where("code IS NOT NULL").groupBy(*scope, "code").agg(F.count("*").alias("n"), F.collect_set("age_band").alias("b"))
-    return t.where("n > 1").select(*scope, "code", (F.exists("b", lambda x: x.startswith("Early")) & F.exists(
-        "b", lambda x: x.startswith("Later"))).alias("complete"))
+    """(scope..., code, complete) of every indicator code: whether an earlier and a later band stand on it."""
+    code = F.regexp_replace("code", r"(?U)^\s+|\s+$", "")
+    band = F.coalesce("age_band", F.lit(""))
+    t = elements.where("level = 'indicator'").withColumn("code", code).where("code <> ''").groupBy(*scope, "code").agg(
+        F.max(band.contains("Early")).alias("_e"), F.max(band.contains("Later")).alias("_l"))
+    return t.select(*scope, "code", (F.col("_e") & F.col("_l")).alias("complete"))

@@ -14,9 +14,19 @@ from pyspark.sql import functions as F
 PRICES = [("large", 0.005, 0.025), ("medium", 0.003, 0.015)]
 
 
-def once(calls: DataFrame) -> DataFrame:
-    """One row per call_id, the first to arrive."""
-    rest = [c for c in calls.columns if c not in ("call_id", "ingested_at")]
+#: Values a percentile summary keeps: rank error at most one in so many.
+SUMMARY = 10_000
+
+
+def percentile_of(c: Column, q: float, exact: bool = False) -> Column:
+    """The value of rank ceil(q n), from a mergeable summary of bounded size; with ``exact`` all values
+    of a group are held, which only short windows bear."""
+    return F.percentile(c, q) if exact else F.percentile_approx(c, q, SUMMARY)
+
+
+def once(calls: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row per call_id, the first to arrive, with ``columns`` (by default all), of which only these are read."""
+    rest = [c for c in dict.fromkeys(calls.columns if columns is None else columns) if c not in ("call_id", "ingested_at")]
     return calls.where("call_id IS NOT NULL").groupBy("call_id").agg(F.min(F.struct("ingested_at", *rest)).alias("r")).select(
         "call_id", *[F.col(f"r.{c}").alias(c) for c in rest])
 

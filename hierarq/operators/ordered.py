@@ -58,6 +58,14 @@ def numbered(df: DataFrame, keys: list[str], order: Order, name: str = "place")
     return _clean(_joined(local, per, keys).withColumn(name, F.col("_at") + F.col("_base")).drop("_at", "_base"))
 
 
+def joined_parts(df: DataFrame, keys: list[str], order: Order, value: Column, separator: str, name: str, size: int = 100) -> DataFrame:
+    """(keys..., part, ``name``): the values of a group in order, ``size`` of them joined to one text
+    per part (from 0). What is collected is one part, whatever the size of the group."""
+    rows = numbered(df.withColumn("_value", value), keys, order, "_place").withColumn("part", F.floor((F.col("_place") - 1) / size))
+    g = rows.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct("_place", "_value"))).alias("_x"))
+    return g.select(*keys, "part", F.array_join(F.transform("_x", lambda r: r["_value"]), separator).alias(name))
+
+
 def sum_before(df: DataFrame, keys: list[str], order: Order, value: str, name: str = "before") -> DataFrame:
     """``df`` with the sum of ``value`` over the rows before each row in its group."""
     rows = _ranges(df, keys, order)
@@ -67,6 +75,19 @@ def sum_before(df: DataFrame, keys: list[str], order: Order, value: str, name: s
     return _clean(_joined(local, per, keys).withColumn(name, F.col("_in") + F.col("_base")).drop("_in", "_base"))
 
 
+def placed_in_ranges(df: DataFrame, keys: list[str], order: Order, value: str) -> DataFrame:
+    """``df`` with ``_range``, the range of the order a row is in, ``n``, its place in its group from 0, and
+    ``before``, the sum of ``value`` before it."""
+    rows = _ranges(df, keys, order)
+    inside, over = _windows(keys, order)
+    per = rows.groupBy(*keys, "_range").agg(F.count("*").alias("_c"), F.coalesce(F.sum(value), F.lit(0)).alias("_s")).withColumns(
+        {"_n0": F.coalesce(F.sum("_c").over(over), F.lit(0)), "_s0": F.coalesce(F.sum("_s").over(over), F.lit(0))}).drop("_c", "_s")
+    up = inside.rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumns({"n": F.row_number().over(inside) - 1, "before": F.coalesce(F.sum(value).over(up), F.lit(0))})
+    whole = _joined(local, per, keys).withColumns({"n": F.col("n") + F.col("_n0"), "before": F.col("before") + F.col("_s0")}).drop("_n0", "_s0")
+    return whole.drop(*[f"_o{i}" for i in range(len(order))])
+
+
 def filled_forward(df: DataFrame, keys: list[str], order: Order, value: str, name: str) -> DataFrame:
     """``df``, in rising order, with the last ``value`` up to each row that is not null, at first the first one."""
     rows = _ranges(df, keys, order)

@@ -18,16 +18,23 @@ from hierarq.common import current_version, staged
 NO_ORDER = 2147483647
 
 
-def live(df: DataFrame) -> DataFrame:
-    """Current versions that are not deleted."""
-    return current_version(df).where("NOT coalesce(deleted, false)")
+def live(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Current versions that are not deleted, with ``columns`` and the id, by default all."""
+    kept = None if columns is None else [*dict.fromkeys([*columns, "deleted"])]
+    rows = current_version(df, columns=kept).where("NOT coalesce(deleted, false)")
+    return rows if columns is None or "deleted" in columns else rows.drop("deleted")
 
 
-def first_delivery(df: DataFrame, key: str, at: str) -> DataFrame:
-    """One row per key of a table whose copies differ in the arrival time only."""
-    rest = [c for c in df.columns if c not in (key, at)]
-    return df.groupBy(key).agg(F.min(F.struct(at, *rest)).alias("_v")).select(
-        key, *[F.col(f"_v.{c}").alias(c) for c in df.columns if c != key])
+def first_delivery(df: DataFrame, key: str, at: str, columns: list[str] | None = None) -> DataFrame:
+    """One row per key of a table whose copies differ in the arrival time only.
+
+    With ``columns`` the key and these come out, and only these (and the arrival time) are read
+    and shuffled. Copies that arrive at one time and differ are decided by the rest of the row
+    among ``columns``."""
+    rest = [c for c in (df.columns if columns is None else columns) if c not in (key, at)]
+    best = df.groupBy(key).agg(F.min(F.struct(at, *rest)).alias("_v"))
+    out = df.columns if columns is None else [key, *[c for c in columns if c != key]]
+    return best.select(*[F.col(key) if c == key else F.col(f"_v.{c}").alias(c) for c in out])
 
 
 def where_all(df: DataFrame, **wanted: object) -> DataFrame:
@@ -58,11 +65,11 @@ def verified_is(status: str) -> Column:
 
 def hierarchy_rows(documents: DataFrame, domains: DataFrame, strands: DataFrame, subs: DataFrame) -> DataFrame:
     """Live sub-strands attached to the chain of their live ancestors, flat."""
-    d = live(domains).select(F.col("id").alias("domain_id"), "document_id", F.col("code").alias("domain_code"),
+    d = live(domains, ["document_id", "code", "name", "display_order"]).select(F.col("id").alias("domain_id"), "document_id", F.col("code").alias("domain_code"),
                              F.col("name").alias("domain_name"), "display_order")
-    s = live(strands).select(F.col("id").alias("strand_id"), "domain_id", F.col("code").alias("strand_code"),
+    s = live(strands, ["domain_id", "code", "name"]).select(F.col("id").alias("strand_id"), "domain_id", F.col("code").alias("strand_code"),
                              F.col("name").alias("strand_name"))
-    u = live(subs).select(F.col("id").alias("sub_strand_id"), "strand_id", F.col("code").alias("sub_strand_code"),
+    u = live(subs, ["strand_id", "code", "name"]).select(F.col("id").alias("sub_strand_id"), "strand_id", F.col("code").alias("sub_strand_code"),
                           F.col("name").alias("sub_strand_name"))
     return documents.join(d, "document_id").join(s, "domain_id").join(u, "strand_id")
 
@@ -71,12 +78,12 @@ def nested_hierarchy(documents: DataFrame, domains: DataFrame, strands: DataFram
     """One row per document: domains (by display order, then code) with their strands with
     their sub-strands (by code), live nodes only, each once. Arrays are built bottom-up, so
     every group that is collected is the children of one node."""
-    u = live(subs).groupBy("strand_id").agg(F.array_sort(F.collect_list(F.struct("code", "id", "name"))).alias("sub_strands"))
-    s = live(strands).join(u, F.col("id") == u.strand_id, "left").groupBy("domain_id").agg(F.array_sort(F.collect_list(F.struct(
+    u = live(subs, ["strand_id", "code", "name"]).groupBy("strand_id").agg(F.array_sort(F.collect_list(F.struct("code", "id", "name"))).alias("sub_strands"))
+    s = live(strands, ["domain_id", "code", "name"]).join(u, F.col("id") == u.strand_id, "left").groupBy("domain_id").agg(F.array_sort(F.collect_list(F.struct(
         "code", "id", "name", F.coalesce("sub_strands", F.array().cast("array<struct<code:string,id:bigint,name:string>>"))
         .alias("sub_strands")))).alias("strands"))
     none = "array<struct<code:string,id:bigint,name:string,sub_strands:array<struct<code:string,id:bigint,name:string>>>>"
-    d = live(domains).withColumnRenamed("id", "domain").join(s, F.col("domain") == s.domain_id, "left").groupBy("document_id").agg(
+    d = live(domains, ["document_id", "code", "name", "display_order"]).withColumnRenamed("id", "domain").join(s, F.col("domain") == s.domain_id, "left").groupBy("document_id").agg(
         F.array_sort(F.collect_list(F.struct(
             F.coalesce("display_order", F.lit(NO_ORDER)).alias("rank"), "code", F.col("domain").alias("id"), "name",
             F.coalesce("strands", F.array().cast(none)).alias("strands")))).alias("domains"))
@@ -86,10 +93,11 @@ def nested_hierarchy(documents: DataFrame, domains: DataFrame, strands: DataFram
 def visible(domains: DataFrame, strands: DataFrame, subs: DataFrame, query: str, status: str = "all") -> DataFrame:
     """(level, id, itself) of the nodes that show for a search: those that match themselves,
     or have a descendant that does. Matches go up the foreign keys by semi-joins."""
+    # What is asked of a version is decided before the versions are compared: texts are not shuffled.
     hit = contains_text(query, "code", "name", "description") & verified_is(status)
-    u = live(subs).select("id", F.col("strand_id").alias("parent"), hit.alias("itself"))
-    s = live(strands).select("id", F.col("domain_id").alias("parent"), hit.alias("itself"))
-    d = live(domains).select("id", hit.alias("itself"))
+    u = live(subs.withColumns({"itself": hit, "parent": F.col("strand_id")}), ["parent", "itself"])
+    s = live(strands.withColumns({"itself": hit, "parent": F.col("domain_id")}), ["parent", "itself"])
+    d = live(domains.withColumn("itself", hit), ["itself"])
     shown_u = u.where("itself")
     shown_s = s.join(shown_u.select(F.col("parent").alias("id")).distinct().withColumn("below", F.lit(True)), "id", "left").where(
         "itself OR below")
@@ -102,12 +110,12 @@ def visible(domains: DataFrame, strands: DataFrame, subs: DataFrame, query: str,
 
 def parent_chain(subs: DataFrame, strands: DataFrame, domains: DataFrame, documents: DataFrame) -> DataFrame:
     """Each live sub-strand with its strand, domain and document; what is deleted or missing is null."""
-    s = live(strands).select(F.col("id").alias("strand_id"), F.col("code").alias("strand_code"), "domain_id")
-    d = live(domains).select(F.col("id").alias("domain_id"), F.col("code").alias("domain_code"), "document_id")
+    s = live(strands, ["code", "domain_id"]).select(F.col("id").alias("strand_id"), F.col("code").alias("strand_code"), "domain_id")
+    d = live(domains, ["code", "document_id"]).select(F.col("id").alias("domain_id"), F.col("code").alias("domain_code"), "document_id")
     o = documents.select("document_id", F.col("title").alias("document_title"))
     live_s = s.withColumnRenamed("domain_id", "_d").join(d.withColumnRenamed("domain_id", "_d"), "_d", "left").join(
         o, "document_id", "left")
-    return live(subs).select(F.col("id").alias("sub_strand_id"), "code", "strand_id").join(live_s, "strand_id", "left").select(
+    return live(subs, ["code", "strand_id"]).select(F.col("id").alias("sub_strand_id"), "code", "strand_id").join(live_s, "strand_id", "left").select(
         "sub_strand_id", "code", F.when(F.col("strand_code").isNotNull(), F.col("strand_id")).alias("strand_id"), "strand_code",
         F.when(F.col("domain_code").isNotNull(), F.col("_d")).alias("domain_id"), "domain_code", "document_title")
 

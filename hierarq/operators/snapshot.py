@@ -85,14 +85,12 @@ def edit(df: DataFrame, where: Column, values: dict[str, Column], by: str, at: C
     return df.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in stamped.items()})
 
 
-def reorder(domains: DataFrame, document_id: int, ids: list[int]) -> DataFrame:
-    """The domains of a document get their position in ``ids`` (a user's list) as display order;
-    others keep theirs."""
-    if not ids:
-        return domains
-    place = F.array_position(F.array(*[F.lit(i).cast("long") for i in ids]), F.col("id"))
-    hit = (F.col("document_id") == document_id) & (place > 0)
-    return domains.withColumn("display_order", F.when(hit, (place - 1).cast("int")).otherwise(F.col("display_order")))
+def reorder(domains: DataFrame, places: DataFrame) -> DataFrame:
+    """Domains named in ``places`` (document_id, id, place from 0) take their place as display order, if
+    they belong to that document; others keep theirs. An id stands in ``places`` once."""
+    p = places.select(F.col("document_id").alias("_d"), F.col("id").alias("_i"), F.col("place").cast("int").alias("_place"))
+    j = domains.join(p, (F.col("id") == F.col("_i")) & (F.col("document_id") == F.col("_d")), "left")
+    return j.withColumn("display_order", F.coalesce("_place", "display_order")).select(*domains.columns)
 
 
 def insert(df: DataFrame, rows: DataFrame) -> DataFrame:

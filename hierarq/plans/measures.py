@@ -43,8 +43,12 @@ def _predicted(s: SparkSession, d: str) -> DataFrame:
         "code", F.when(page % 5 == 0, F.concat("code", F.lit("X"))).otherwise(F.col("code")))
 
 
-def _calls(s: SparkSession, d: str) -> DataFrame:
-    return metrics.priced(metrics.once(table(s, d, "llm_call_metrics")))
+def _once(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    return metrics.once(table(s, d, "llm_call_metrics"), [*columns])
+
+
+def _calls(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    return metrics.priced(_once(s, d, "model_id", "input_tokens", "output_tokens", *columns))
 
 
 @R.add("j14_detection_scores", f"""
@@ -125,31 +129,63 @@ def a27_detector_delta(s: SparkSession, d: str) -> DataFrame:
     return a.join(b, "level", "full").select("level", f.alias("first"), n.alias("second"), (n - f).alias("delta"))
 
 
-@R.add("p28_f8_checks", """
-    WITH e AS (SELECT * FROM detected_elements QUALIFY row_number() OVER (PARTITION BY element_id ORDER BY detected_at) = 1),
-    t AS (SELECT document_s3_key, count(*) AS "rows",
-      count(DISTINCT level) FILTER (WHERE level IN ('domain', 'strand', 'sub_strand', 'indicator')) = 4 AS four_levels_present,
-      count(*) FILTER (WHERE level = 'sub_strand') = 0 AS no_sub_strand,
-      count(*) FILTER (WHERE regexp_matches(title, '(?:Early|Later) \\(')) = 0 AS no_band_in_title,
-      count(*) FILTER (WHERE contains(title, 'Indicators and Examples in the Context')) = 0 AS no_context_header,
-      count(*) FILTER (WHERE regexp_matches(coalesce(source_text, ''), '^[a-z]\\. ')) = 0 AS no_lettered_items,
-      count(*) FILTER (WHERE age_band = 'PK3') > 0 AND count(*) FILTER (WHERE age_band = 'PK4') > 0 AS pk3_and_pk4,
-      count(*) FILTER (WHERE age_band NOT IN ('PK3', 'PK4')) = 0 AS only_pk_bands,
-      count(*) FILTER (WHERE regexp_matches(coalesce(source_text, ''), '^\\d+\\. [A-Z][^:]*:') AND level <> 'strand') = 0 AS numbered_titles_are_strands
-      FROM e GROUP BY document_s3_key)
-    UNPIVOT t ON COLUMNS(* EXCLUDE (document_s3_key, "rows")) INTO NAME "check" VALUE passed""")
+_CASES = """
+    t AS (SELECT scope, count(*) FILTER (WHERE level = 'indicator' AND regexp_matches(title, '\\b(Early|Later)\\s*\\(')) AS band_title,
+      count(*) FILTER (WHERE level = 'indicator' AND title IS NULL) AS no_title,
+      count(*) FILTER (WHERE level = 'indicator' AND regexp_matches(source_text, '^\\s*[a-z]\\.\\s')) AS lettered,
+      count(*) FILTER (WHERE level = 'indicator' AND source_text IS NULL) AS no_source,
+      4 - count(DISTINCT level) FILTER (WHERE level IN ('domain', 'strand', 'sub_strand', 'indicator')) AS absent,
+      count(*) FILTER (WHERE level = 'sub_strand') AS subs,
+      count(*) FILTER (WHERE regexp_matches(source_text, '^\\s*[0-9]+\\.\\s+[A-Z][^\\n]*:') AND level IS DISTINCT FROM 'strand') AS numbered,
+      count(*) FILTER (WHERE source_text IS NULL) AS any_no_source,
+      count(*) FILTER (WHERE level = 'indicator' AND starts_with(code, 'PK3.')) AS pk3,
+      count(*) FILTER (WHERE level = 'indicator' AND starts_with(code, 'PK4.')) AS pk4,
+      count(*) FILTER (WHERE level = 'indicator' AND coalesce(age_band, '') NOT IN ('PK3', 'PK4')) AS other_band,
+      count(*) FILTER (WHERE level = 'indicator' AND trim(title) IN ('PK3 Outcome', 'PK4 Outcome', 'PK3', 'PK4')) AS column_header,
+      count(*) FILTER (WHERE contains(title, 'Indicators and Examples in the Context')) AS examples_header FROM e GROUP BY scope),
+    c AS (SELECT scope, trim(code) AS code, bool_or(contains(coalesce(age_band, ''), 'Early')) AND bool_or(contains(coalesce(age_band, ''), 'Later')) AS complete
+      FROM e WHERE level = 'indicator' AND coalesce(trim(code), '') <> '' GROUP BY ALL),
+    l AS (SELECT scope, count(*) FILTER (WHERE NOT complete) AS lone FROM c GROUP BY scope),
+    w AS (SELECT t.*, coalesce(lone, 0) AS lone FROM t LEFT JOIN l ON l.scope IS NOT DISTINCT FROM t.scope),
+    r AS (SELECT scope, unnest([
+      {'id': 'ca_age_columns_emitted', 'x': lone, 'broken': false}, {'id': 'ca_age_label_not_in_title', 'x': band_title, 'broken': no_title > 0},
+      {'id': 'ca_no_lettered_examples_as_indicators', 'x': lettered, 'broken': no_source > 0}, {'id': 'ca_four_level_hierarchy', 'x': absent, 'broken': false},
+      {'id': 'co_no_sub_strand', 'x': subs, 'broken': false}, {'id': 'co_numeric_strands', 'x': numbered, 'broken': any_no_source > 0},
+      {'id': 'co_indicator_parent_is_strand', 'x': 0, 'broken': false}, {'id': 'tx_pk3_pk4_distinct', 'x': (pk3 = 0 OR pk4 = 0)::BIGINT, 'broken': false},
+      {'id': 'tx_age_band_set', 'x': other_band, 'broken': false}, {'id': 'tx_no_column_header_as_indicator', 'x': column_header, 'broken': false},
+      {'id': 'az_no_lettered_examples', 'x': lettered, 'broken': no_source > 0}, {'id': 'az_no_examples_header_as_element', 'x': examples_header, 'broken': false},
+      {'id': 'az_four_level_hierarchy', 'x': absent, 'broken': false}]) AS k FROM w),
+    s AS (SELECT scope, k.id AS case_id, CASE WHEN k.broken THEN 'ERROR' WHEN k.x = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
+      CASE WHEN NOT k.broken THEN k.x END AS wrong FROM r)"""
+
+
+@R.add("p28_f8_checks", f"""
+    WITH e AS (SELECT *, document_s3_key AS scope FROM detected_elements QUALIFY row_number() OVER (PARTITION BY element_id ORDER BY detected_at) = 1),
+    {_CASES} SELECT scope AS document_s3_key, case_id, status, wrong FROM s""")
 def p28_f8_checks(s: SparkSession, d: str) -> DataFrame:
-    e = first_delivery(table(s, d, "detected_elements"), "element_id", "detected_at")
-    return evaluate.checks(e, ["document_s3_key"])
+    """All registered cases on each document's elements."""
+    cols = ["document_s3_key", "level", "code", "title", "source_text", "age_band"]
+    return evaluate.checks(first_delivery(table(s, d, "detected_elements"), "element_id", "detected_at", cols), ["document_s3_key"])
+
+
+@R.add("f8_golden_cases", f"""
+    WITH e AS (SELECT DISTINCT test_case_id, level, code, title, description AS source_text, age_band, set_id AS scope FROM golden_elements),
+    {_CASES} SELECT scope AS set_id, upper(replace(case_id, '_', '-')) AS case_id, status, wrong FROM s
+    WHERE case_id IN ('ca_age_columns_emitted', 'co_no_sub_strand', 'tx_age_band_set')
+    UNION ALL SELECT DISTINCT scope, 'ZZ-NO-SUCH-CASE', 'SKIP', NULL FROM s""")
+def f8_golden_cases(s: SparkSession, d: str) -> DataFrame:
+    """F8: cases named by their ids on the golden sets; an unknown id is skipped."""
+    g = table(s, d, "golden_elements").select("set_id", "test_case_id", "level", "code", "title", F.col("description").alias("source_text"), "age_band")
+    return evaluate.checks(g.distinct(), ["set_id"], ["CA-AGE-COLUMNS-EMITTED", "CO-NO-SUB-STRAND", "TX-AGE-BAND-SET", "ZZ-NO-SUCH-CASE"])
 
 
 @R.add("a20_bands_complete", """
-    WITH g AS (SELECT DISTINCT set_id, test_case_id, code, age_band FROM golden_elements WHERE code IS NOT NULL)
-    SELECT set_id, code, coalesce(bool_or(starts_with(age_band, 'Early')), false) AND coalesce(bool_or(starts_with(age_band, 'Later')), false) AS complete
-    FROM g GROUP BY set_id, code HAVING count(*) > 1""")
+    WITH g AS (SELECT set_id, trim(code) AS code, age_band FROM golden_elements WHERE level = 'indicator' AND trim(code) <> '')
+    SELECT set_id, code, coalesce(bool_or(contains(age_band, 'Early')), false) AND coalesce(bool_or(contains(age_band, 'Later')), false) AS complete
+    FROM g GROUP BY set_id, code""")
 def a20_bands_complete(s: SparkSession, d: str) -> DataFrame:
-    g = table(s, d, "golden_elements").select("set_id", "test_case_id", "code", "age_band").distinct()
-    return evaluate.bands_complete(g, ["set_id"])
+    """Every indicator code, those on one row only included."""
+    return evaluate.bands_complete(table(s, d, "golden_elements").select("set_id", "level", "code", "age_band"), ["set_id"])
 
 
 @R.add("j16_costs", f"WITH {_M} SELECT call_id, round(cost_usd, 6) AS cost_usd FROM x")
@@ -162,7 +198,7 @@ def j16_costs(s: SparkSession, d: str) -> DataFrame:
     SELECT run_id, coalesce(stage, 'all') AS stage, count(*) AS calls, sum(input_tokens)::BIGINT AS input_tokens, sum(output_tokens)::BIGINT AS output_tokens,
       round(sum(cost_usd), 6) AS cost_usd, round(sum(ms), 1) AS latency_ms FROM y GROUP BY GROUPING SETS ((run_id, stage), (run_id))""")
 def a13_run_rollup(s: SparkSession, d: str) -> DataFrame:
-    return metrics.run_rollup(_calls(s, d))
+    return metrics.run_rollup(_calls(s, d, "run_id", "stage", "latency_ms"))
 
 
 @R.add("a16_top_runs", f"""
@@ -170,7 +206,7 @@ def a13_run_rollup(s: SparkSession, d: str) -> DataFrame:
     WHERE run_id IS NOT NULL GROUP BY run_id ORDER BY round(sum(cost_usd), 6) DESC, run_id LIMIT 20""")
 def a16_top_runs(s: SparkSession, d: str) -> DataFrame:
     """The dearest runs."""
-    g = _calls(s, d).where("run_id IS NOT NULL").groupBy("run_id").agg(
+    g = _calls(s, d, "run_id").where("run_id IS NOT NULL").groupBy("run_id").agg(
         F.round(F.sum("cost_usd"), 6).alias("cost_usd"), F.sum("input_tokens").alias("input_tokens"), F.count("*").alias("calls"))
     return g.orderBy(F.desc("cost_usd"), "run_id").limit(20)
 
@@ -178,7 +214,7 @@ def a16_top_runs(s: SparkSession, d: str) -> DataFrame:
 @R.add("a17_by_state", f"""
     WITH {_M} SELECT state, round(sum(cost_usd), 6) AS cost_usd, sum(output_tokens)::BIGINT AS output_tokens, count(*) AS calls FROM x GROUP BY state""")
 def a17_by_state(s: SparkSession, d: str) -> DataFrame:
-    return _calls(s, d).groupBy("state").agg(F.round(F.sum("cost_usd"), 6).alias("cost_usd"),
+    return _calls(s, d, "state").groupBy("state").agg(F.round(F.sum("cost_usd"), 6).alias("cost_usd"),
                                              F.sum("output_tokens").alias("output_tokens"), F.count("*").alias("calls"))
 
 
@@ -186,7 +222,7 @@ def a17_by_state(s: SparkSession, d: str) -> DataFrame:
     WITH {_M} SELECT stage, round(avg(ms), 4) AS mean_ms, max(ms) AS max_ms, count(*) AS calls FROM x GROUP BY stage""")
 def a18_by_stage(s: SparkSession, d: str) -> DataFrame:
     ms = metrics.measured(F.col("latency_ms"))
-    return _calls(s, d).groupBy("stage").agg(F.round(F.avg(ms), 4).alias("mean_ms"), F.max(ms).alias("max_ms"), F.count("*").alias("calls"))
+    return _once(s, d, "stage", "latency_ms").groupBy("stage").agg(F.round(F.avg(ms), 4).alias("mean_ms"), F.max(ms).alias("max_ms"), F.count("*").alias("calls"))
 
 
 @R.add("t1_hourly_sums", f"""
@@ -194,7 +230,7 @@ def a18_by_stage(s: SparkSession, d: str) -> DataFrame:
       sum(input_tokens)::BIGINT AS input_tokens, sum(output_tokens)::BIGINT AS output_tokens, sum(retry_count)::BIGINT AS retries,
       count(*) FILTER (WHERE NOT success) AS errors FROM x WHERE called_at IS NOT NULL GROUP BY ALL""")
 def t1_hourly_sums(s: SparkSession, d: str) -> DataFrame:
-    return metrics.windows(_calls(s, d), "1 hour", ["stage"], [
+    return metrics.windows(_calls(s, d, "called_at", "stage", "retry_count", "success"), "1 hour", ["stage"], [
         F.round(F.sum("cost_usd"), 6).alias("cost_usd"), F.sum("input_tokens").alias("input_tokens"),
         F.sum("output_tokens").alias("output_tokens"), F.sum("retry_count").alias("retries"),
         F.count_if(~F.col("success")).alias("errors")])
@@ -204,18 +240,18 @@ def t1_hourly_sums(s: SparkSession, d: str) -> DataFrame:
     WITH {_M} SELECT strftime(time_bucket(INTERVAL 24 HOUR, called_at, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M') AS bucket, round(sum(cost_usd), 6) AS cost_usd,
       count(*) AS calls, count(*) FILTER (WHERE NOT success) AS errors FROM x WHERE called_at IS NOT NULL GROUP BY ALL""")
 def t2_daily_totals(s: SparkSession, d: str) -> DataFrame:
-    return metrics.windows(_calls(s, d), "24 hours", [], [F.round(F.sum("cost_usd"), 6).alias("cost_usd"), F.count("*").alias("calls"),
+    return metrics.windows(_calls(s, d, "called_at", "success"), "24 hours", [], [F.round(F.sum("cost_usd"), 6).alias("cost_usd"), F.count("*").alias("calls"),
                                                           F.count_if(~F.col("success")).alias("errors")])
 
 
 @R.add("t3_latency_percentiles", f"""
-    WITH {_M} SELECT strftime(time_bucket(INTERVAL 5 MINUTE, called_at), '%Y-%m-%d %H:%M') AS bucket, round(quantile_cont(ms, 0.5), 3) AS p50,
-      round(quantile_cont(ms, 0.9), 3) AS p90, round(quantile_cont(ms, 0.99), 3) AS p99, max(ms) AS top FROM x WHERE ms IS NOT NULL
+    WITH {_M} SELECT strftime(time_bucket(INTERVAL 5 MINUTE, called_at), '%Y-%m-%d %H:%M') AS bucket, round(quantile_disc(ms, 0.5), 3) AS p50,
+      round(quantile_disc(ms, 0.9), 3) AS p90, round(quantile_disc(ms, 0.99), 3) AS p99, max(ms) AS top FROM x WHERE ms IS NOT NULL
       AND called_at IS NOT NULL GROUP BY ALL""")
 def t3_latency_percentiles(s: SparkSession, d: str) -> DataFrame:
-    ms = metrics.measured(F.col("latency_ms"))
-    c = metrics.once(table(s, d, "llm_call_metrics")).withColumn("ms", ms).where("ms IS NOT NULL")
-    return metrics.windows(c, "5 minutes", [], [F.round(F.percentile("ms", q), 3).alias(n) for n, q in (
+    """By a mergeable summary of bounded size per window, exact while a window holds fewer values than it keeps."""
+    c = _once(s, d, "called_at", "latency_ms").withColumn("ms", metrics.measured(F.col("latency_ms"))).where("ms IS NOT NULL")
+    return metrics.windows(c, "5 minutes", [], [F.round(metrics.percentile_of(F.col("ms"), q), 3).alias(n) for n, q in (
         ("p50", 0.5), ("p90", 0.9), ("p99", 0.99))] + [F.max("ms").alias("top")])
 
 
@@ -259,12 +295,12 @@ def t6_last_week(s: SparkSession, d: str) -> DataFrame:
     SELECT call_id, 'stage=' || stage AS dimensions, m.metric AS metric, m.value AS value FROM r
     UNION ALL SELECT call_id, 'stage=' || stage || ',model=' || model, m.metric, m.value FROM r""")
 def s18_fan_out(s: SparkSession, d: str) -> DataFrame:
-    return metrics.fan_out(_calls(s, d))
+    return metrics.fan_out(_calls(s, d, "stage", "latency_ms", "retry_count", "success"))
 
 
 @R.add("s19_log_lines")
 def s19_log_lines(s: SparkSession, d: str) -> DataFrame:
-    return metrics.log_lines(_calls(s, d))
+    return metrics.log_lines(_calls(s, d, "run_id", "stage", "retry_count", "success"))
 
 
 @R.add("a25_latest_totals", """
@@ -273,13 +309,13 @@ def s19_log_lines(s: SparkSession, d: str) -> DataFrame:
       arg_max(chunk_index, (called_at, call_id)) FILTER (WHERE chunk_index IS NOT NULL) AS chunk_index,
       arg_max(error, (called_at, call_id)) FILTER (WHERE error IS NOT NULL) AS error FROM c WHERE run_id IS NOT NULL GROUP BY run_id""")
 def a25_latest_totals(s: SparkSession, d: str) -> DataFrame:
-    return metrics.latest_totals(metrics.once(table(s, d, "llm_call_metrics")))
+    return metrics.latest_totals(_once(s, d, "run_id", "called_at", "batch_index", "chunk_index", "error"))
 
 
 @R.add("a26_persisted", f"""
     WITH {_M} SELECT stage, count(*) FILTER (WHERE success) AS persisted, count(*) FILTER (WHERE NOT success) AS failed FROM c GROUP BY stage""")
 def a26_persisted(s: SparkSession, d: str) -> DataFrame:
-    c = metrics.once(table(s, d, "llm_call_metrics"))
+    c = _once(s, d, "stage", "success")
     return c.groupBy("stage").agg(F.count_if("success").alias("persisted"), F.count_if(~F.col("success")).alias("failed"))
 
 
@@ -288,9 +324,8 @@ def a26_persisted(s: SparkSession, d: str) -> DataFrame:
     SELECT call_id, lag(stage) OVER (PARTITION BY run_id, batch_index ORDER BY called_at, call_id) AS previous_stage FROM c
     WHERE run_id IS NOT NULL""")
 def w7_previous_stage(s: SparkSession, d: str) -> DataFrame:
-    c = metrics.once(table(s, d, "llm_call_metrics")).where("run_id IS NOT NULL")
-    narrow = c.select("call_id", "run_id", "batch_index", "called_at", "stage")
-    return previous(narrow, ["run_id", "batch_index"], [F.col("called_at"), F.col("call_id")], "stage", "previous_stage").select(
+    c = _once(s, d, "run_id", "batch_index", "called_at", "stage").where("run_id IS NOT NULL")
+    return previous(c, ["run_id", "batch_index"], [F.col("called_at"), F.col("call_id")], "stage", "previous_stage").select(
         "call_id", "previous_stage")
 
 

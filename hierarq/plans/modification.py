@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hierarq.common import current_version, table
 from hierarq.functions import text
 from hierarq.operators import canonical, snapshot
+from hierarq.operators.ordered import numbered
 from hierarq.operators.serve import first_delivery
 from hierarq.plans.registry import CURRENT, Registry
 
@@ -25,12 +26,15 @@ def _records(s: SparkSession, d: str) -> DataFrame:
     return first_delivery(table(s, d, "canonical_records").select("record_id", "payload", "received_at"), "record_id", "received_at")
 
 
-def _cur(s: SparkSession, d: str, name: str) -> DataFrame:
-    return current_version(table(s, d, name))
+def _cur(s: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
+    return current_version(table(s, d, name), columns=[*columns])
 
 
-def _elements(s: SparkSession, d: str) -> DataFrame:
-    return first_delivery(table(s, d, "detected_elements"), "element_id", "detected_at")
+def _docs(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    return first_delivery(table(s, d, "source_documents"), "id", "loaded_at", ["id", *columns])
+
+
+_AUDIT = ("human_verified", "verified_at", "verified_by", "edited_at", "edited_by", "deleted", "deleted_at", "deleted_by")
 
 
 @R.add("p10_standard_ids", """
@@ -85,8 +89,10 @@ def p16_not_unique(s: SparkSession, d: str) -> DataFrame:
 
 
 def _flat(s: SparkSession, d: str) -> DataFrame:
-    e = _elements(s, d).where("level = 'indicator' AND code IS NOT NULL")
-    docs = first_delivery(table(s, d, "source_documents"), "id", "loaded_at").where("s3_key IS NOT NULL")
+    e = first_delivery(table(s, d, "detected_elements"), "element_id", "detected_at", [
+        "element_id", "document_s3_key", "level", "code", "title", "description", "age_band", "source_page", "source_text"])
+    e = e.where("level = 'indicator' AND code IS NOT NULL")
+    docs = _docs(s, d, "country", "state", "title", "version_year", "source_url", "publishing_agency", "age_band", "s3_key").where("s3_key IS NOT NULL")
     one = docs.groupBy("s3_key").agg(F.min_by(F.struct("country", "state", "title", "version_year", "source_url", "publishing_agency",
                                                        F.col("age_band").alias("document_age_band")), "id").alias("o"))
     j = e.join(one, e.document_s3_key == one.s3_key).select("element_id", "code", F.col("title").alias("indicator_name"),
@@ -130,7 +136,7 @@ def p13_roundtrip(s: SparkSession, d: str) -> DataFrame:
     UNION ALL SELECT NULL, 'Brand New', 'https://x', NULL""")
 def m1_upsert_documents(s: SparkSession, d: str) -> DataFrame:
     """M1 M6: document upsert; the url is overwritten, the key kept where the new one is null."""
-    docs = first_delivery(table(s, d, "source_documents"), "id", "loaded_at")
+    docs = _docs(s, d, "country", "state", "version_year", "title", "source_url", "s3_key")
     key = ["country", "state", "version_year", "title"]
     ch = docs.where("state = 'CA'").select(*key, F.concat(F.lit("https://new/"), "id").alias("source_url"),
                                           F.when(F.col("id") % 2 == 0, F.concat(F.lit("new/"), "id")).alias("s3_key"), F.col("id").alias("seq"))
@@ -145,7 +151,7 @@ def m1_upsert_documents(s: SparkSession, d: str) -> DataFrame:
       ON ch.domain_id = t.domain_id AND ch.code = t.code""")
 def m2_m3_upsert_levels(s: SparkSession, d: str) -> DataFrame:
     """M2 M3 M5: natural keys; ids and audit columns stay."""
-    st = _cur(s, d, "strands")
+    st = _cur(s, d, "strands", "domain_id", "code", "name", "human_verified", "deleted")
     ch = st.where("deleted AND domain_id IS NOT NULL").groupBy("domain_id", "code").agg(F.concat(F.lit("N"), F.max("id")).alias("name"))
     return snapshot.upsert(st, ch, ["domain_id", "code"], ["name"]).select("id", "name", "human_verified")
 
@@ -162,12 +168,12 @@ def m4_inserted(s: SparkSession, d: str) -> DataFrame:
     WITH {CURRENT} SELECT id, CASE WHEN NOT deleted AND human_verified THEN true ELSE deleted END AS deleted,
       CASE WHEN NOT deleted AND human_verified THEN 'clerk' ELSE deleted_by END AS deleted_by FROM cur_subs""")
 def m10_soft_deleted(s: SparkSession, d: str) -> DataFrame:
-    return snapshot.soft_delete(_cur(s, d, "sub_strands"), F.col("human_verified"), "clerk", _now()).select("id", "deleted", "deleted_by")
+    return snapshot.soft_delete(_cur(s, d, "sub_strands", "human_verified", "deleted", "deleted_at", "deleted_by"), F.col("human_verified"), "clerk", _now()).select("id", "deleted", "deleted_by")
 
 
 @R.add("m11_hard_deleted", f"WITH {CURRENT} SELECT id, code FROM cur_domains WHERE NOT deleted")
 def m11_hard_deleted(s: SparkSession, d: str) -> DataFrame:
-    return snapshot.hard_delete(_cur(s, d, "domains"), F.col("deleted")).select("id", "code")
+    return snapshot.hard_delete(_cur(s, d, "domains", "code", "deleted"), F.col("deleted")).select("id", "code")
 
 
 @R.add("m12_cascade", f"""
@@ -192,7 +198,7 @@ def m12_cascade(s: SparkSession, d: str) -> DataFrame:
       CASE WHEN document_id % 2 = 0 THEN false ELSE human_verified END AS after_off FROM cur_domains""")
 def m14_verify_toggle(s: SparkSession, d: str) -> DataFrame:
     own = F.col("document_id") % 2 == 0
-    on = snapshot.verify(_cur(s, d, "domains"), own, True, "clerk", _now())
+    on = snapshot.verify(_cur(s, d, "domains", "document_id", *_AUDIT), own, True, "clerk", _now())
     off = snapshot.verify(on, own, False, "clerk", _now()).select("id", F.col("human_verified").alias("after_off"))
     return on.join(off, "id").select("id", "human_verified", "verified_by", "after_off")
 
@@ -202,7 +208,7 @@ def m14_verify_toggle(s: SparkSession, d: str) -> DataFrame:
       CASE WHEN starts_with(code, 'SC') THEN 'clerk' ELSE edited_by END AS edited_by,
       strftime(CASE WHEN starts_with(code, 'SC') THEN TIMESTAMP '2025-01-01' ELSE edited_at END, '%Y-%m-%d') AS edited_on FROM cur_domains""")
 def m9_m15_edited(s: SparkSession, d: str) -> DataFrame:
-    return snapshot.edit(_cur(s, d, "domains"), F.col("code").startswith("SC"), {"name": F.upper("name")}, "clerk", _now()).select(
+    return snapshot.edit(_cur(s, d, "domains", "code", "name", *_AUDIT), F.col("code").startswith("SC"), {"name": F.upper("name")}, "clerk", _now()).select(
         "id", "name", "edited_by", F.date_format("edited_at", "yyyy-MM-dd").alias("edited_on"))
 
 
@@ -212,19 +218,17 @@ def m9_m15_edited(s: SparkSession, d: str) -> DataFrame:
     SELECT d.id, coalesce(p.place, d.display_order)::INT AS display_order FROM cur_domains d LEFT JOIN p USING (id)""")
 def m17_reordered(s: SparkSession, d: str) -> DataFrame:
     """The largest document's domains are put in a new order."""
-    dom = _cur(s, d, "domains")
-    top = dom.groupBy("document_id").count().orderBy(F.desc("count"), "document_id").limit(1).collect()
-    if not top:
-        return dom.select("id", "display_order")
-    own = dom.where(F.col("document_id") == top[0].document_id)
-    ids = [r.id for r in own.orderBy(F.desc("code"), "id").select("id").collect()]  # one document's domains, a user's list
-    return snapshot.reorder(dom, top[0].document_id, ids).select("id", "display_order")
+    dom = _cur(s, d, "domains", "document_id", "code", "display_order")
+    top = dom.groupBy("document_id").count().orderBy(F.desc("count"), "document_id").limit(1)
+    own = dom.join(F.broadcast(top.select(F.col("document_id").alias("_top"))), F.col("document_id") == F.col("_top"))
+    places = numbered(own.select("document_id", "code", "id"), ["document_id"], [(F.col("code"), "desc"), F.col("id")])
+    return snapshot.reorder(dom, places.select("document_id", "id", (F.col("place") - 1).alias("place"))).select("id", "display_order")
 
 
 @R.add("m20_backfilled", f"""
     WITH {CURRENT} SELECT id, CASE WHEN s3_key IS NULL AND NOT contains(coalesce(source_url, '://'), '://') THEN source_url ELSE s3_key END AS s3_key FROM docs""")
 def m20_backfilled(s: SparkSession, d: str) -> DataFrame:
-    docs = first_delivery(table(s, d, "source_documents"), "id", "loaded_at")
+    docs = _docs(s, d, "s3_key", "source_url")
     fill = F.col("s3_key").isNull() & ~F.coalesce("source_url", F.lit("://")).contains("://")
     return docs.select("id", F.when(fill, F.col("source_url")).otherwise(F.col("s3_key")).alias("s3_key"))
 
@@ -234,7 +238,7 @@ def m20_backfilled(s: SparkSession, d: str) -> DataFrame:
     FROM cur_strands WHERE NOT deleted AND domain_id IS NOT NULL AND name <> 'Number Sense' GROUP BY domain_id""")
 def m19_patched_tree(s: SparkSession, d: str) -> DataFrame:
     """Nested nodes patched and dropped in place by array functions."""
-    st = _cur(s, d, "strands").where("NOT deleted AND domain_id IS NOT NULL")
+    st = _cur(s, d, "strands", "deleted", "domain_id", "code", "name").where("NOT deleted AND domain_id IS NOT NULL")
     tree = st.groupBy("domain_id").agg(F.array_sort(F.collect_list(F.struct("code", "id", "name"))).alias("t"))
     kept = F.filter("t", lambda x: x["name"] != "Number Sense")
     named = F.transform(kept, lambda x: F.when(x["code"].like("%.1"), F.upper(x["name"])).otherwise(x["name"]))
@@ -246,7 +250,7 @@ def m19_patched_tree(s: SparkSession, d: str) -> DataFrame:
       length(title) <= 255 AS fits FROM docs""")
 def p27_checked_rows(s: SparkSession, d: str) -> DataFrame:
     """P27 and the length and range rules of the data model."""
-    docs = first_delivery(table(s, d, "source_documents"), "id", "loaded_at")
+    docs = _docs(s, d, "country", "version_year", "title")
     return docs.select("id", (F.col("country").rlike("^[A-Z]{2}$") & F.col("version_year").between(2000, 2100)).alias("passes"),
                        (F.length("title") <= 255).alias("fits"))
 
@@ -256,7 +260,7 @@ def p27_checked_rows(s: SparkSession, d: str) -> DataFrame:
       concat_ws('/', country, state, version_year::VARCHAR, 'intermediate', 'detect', 'run-' || id || '.json') AS stage_key FROM docs""")
 def s2_object_keys(s: SparkSession, d: str) -> DataFrame:
     """Keys of raw and intermediate objects."""
-    docs = first_delivery(table(s, d, "source_documents"), "id", "loaded_at")
+    docs = _docs(s, d, "country", "state", "version_year")
     c, st, y = F.concat(F.lit("/"), "country"), F.concat("state", F.lit("/")), F.col("version_year")
     return docs.select("id", text.object_key(c, st, y, F.concat(F.lit("doc-"), "id", F.lit(".pdf"))).alias("raw_key"), text.object_key(
         c, st, y, F.lit("intermediate"), F.lit("detect"), F.concat(F.lit("run-"), "id", F.lit(".json"))).alias("stage_key"))
@@ -265,7 +269,7 @@ def s2_object_keys(s: SparkSession, d: str) -> DataFrame:
 @R.add("s1_accepted_files", f"""
     WITH {CURRENT} SELECT id, coalesce(regexp_extract(lower(s3_key), '\\.[^.]+$') IN ('.pdf', '.html'), false) AS accepted FROM docs""")
 def s1_accepted_files(s: SparkSession, d: str) -> DataFrame:
-    docs = first_delivery(table(s, d, "source_documents"), "id", "loaded_at")
+    docs = _docs(s, d, "s3_key")
     return docs.select("id", F.coalesce(F.regexp_extract(F.lower("s3_key"), "\\.[^.]+$", 0).isin(".pdf", ".html"), F.lit(False)).alias("accepted"))
 
 

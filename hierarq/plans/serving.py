@@ -14,8 +14,8 @@ from hierarq.plans.registry import CURRENT, Registry
 R = Registry()
 
 
-def _docs(s: SparkSession, d: str) -> DataFrame:
-    return first_delivery(table(s, d, "source_documents"), "id", "loaded_at")
+def _docs(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    return first_delivery(table(s, d, "source_documents"), "id", "loaded_at", ["id", *columns])
 
 
 def _chain(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -74,8 +74,8 @@ def a6_age_bands_of_state(s: SparkSession, d: str) -> DataFrame:
     row_number() OVER (ORDER BY country, state, title, id) AS place FROM docs WHERE country = 'US' AND state = 'TX'""")
 def p17_documents(s: SparkSession, d: str) -> DataFrame:
     """The documents of a country and state in their order."""
-    got = serve.where_all(_docs(s, d), country="US", state="TX", age_band=None)
-    return numbered(got.select("id", "country", "state", "title", "version_year"), ["country", "state"], [F.col("title"), F.col("id")])
+    got = serve.where_all(_docs(s, d, "country", "state", "title", "version_year"), country="US", state="TX", age_band=None)
+    return numbered(got, ["country", "state"], [F.col("title"), F.col("id")])
 
 
 @R.add("j4_j6_live_nodes", f"""
@@ -87,7 +87,7 @@ def p17_documents(s: SparkSession, d: str) -> DataFrame:
       JOIN cur_domains d ON d.id = s.domain_id WHERE NOT u.deleted AND NOT s.deleted AND NOT d.deleted""")
 def j4_j6_live_nodes(s: SparkSession, d: str) -> DataFrame:
     """Nodes that are live and whose ancestors are."""
-    dom, st, su = (live(t) for t in _chain(s, d))
+    dom, st, su = (live(t, [c]) for t, c in zip(_chain(s, d), ("document_id", "domain_id", "strand_id"), strict=True))
     a = dom.select(F.lit("domain").alias("level"), "id", F.col("document_id").alias("root"))
     ds = st.join(dom.select(F.col("id").alias("domain_id"), F.col("document_id").alias("root")), "domain_id")
     b = ds.select(F.lit("strand").alias("level"), "id", "root")
@@ -100,8 +100,9 @@ def j4_j6_live_nodes(s: SparkSession, d: str) -> DataFrame:
     WITH {CURRENT} SELECT d.id AS domain_id, d.code, o.country, o.state, o.version_year, o.title
     FROM cur_domains d JOIN docs o ON o.id = d.document_id""")
 def j7_domain_documents(s: SparkSession, d: str) -> DataFrame:
-    dom = current_version(table(s, d, "domains")).select(F.col("id").alias("domain_id"), "code", F.col("document_id").alias("id"))
-    return dom.join(_docs(s, d), "id").select("domain_id", "code", "country", "state", "version_year", "title")
+    dom = current_version(table(s, d, "domains"), columns=["code", "document_id"]).select(
+        F.col("id").alias("domain_id"), "code", F.col("document_id").alias("id"))
+    return dom.join(_docs(s, d, "country", "state", "version_year", "title"), "id").select("domain_id", "code", "country", "state", "version_year", "title")
 
 
 @R.add("hierarchy_flat", f"""
@@ -113,7 +114,7 @@ def j7_domain_documents(s: SparkSession, d: str) -> DataFrame:
     JOIN cur_subs u ON u.strand_id = s.id WHERE NOT d.deleted AND NOT s.deleted AND NOT u.deleted""")
 def hierarchy_flat(s: SparkSession, d: str) -> DataFrame:
     """The hierarchy of every document, flat, in display order."""
-    docs = _docs(s, d).select(F.col("id").alias("document_id"), "title")
+    docs = _docs(s, d, "title").withColumnRenamed("id", "document_id")
     rows = serve.hierarchy_rows(docs, *_chain(s, d))
     order = [F.coalesce("display_order", F.lit(serve.NO_ORDER)), *map(F.col, (
         "domain_code", "domain_id", "strand_code", "strand_id", "sub_strand_code", "sub_strand_id"))]
@@ -123,7 +124,7 @@ def hierarchy_flat(s: SparkSession, d: str) -> DataFrame:
 @R.add("hierarchy_nested")
 def hierarchy_nested(s: SparkSession, d: str) -> DataFrame:
     """One nested row per document."""
-    docs = _docs(s, d).select(F.col("id").alias("document_id"), "country", "state", "title")
+    docs = _docs(s, d, "country", "state", "title").withColumnRenamed("id", "document_id")
     return serve.nested_hierarchy(docs, *_chain(s, d))
 
 
@@ -131,7 +132,7 @@ def hierarchy_nested(s: SparkSession, d: str) -> DataFrame:
     WITH {CURRENT} SELECT s.domain_id, list(s.code ORDER BY s.code, s.id) AS codes FROM cur_strands s
     WHERE NOT s.deleted AND s.domain_id IS NOT NULL GROUP BY s.domain_id""")
 def a14_children(s: SparkSession, d: str) -> DataFrame:
-    st = live(table(s, d, "strands")).where("domain_id IS NOT NULL")
+    st = live(table(s, d, "strands"), ["domain_id", "code"]).where("domain_id IS NOT NULL")
     sorted_rows = F.array_sort(F.collect_list(F.struct("code", "id")))
     return st.groupBy("domain_id").agg(F.transform(sorted_rows, lambda x: x["code"]).alias("codes"))
 
@@ -145,7 +146,7 @@ def a14_children(s: SparkSession, d: str) -> DataFrame:
     WHERE NOT u.deleted""")
 def j9_parent_chain(s: SparkSession, d: str) -> DataFrame:
     dom, st, su = _chain(s, d)
-    return serve.parent_chain(su, st, dom, _docs(s, d).withColumnRenamed("id", "document_id"))
+    return serve.parent_chain(su, st, dom, _docs(s, d, "title").withColumnRenamed("id", "document_id"))
 
 
 @R.add("j10_strands_of_domains_semi", f"""
@@ -153,7 +154,7 @@ def j9_parent_chain(s: SparkSession, d: str) -> DataFrame:
       SELECT id FROM cur_strands WHERE domain_id IN (SELECT id FROM cur_domains WHERE deleted))""")
 def j10_strands_of_domains_semi(s: SparkSession, d: str) -> DataFrame:
     """What hangs below deleted domains, by semi-joins."""
-    dom, st, su = (current_version(t) for t in _chain(s, d))
+    dom, st, su = (current_version(t, columns=[c]) for t, c in zip(_chain(s, d), ("deleted", "domain_id", "strand_id"), strict=True))
     gone = dom.where("deleted").select(F.col("id").alias("domain_id"))
     strands = st.join(gone, "domain_id", "left_semi").select(F.col("id").alias("strand_id"))
     return su.join(strands, "strand_id", "left_semi").select("id", "strand_id")
@@ -182,25 +183,22 @@ def p21_search(s: SparkSession, d: str) -> DataFrame:
       SELECT CASE WHEN human_verified THEN 'verified' ELSE 'unverified' END AS state FROM cur_strands WHERE NOT deleted
       UNION ALL SELECT 'all' FROM cur_strands WHERE NOT deleted) GROUP BY state""")
 def p22_verification(s: SparkSession, d: str) -> DataFrame:
-    st = live(table(s, d, "strands"))
-    every = None
-    for name in ("all", "verified", "unverified"):
-        part = st.where(serve.verified_is(name)).agg(F.count("*").alias("n")).select(F.lit(name).alias("state"), "n")
-        every = part if every is None else every.unionByName(part)
-    return every
+    names = ("all", "verified", "unverified")
+    one = live(table(s, d, "strands"), ["human_verified"]).agg(*[F.count_if(serve.verified_is(n)).alias(n) for n in names])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("state"), F.col(n).alias("n")) for n in names])).alias("x")).select("x.*")
 
 
 @R.add("p23_title_search", f"""
     WITH {CURRENT} SELECT id, title FROM docs WHERE contains(lower(title), 'early learning')""")
 def p23_title_search(s: SparkSession, d: str) -> DataFrame:
-    return _docs(s, d).where(serve.contains_text(" early LEARNING ", "title")).select("id", "title")
+    return _docs(s, d, "title").where(serve.contains_text(" early LEARNING ", "title")).select("id", "title")
 
 
 @R.add("p24_option_labels", f"""
     WITH {CURRENT} SELECT id, concat_ws(' — ', code, name) AS label FROM cur_domains
     WHERE contains(lower(concat_ws(' — ', code, name)), 'la')""")
 def p24_option_labels(s: SparkSession, d: str) -> DataFrame:
-    labelled = current_version(table(s, d, "domains")).select("id", F.concat_ws(" — ", "code", "name").alias("label"))
+    labelled = current_version(table(s, d, "domains"), columns=["code", "name"]).select("id", F.concat_ws(" — ", "code", "name").alias("label"))
     return labelled.where(serve.contains_text("LA", "label"))
 
 
@@ -208,7 +206,7 @@ def p24_option_labels(s: SparkSession, d: str) -> DataFrame:
     WITH {CURRENT} SELECT id, title, coalesce(source_url, '') AS "sourceUrl", version_year AS "versionYear",
       coalesce(nullif(trim(publishing_agency), ''), 'unknown') AS "publishingAgency" FROM docs""")
 def p25_mapped_rows(s: SparkSession, d: str) -> DataFrame:
-    return _docs(s, d).select("id", "title", F.coalesce("source_url", F.lit("")).alias("sourceUrl"),
+    return _docs(s, d, "title", "source_url", "version_year", "publishing_agency").select("id", "title", F.coalesce("source_url", F.lit("")).alias("sourceUrl"),
                               F.col("version_year").alias("versionYear"),
                               F.coalesce(F.expr("nullif(trim(publishing_agency), '')"), F.lit("unknown")).alias("publishingAgency"))
 
@@ -235,7 +233,7 @@ def p26_visible_nodes(s: SparkSession, d: str) -> DataFrame:
       CASE WHEN ordered THEN coalesce(display_order, 2147483647) ELSE 0 END, code DESC, id) AS place FROM m""")
 def o9_sorted_nodes(s: SparkSession, d: str) -> DataFrame:
     """Sort by code, descending; a custom order set in a document goes first."""
-    dom = live(table(s, d, "domains"))
+    dom = live(table(s, d, "domains"), ["document_id", "display_order", "code"])
     custom = dom.groupBy("document_id").agg(F.max(F.col("display_order").isNotNull()).alias("ordered"))
     rank = F.when(F.col("ordered"), F.coalesce("display_order", F.lit(serve.NO_ORDER))).otherwise(0)
     rows = dom.select("id", "document_id", "display_order", "code").join(custom, "document_id")
@@ -243,24 +241,25 @@ def o9_sorted_nodes(s: SparkSession, d: str) -> DataFrame:
 
 
 @R.add("a15_grouped_documents", f"""
-    WITH {CURRENT} SELECT country, state, list(id ORDER BY version_year DESC, id) AS ids, count(*) AS n FROM docs GROUP BY country, state""")
+    WITH {CURRENT} SELECT country, state, id, row_number() OVER (PARTITION BY country, state ORDER BY version_year DESC, id) AS place FROM docs""")
 def a15_grouped_documents(s: SparkSession, d: str) -> DataFrame:
-    rows = F.array_sort(F.collect_list(F.struct((-F.col("version_year")).alias("y"), "id")))
-    return _docs(s, d).groupBy("country", "state").agg(F.transform(rows, lambda x: x["id"]).alias("ids"), F.count("*").alias("n"))
+    """Documents by country and state, as rows with their place in the group, so that no group is collected."""
+    docs = _docs(s, d, "country", "state", "version_year")
+    return numbered(docs, ["country", "state"], [(F.col("version_year"), "desc"), F.col("id")]).select("country", "state", "id", "place")
 
 
 @R.add("s20_downloadable", f"""
     WITH {CURRENT} SELECT id, s3_key IS NOT NULL AND NOT contains(s3_key, '://') AS has_file FROM docs""")
 def s20_downloadable(s: SparkSession, d: str) -> DataFrame:
-    return _docs(s, d).select("id", (F.col("s3_key").isNotNull() & ~F.coalesce(F.col("s3_key").contains("://"), F.lit(False)))
+    return _docs(s, d, "s3_key").select("id", (F.col("s3_key").isNotNull() & ~F.coalesce(F.col("s3_key").contains("://"), F.lit(False)))
                               .alias("has_file"))
 
 
 @R.add("j17_resolved_domain", f"""
     WITH {CURRENT} SELECT u.id, coalesce(s.domain_id, -1) AS domain_id FROM cur_subs u LEFT JOIN cur_strands s ON s.id = u.strand_id""")
 def j17_resolved_domain(s: SparkSession, d: str) -> DataFrame:
-    st = current_version(table(s, d, "strands")).select(F.col("id").alias("strand_id"), "domain_id")
-    return current_version(table(s, d, "sub_strands")).select("id", "strand_id").join(st, "strand_id", "left").select(
+    st = current_version(table(s, d, "strands"), columns=["domain_id"]).withColumnRenamed("id", "strand_id")
+    return current_version(table(s, d, "sub_strands"), columns=["strand_id"]).join(st, "strand_id", "left").select(
         "id", F.coalesce("domain_id", F.lit(-1)).alias("domain_id"))
 
 

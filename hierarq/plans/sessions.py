@@ -148,7 +148,7 @@ def o8_latest_orders(s: SparkSession, d: str) -> DataFrame:
       regexp_replace(coalesce(description, ''), '([.!])([A-Z])', '\\1 \\2', 'g') AS spaced FROM e""")
 def scalar_functions(s: SparkSession, d: str) -> DataFrame:
     """The scalar functions of section 2.9."""
-    e = first_delivery(table(s, d, "detected_elements"), "element_id", "detected_at")
+    e = first_delivery(table(s, d, "detected_elements"), "element_id", "detected_at", ["element_id", "source_text", "title", "code", "description"])
     return e.select("element_id", text.tokens_of(F.col("source_text")).alias("tokens"), text.squeezed(F.col("title")).alias("key"),
                     text.without_age_prefix(F.col("code")).alias("bare"), text.has_camel_case(F.col("code")).alias("camel"),
                     F.upper(F.substring(F.replace("title", F.lit(" "), F.lit("")), 1, 5)).alias("fallback_code"),
@@ -160,7 +160,7 @@ def scalar_functions(s: SparkSession, d: str) -> DataFrame:
 def s7_s8_json_roundtrip(s: SparkSession, d: str) -> DataFrame:
     """Written as JSON objects and read with a declared schema."""
     path = f"{shared_dir(s).rstrip('/')}/hierarq-json/{uuid.uuid4().hex}"
-    objects.write_json(first_delivery(table(s, d, "source_documents"), "id", "loaded_at").select("id", "title", "version_year"), path)
+    objects.write_json(first_delivery(table(s, d, "source_documents"), "id", "loaded_at", ["id", "title", "version_year"]), path)
     return objects.read_json(s, path, "id long, title string, version_year int")
 
 
@@ -188,7 +188,7 @@ def s12_named_parameters(s: SparkSession, d: str) -> DataFrame:
 @R.add("s17_cache_keys", f"""
     WITH {CURRENT} SELECT id, state || '-' || substring(sha256(coalesce(title, '')), 1, 16) AS cache_key FROM docs""")
 def s17_cache_keys(s: SparkSession, d: str) -> DataFrame:
-    docs = first_delivery(table(s, d, "source_documents"), "id", "loaded_at")
+    docs = first_delivery(table(s, d, "source_documents"), "id", "loaded_at", ["id", "state", "title"])
     return objects.content_key(docs, "state", "title").select("id", "cache_key")
 
 

@@ -140,3 +140,69 @@ def test_positions_sums_and_fills_over_ranges(spark) -> None:  # noqa: ANN001
         ("e", ordered.numbered(df, ["k"], [(F.col("o"), "desc"), F.col("id")], "e")))]
     assert {i: tuple(g[i] for g in got) for i in want} == want
     assert ordered.numbered(df.limit(0), ["k"], order).count() == 0
+
+
+def _greedy(sizes: list[int], limit: int, overlap: int) -> list[tuple[int, int, bool]]:
+    """Chunks one block after the other: (chunk, block, seed)."""
+    out, held, total, chunk = [], [], 0, 0
+    for i, t in enumerate(sizes):
+        if held and total + t > limit:
+            seed, size = [], 0
+            for x in reversed(held):
+                if size + sizes[x] > overlap:
+                    break
+                seed.insert(0, x)
+                size += sizes[x]
+            chunk, held, total = chunk + 1, seed, size
+            out += [(chunk, x, True) for x in seed]
+        held.append(i)
+        total += t
+        out.append((chunk, i, False))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_greedy_chunks_over_many_ranges(spark, seed) -> None:  # noqa: ANN001
+    import random
+
+    rng = random.Random(seed)
+    docs = {f"d{k}": [rng.choice([0, 0, 1, 2, 3, 5, 8, 13, 21, 30]) for _ in range(n)] for k, n in enumerate((400, 3, 1, 60))}
+    rows = [(d, i, 1000 * int(d[1:]) + i, "x" * (4 * t)) for d, sizes in docs.items() for i, t in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "document_s3_key string, pos long, block_id long, text string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = sorted((r.document_s3_key, r.chunk_id, r.ord, r.seed) for r in blocks.greedy_chunks(df, limit=20, overlap=6).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted((d, *x) for d, sizes in docs.items() for x in _greedy(sizes, 20, 6))
+
+
+def test_detector_output_in_full(spark) -> None:  # noqa: ANN001
+    texts = ["Small group time", "The child plays. Often.", "AB.1: Title here", "PK3.I.A.1 Names letters\n  and sounds \n\nwell", "Domain 2: Health",
+             "Sub-Strand: Phonics - ", "1.2.3) x", " \n A. Self concept", "Topic " + "y" * 300, "I.A " + "z" * 700]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r.id: r for r in detect.detected(df).collect()}
+    assert set(got) == {3, 4, 5, 6, 7, 8, 9}  # no level for "Small group time", "The child" and "AB.1: Title"
+    assert (got[3].level, got[3].code, got[3].title, got[3].description, got[3].confidence) == ("indicator", "I.A.1", "Names letters", "and sounds well", 0.85)
+    assert (got[4].level, got[4].code, got[4].title, got[4].confidence, got[4].needs_review) == ("domain", "HEALT", "Health", 0.85, False)
+    assert (got[5].level, got[5].title, got[5].code) == ("sub_strand", "Phonics", "PHONI")
+    assert got[8].title == "y" * 200  # of more than these: a letter right after a keyword is taken for its number
+    assert (got[6].code, got[6].title) == ("1.2.3", "x")
+    assert (got[7].level, got[7].code, got[7].title) == ("strand", "A", "Self concept")
+    assert len(got[8].title) == 200 and len(got[9].source_text) == 500
+    assert (got[9].level, got[9].confidence, got[9].needs_review) == ("sub_strand", 0.7, False)
+
+
+def test_cases_of_a_registry(spark) -> None:  # noqa: ANN001
+    rows = [("s", "indicator", "A.1", "t", "x", "Early 3"), ("s", "indicator", "A.1 ", "t", "x", "Later 4"), ("s", "indicator", "A.2", "Later (4)", "a. x", "Early 3"),
+            ("s", "strand", "B", "t", "1. Big: y", None), ("s", "domain", "B", "t", "1. Big: y", None), (None, "indicator", "PK3.1", None, None, "PK3")]
+    df = spark.createDataFrame(rows, "set_id string, level string, code string, title string, source_text string, age_band string")
+    got = {(r.set_id, r.case_id): (r.status, r.wrong) for r in evaluate.checks(df, ["set_id"]).collect()}
+    assert got["s", "ca_age_columns_emitted"] == ("FAIL", 1) and got["s", "ca_age_label_not_in_title"] == ("FAIL", 1)
+    assert got["s", "ca_no_lettered_examples_as_indicators"] == ("FAIL", 1) and got["s", "co_numeric_strands"] == ("FAIL", 1)
+    assert got["s", "co_no_sub_strand"] == ("PASS", 0) and got["s", "ca_four_level_hierarchy"] == ("FAIL", 1)
+    assert got[None, "ca_age_label_not_in_title"] == ("ERROR", None) and got[None, "tx_age_band_set"] == ("PASS", 0)
+    assert evaluate.checks(df, ["set_id"], ["NO-SUCH"]).first().status == "SKIP" and evaluate.checks(df.limit(0), ["set_id"]).count() == 0
