@@ -63,3 +63,34 @@ def object_key(*parts: Column) -> Column:
 
 def page_line(page: Column, text: Column) -> Column:
     return F.concat(F.lit("[Page "), page.cast("string"), F.lit("] "), text)
+
+
+def run_parts(run_id: Column) -> Column:
+    """country, state and year of ``pipeline-COUNTRY-STATE-YEAR-SUFFIX``; null for ids of another form."""
+    parts = F.split(run_id, "-")
+    year = F.try_element_at(parts, F.lit(4)).try_cast("int")
+    ok = (F.size(parts) >= 5) & (parts[0] == "pipeline") & year.isNotNull()
+    return F.when(ok, F.struct(F.try_element_at(parts, F.lit(2)).alias("country"), F.try_element_at(parts, F.lit(3)).alias("state"), year.alias("year")))
+
+
+def file_name(path: Column) -> Column:
+    """What stands after the last slash."""
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def result_key(batch_key: Column) -> Column:
+    return F.replace(batch_key, F.lit("/batch-"), F.lit("/result-"))
+
+
+def short_id(uuid: Column) -> Column:
+    """Twelve hexadecimal signs of a uuid."""
+    return F.substring(F.replace(uuid, F.lit("-"), F.lit("")), 1, 12)
+
+
+def iso_time(at: Column) -> Column:
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def expiry(at: Column, seconds: int) -> Column:
+    """Seconds of the epoch at which what was made at ``at`` expires."""
+    return F.unix_timestamp(at.cast("timestamp")) + F.lit(seconds)

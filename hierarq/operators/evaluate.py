@@ -53,6 +53,42 @@ def detection_scores(golden: DataFrame, predicted: DataFrame, scope: list[str])
     return t.select("*", *scores(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
+def detection_report(golden: DataFrame, predicted: DataFrame, scope: list[str], strict: bool = True) -> DataFrame:
+    """(scope..., dimension, tp, fp, fn, precision, recall, f1) of element_detection, level_classification,
+    code_extraction and level_<name>.
+
+    A prediction's level and code are right or wrong where it met a golden row. With ``strict`` what is missed are
+    golden rows that no prediction met. Without, it is their keys, by title and by code: a row met
+    by one of its keys is missed by the other, one that is not met twice."""
+    m = match(golden, predicted, scope).withColumn("_met", F.col("g_id").isNotNull())
+    right, same = F.col("p_level") == F.col("g_level"), F.trim("p_code") == F.trim("g_code")
+    hits = m.where("_met").select(*scope, F.coalesce("p_level", F.lit("unknown")).alias("level"), F.coalesce(right, F.lit(False)).alias("_l"),
+                                  F.coalesce(same, F.lit(False)).alias("_c"))
+    if strict:
+        lost = golden.select(*scope, "id", "level").join(m.where("_met").select(*scope, F.col("g_id").alias("id")).distinct(), [*scope, "id"], "left_anti")
+    else:
+        page = F.coalesce(F.col("source_page").cast("string"), F.lit(""))
+        k1, k2 = F.concat_ws("|", squeezed(F.col("title")), page), F.concat_ws("|", "level", "code")
+        keyed = golden.select(*scope, "seq", "level", k1.alias("k1"), k2.alias("k2"))
+        both = F.array(F.struct(F.col("k1").alias("key"), F.lit(1).alias("by")), F.struct(F.col("k2").alias("key"), F.lit(0).alias("by")))
+        keys = keyed.select(*scope, "seq", "level", F.explode(both).alias("k"))
+        every = keys.groupBy(*scope, F.col("k.key").alias("key")).agg(F.max_by("level", F.struct("k.by", "seq")).alias("level"))
+        by_title = keyed.select(*scope, "k1").distinct().withColumn("_t", F.lit(True))
+        p = predicted.select(*scope, k1.alias("k1"), k2.alias("k2")).join(by_title, [*scope, "k1"], "left")
+        used = p.select(*scope, F.when(F.col("_t"), F.col("k1")).otherwise(F.col("k2")).alias("key")).distinct()
+        lost = every.join(used, [*scope, "key"], "left_anti")
+    n = F.array(F.struct(F.lit("element_detection").alias("dimension"), F.lit("tp").alias("kind")),
+                F.struct(F.lit("level_classification").alias("dimension"), F.when(F.col("_l"), "tp").otherwise("fp").alias("kind")),
+                F.struct(F.lit("code_extraction").alias("dimension"), F.when(F.col("_c"), "tp").otherwise("fp").alias("kind")),
+                F.struct(F.when(F.col("_l"), F.concat(F.lit("level_"), "level")).alias("dimension"), F.lit("tp").alias("kind")))
+    whole = [F.struct(F.lit(x).alias("dimension"), F.lit("fn").alias("kind")) for x in ("element_detection", "level_classification", "code_extraction")]
+    gone = F.array(*whole, F.struct(F.concat(F.lit("level_"), F.coalesce("level", F.lit("unknown"))).alias("dimension"), F.lit("fn").alias("kind")))
+    extra = m.where("NOT _met").select(*scope, F.lit("element_detection").alias("dimension"), F.lit("fp").alias("kind"))
+    rows = hits.select(*scope, F.inline(n)).unionByName(lost.select(*scope, F.inline(gone))).unionByName(extra).where("dimension IS NOT NULL")
+    t = rows.groupBy(*scope, "dimension").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("tp", "fp", "fn")])
+    return t.select("*", *scores(F.col("tp"), F.col("fp"), F.col("fn")))
+
+
 def confusion(golden: DataFrame, predicted: DataFrame, scope: list[str]) -> DataFrame:
     """How often a golden level was predicted as which level; ``none`` where there is no match."""
     m = match(golden, predicted, scope)

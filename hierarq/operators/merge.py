@@ -6,11 +6,13 @@ partitioning. Choices by key combine map-side (min_by), so no key's rows are col
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hierarq.functions.text import has_camel_case, squeezed, without_age_prefix
-from hierarq.operators.ordered import filled_forward
+from hierarq.operators.ordered import filled_forward, numbered
 
 
 def first_wins(df: DataFrame, key: list[str], order: list[str], keep: str = "first") -> DataFrame:
@@ -24,19 +26,31 @@ def first_wins(df: DataFrame, key: list[str], order: list[str], keep: str = "fir
     return best.select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+def concatenated(outputs: list[DataFrame], scope: list[str], batch: str, key: str) -> DataFrame:
+    """Outputs of one form put together, nothing dropped, with their ``place`` in a scope: by batch, then by
+    output, then by key."""
+    parts = [o.withColumn("_output", F.lit(i)) for i, o in enumerate(outputs)]
+    return numbered(reduce(DataFrame.unionByName, parts), scope, [F.col(batch), F.col("_output"), F.col(key)]).drop("_output")
+
+
 def status_of(errors: Column, rows: Column) -> Column:
     """error, partial or success from the counts of errors and of rows."""
     return F.when((errors > 0) & (rows > 0), "partial").when(errors > 0, "error").otherwise("success")
 
 
-def canonical_codes(df: DataFrame, scope: list[str], name: str = "title", code: str = "code") -> DataFrame:
+def canonical_codes_by(df: DataFrame, scope: list[str], name_key: Column, code: Column) -> DataFrame:
     """(scope..., name_key, canonical): among the codes a name goes by, the one that is no slug,
     most frequent, shortest, first; a slug is longer than ten characters or has camel case."""
-    rows = df.where(F.col(code).isNotNull() & F.col(name).isNotNull()).withColumn("name_key", squeezed(F.col(name)))
-    counts = rows.groupBy(*scope, "name_key", code).agg(F.count("*").alias("n"))
-    slug = (F.length(code) > 10) | has_camel_case(F.col(code))
+    rows = df.select(*scope, name_key.alias("name_key"), code.alias("_code")).where("name_key IS NOT NULL AND _code IS NOT NULL")
+    counts = rows.groupBy(*scope, "name_key", "_code").agg(F.count("*").alias("n"))
+    slug = (F.length("_code") > 10) | has_camel_case(F.col("_code"))
     return counts.groupBy(*scope, "name_key").agg(
-        F.min_by(code, F.struct(slug, -F.col("n"), F.length(code), F.col(code))).alias("canonical"))
+        F.min_by("_code", F.struct(slug, -F.col("n"), F.length("_code"), F.col("_code"))).alias("canonical"))
+
+
+def canonical_codes(df: DataFrame, scope: list[str], name: str = "title", code: str = "code") -> DataFrame:
+    """``canonical_codes_by`` the squeezed name."""
+    return canonical_codes_by(df, scope, squeezed(F.col(name)), F.col(code))
 
 
 def with_canonical_codes(df: DataFrame, scope: list[str], name: str = "title", code: str = "code") -> DataFrame:

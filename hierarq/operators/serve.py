@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hierarq.common import current_version, staged
+from hierarq.operators.ordered import numbered
 
 #: Stands for a display order that is not set (after all others).
 NO_ORDER = 2147483647
@@ -108,6 +109,15 @@ def visible(domains: DataFrame, strands: DataFrame, subs: DataFrame, query: str,
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+def sorted_nodes(nodes: DataFrame, group: str, field: str, descending: bool = False, tie: str = "id") -> DataFrame:
+    """(id, group, place): nodes of a group in the order a user chose: texts without letter case, truth values false first
+    (null is false), null texts last from the end and first from the start; ties by ``tie``, rising."""
+    truth = nodes.schema[field].dataType.simpleString() == "boolean"
+    value = F.coalesce(F.col(field), F.lit(False)) if truth else F.lower(F.col(field))
+    rows = nodes.select(*dict.fromkeys(["id", group, tie]), value.alias("_by"))
+    return numbered(rows, [group], [(F.col("_by"), "desc") if descending else F.col("_by"), F.col(tie)]).select("id", group, "place")
+
+
 def parent_chain(subs: DataFrame, strands: DataFrame, domains: DataFrame, documents: DataFrame) -> DataFrame:
     """Each live sub-strand with its strand, domain and document; what is deleted or missing is null."""
     s = live(strands, ["code", "domain_id"]).select(F.col("id").alias("strand_id"), F.col("code").alias("strand_code"), "domain_id")

@@ -56,15 +56,93 @@ def marked(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return df.join(k, column, "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
 
 
-def cascade_delete(domains: DataFrame, strands: DataFrame, subs: DataFrame, which: Column, by: str, at: Column) -> list[DataFrame]:
-    """Soft deletion of domains with everything below: strands by their domain, sub-strands by
-    their strand. Semi-joins along the keys, one projection per table."""
-    gone = domains.where(which).select("id")
-    s = marked(strands, gone, "domain_id")
-    u = marked(subs, s.where("_hit").select("id"), "strand_id")
-    return [soft_delete(domains, which, by, at),
-            soft_delete(s, F.col("_hit"), by, at).drop("_hit").select(*strands.columns),
-            soft_delete(u, F.col("_hit"), by, at).drop("_hit").select(*subs.columns)]
+def cascade_delete(tables: dict[str, DataFrame], level: str, which: Column, by: str, at: Column) -> dict[str, DataFrame]:
+    """Soft deletion of the nodes of a ``level`` (domain, strand or sub_strand) that meet ``which``, with
+    everything below: ``tables`` holds domain, strand, sub_strand and indicator.
+
+    Strands and sub-strands go by their parent; an indicator goes by its own link to the level that is
+    deleted, so one that hangs on a sub-strand of a deleted strand but has no strand of its own
+    stays. Semi-joins along the keys, one projection per table."""
+    order = ["domain", "strand", "sub_strand"]
+    out = dict(tables)
+    gone = tables[level].where(which & ~F.coalesce(F.col("deleted"), F.lit(False))).select("id")
+    out[level] = soft_delete(tables[level], which, by, at)
+    hit = marked(tables["indicator"], gone, f"{level}_id")
+    out["indicator"] = soft_delete(hit, F.col("_hit"), by, at).select(*tables["indicator"].columns)
+    for above, below in zip(order, order[1:]):
+        if order.index(above) >= order.index(level):
+            hit = marked(tables[below], gone, f"{above}_id")
+            gone = hit.where("_hit").select("id")
+            out[below] = soft_delete(hit, F.col("_hit"), by, at).select(*tables[below].columns)
+    return out
+
+
+def affected(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """(inserted, updated, deleted): how many rows of a snapshot a change touched, by its unique key."""
+    rest = [c for c in old.columns if c not in key]
+    a = old.select(*key, F.xxhash64(*rest).alias("_a"), F.lit(True).alias("_old"))
+    b = new.select(*key, F.xxhash64(*rest).alias("_b"), F.lit(True).alias("_new"))
+    j = a.join(b, key, "full")
+    return j.agg(F.count_if(F.col("_old").isNull()).alias("inserted"),
+                 F.count_if(F.col("_old").isNotNull() & F.col("_new").isNotNull() & (F.col("_a") != F.col("_b"))).alias("updated"),
+                 F.count_if(F.col("_new").isNull()).alias("deleted"))
+
+
+# What a new plan must have.
+PLAN_NEEDS = ["user_id", "child_name", "child_age", "state", "duration", "content"]
+NOT_OWNED = "Plan not found or not owned by user"
+
+
+def plan_changes(plans: DataFrame, changes: DataFrame, at: Column) -> tuple[DataFrame, DataFrame]:
+    """(plans, results) after creates, updates and deletes, each scoped to its owner.
+
+    ``changes`` has op (create, update or delete), the plan's columns and ``seq``; of several to one plan
+    the last by seq counts. A create needs all of ``PLAN_NEEDS``; an update sets content and, of duration,
+    interests and concerns, those that are given. Changes to plans that are not there or belong to
+    another user change nothing. Results are (plan_id, op, action, error)."""
+    cols = [c for c in plans.columns if c != "plan_id"]
+    rest = [c for c in changes.columns if c not in ("plan_id", "seq")]
+    one = changes.groupBy("plan_id").agg(F.max_by(F.struct(*rest), "seq").alias("_c"))
+    j = plans.select("plan_id", F.struct(*cols).alias("_p")).join(one, "plan_id", "full")
+    op = F.col("_c.op")
+    lacks: Column = F.lit(None).cast("string")
+    for n in reversed(PLAN_NEEDS):
+        lacks = F.when(F.coalesce(F.col(f"_c.{n}").cast("string"), F.lit("")) == "", F.lit(f"{n} is required")).otherwise(lacks)
+    owned = F.coalesce(F.col("_p.user_id") == F.col("_c.user_id"), F.lit(False))
+    taken = F.when(F.col("_p").isNotNull(), F.lit("plan exists"))
+    error = F.when(op == "create", F.coalesce(lacks, taken)).when(~owned, F.lit(NOT_OWNED))
+    done = op.isNotNull() & error.isNull()
+
+    def value(c: str) -> Column:
+        old, new = F.col(f"_p.{c}"), F.col(f"_c.{c}") if c in rest else F.lit(None)
+        if c == "updated_at":
+            return F.when(done, at).otherwise(old)
+        if c == "created_at":
+            return F.when(done & (op == "create"), at).otherwise(old)
+        changed = new if c == "content" else F.coalesce(new, old) if c in ("duration", "interests", "concerns") else old
+        return F.when(done & (op == "create"), new).when(done & (op == "update"), changed).otherwise(old)
+
+    kept = j.where((F.col("_p").isNotNull() | done) & ~(done & (op == "delete")))
+    results = j.where(op.isNotNull()).select("plan_id", op.alias("op"), F.when(done, F.concat(F.rtrim(op, F.lit("e")), F.lit("ed"))).alias("action"),
+                                             error.alias("error"))
+    return kept.select("plan_id", *[value(c).alias(c) for c in cols]), results
+
+
+def persisted(records: DataFrame, key: str, error: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows to store, errors (key, error)): a record that fails does not stop the others."""
+    tried = records.withColumn("_error", error)
+    return tried.where("_error IS NULL").drop("_error"), tried.where("_error IS NOT NULL").select(key, F.col("_error").alias("error"))
+
+
+def recorded_runs(runs: DataFrame, outcomes: DataFrame, at: Column) -> DataFrame:
+    """``runs`` with one row per run of ``outcomes`` (run_id, country, state, version_year, total, stored, failed): a
+    known run gets its status, totals and time of completion anew, the rest stays."""
+    new = outcomes.select("run_id", "country", "state", "version_year", F.when(F.col("failed") > 0, "partial").otherwise("completed").alias("status"),
+                          F.col("total").alias("total_indicators"), F.col("stored").alias("total_validated"), at.alias("completed_at"))
+    known = upsert(runs, new, ["run_id"], ["status", "total_indicators", "total_validated", "completed_at"])
+    fresh = new.select("run_id", *[F.col(c).alias(f"_{c}") for c in ("country", "state", "version_year")])
+    return known.join(fresh, "run_id", "left").select(*[F.coalesce(c, f"_{c}").alias(c) if c in ("country", "state", "version_year") else F.col(c)
+                                                        for c in runs.columns])
 
 
 def verify(df: DataFrame, where: Column, on: bool, by: str, at: Column) -> DataFrame:

@@ -63,6 +63,33 @@ def j14_detection_scores(s: SparkSession, d: str) -> DataFrame:
     return evaluate.detection_scores(_golden(s, d), _predicted(s, d), ["set_id"])
 
 
+_REPORT = """
+    h AS (SELECT m.set_id, m.level AS p_level, coalesce(m.level = g.level, false) AS l, coalesce(trim(m.code) = trim(g.code), false) AS c FROM m JOIN g ON g.id = m.g_id AND g.set_id = m.set_id),
+    z AS (SELECT set_id, 'element_detection' AS dimension, 'tp' AS kind FROM h UNION ALL SELECT set_id, 'level_classification', CASE WHEN l THEN 'tp' ELSE 'fp' END FROM h
+      UNION ALL SELECT set_id, 'code_extraction', CASE WHEN c THEN 'tp' ELSE 'fp' END FROM h UNION ALL SELECT set_id, 'level_' || p_level, 'tp' FROM h WHERE l
+      UNION ALL SELECT set_id, 'element_detection', 'fp' FROM m WHERE g_id IS NULL
+      UNION ALL SELECT set_id, unnest(['element_detection', 'level_classification', 'code_extraction', 'level_' || coalesce(level, 'unknown')]), 'fn' FROM lost),
+    n AS (SELECT set_id, dimension, count(*) FILTER (WHERE kind = 'tp') AS tp, count(*) FILTER (WHERE kind = 'fp') AS fp, count(*) FILTER (WHERE kind = 'fn') AS fn FROM z GROUP BY ALL),
+    s AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS p, CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS r FROM n)
+    SELECT set_id, dimension, tp, fp, fn, round(p, 4)::DOUBLE AS precision, round(r, 4)::DOUBLE AS recall, round(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END, 4)::DOUBLE AS f1 FROM s"""
+
+
+@R.add("j14_report_strict", f"""
+    WITH {_G}, lost AS (SELECT set_id, level FROM g WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.set_id = g.set_id AND m.g_id = g.id)), {_REPORT}""")
+def j14_report_strict(s: SparkSession, d: str) -> DataFrame:
+    """All dimensions, per level too; a golden row is missed once."""
+    return evaluate.detection_report(_golden(s, d), _predicted(s, d), ["set_id"])
+
+
+@R.add("j14_report_by_keys", f"""
+    WITH {_G}, every AS (SELECT set_id, k, arg_max(level, (o, seq)) AS level FROM (SELECT set_id, k1 AS k, 1 AS o, seq, level FROM k UNION ALL SELECT set_id, k2, 0, seq, level FROM k) GROUP BY ALL),
+    used AS (SELECT DISTINCT q.set_id, CASE WHEN a.g_id IS NOT NULL THEN k1 ELSE k2 END AS k FROM q LEFT JOIN a USING (set_id, k1)),
+    lost AS (SELECT set_id, level FROM every ANTI JOIN used USING (set_id, k)), {_REPORT}""")
+def j14_report_by_keys(s: SparkSession, d: str) -> DataFrame:
+    """The same with what is missed counted by keys."""
+    return evaluate.detection_report(_golden(s, d), _predicted(s, d), ["set_id"], strict=False)
+
+
 @R.add("a19_confusion", f"""
     WITH {_G} SELECT coalesce(g.level, 'none') AS golden_level, m.level AS predicted_level, count(*) AS n
     FROM m LEFT JOIN g ON g.id = m.g_id AND g.set_id = m.set_id GROUP BY ALL""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,16 +64,56 @@ _DOC_TEXT = "".join(f"""
 def p14_document_errors(s: SparkSession, d: str) -> DataFrame:
     """The rules on the document part, one row per error."""
     got = canonical.validated(_records(s, d)).select("record_id", F.explode("errors").alias("e")).select("record_id", "e.*")
-    return got.where("field_path LIKE 'document.%'")
-
-
-@R.add("p14_errors")
+    return got.where("field_path LIKE 'document.%'").drop("message")
+
+
+_TEXT_RULE = """
+    SELECT record_id, '{p}.{f}' AS field_path, CASE WHEN json_type(v, '{f}') IS NULL THEN 'Missing required field: {p}.{f}'
+      ELSE '{p}.{f} must be a non-empty string' END AS message, CASE WHEN json_type(v, '{f}') IS NULL THEN 'missing_field' ELSE 'invalid_type' END AS error_type
+    FROM (SELECT record_id, {v} AS v FROM o) WHERE json_type(v) = 'OBJECT' AND (json_type(v, '{f}') IS NULL OR json_type(v, '{f}') <> 'VARCHAR' OR (v->>'{f}') = '')"""
+_ABSENT = """
+    SELECT record_id, '{p}' AS field_path, 'Missing required field: {p}' AS message, 'missing_field' AS error_type FROM {t} WHERE json_type({v}, '{f}') IS NULL"""
+_ODD_LEVEL = """
+    SELECT record_id, 'standard.{f}' AS field_path, 'standard.{f} must be {what}' AS message, 'invalid_type' AS error_type FROM st WHERE json_type(s, '{f}') NOT IN ({good})"""
+_RULES = [
+    "SELECT record_id, '$' AS field_path, 'record must be an object' AS message, 'invalid_type' AS error_type FROM j WHERE p IS NULL OR json_type(p) <> 'OBJECT'",
+    *[_ABSENT.format(p=f, t="o", v="p", f=f) for f in ("country", "state", "document", "standard", "metadata")],
+    *[f"SELECT record_id, '{f}', 'Field cannot be empty: {f}', 'invalid_type' FROM o WHERE json_type(p, '{f}') = 'NULL' OR (p->'{f}')::VARCHAR IN ('\"\"', '{{}}', '[]', '0', 'false')"
+      for f in ("country", "state", "document", "standard", "metadata")],
+    """SELECT record_id, 'country', 'country must be a two-letter ISO 3166-1 alpha-2 code', 'invalid_type' FROM o
+       WHERE json_type(p, 'country') IS NOT NULL AND (json_type(p, 'country') <> 'VARCHAR' OR length((p->>'country')) <> 2)""",
+    """SELECT record_id, 'country', 'country must be uppercase letters only', 'format' FROM o
+       WHERE json_type(p, 'country') = 'VARCHAR' AND length(p->>'country') = 2 AND NOT regexp_matches((p->>'country'), '^[A-Z]{2}$')""",
+    """SELECT record_id, 'state', 'state must be a non-empty string', 'invalid_type' FROM o
+       WHERE json_type(p, 'state') IS NOT NULL AND (json_type(p, 'state') <> 'VARCHAR' OR (p->>'state') = '')""",
+    *[f"SELECT record_id, '{f}', '{f} must be an object', 'invalid_type' FROM o WHERE json_type(p, '{f}') <> 'OBJECT'" for f in ("document", "standard", "metadata")],
+    *[_TEXT_RULE.format(p="document", f=f, v="p->'document'") for f in ("title", "source_url", "age_band", "publishing_agency")],
+    "SELECT record_id, 'document.version_year', 'Missing required field: document.version_year', 'missing_field' FROM dc WHERE json_type(d, 'version_year') IS NULL",
+    """SELECT record_id, 'document.version_year', 'document.version_year must be an integer', 'invalid_type' FROM dc
+       WHERE json_type(d, 'version_year') NOT IN ('UBIGINT', 'BIGINT', 'HUGEINT')""",
+    _TEXT_RULE.format(p="standard", f="standard_id", v="p->'standard'"),
+    *[_TEXT_RULE.format(p=f"standard.{n}", f=f, v=f"p->'standard'->'{n}'") for n in ("domain", "strand", "sub_strand") for f in ("code", "name")],
+    _TEXT_RULE.format(p="standard.indicator", f="code", v="p->'standard'->'indicator'"),
+    *[_ABSENT.format(p=f"standard.{f}", t="st", v="s", f=f) for f in ("domain", "indicator")],
+    *[_ODD_LEVEL.format(f=f, what="an object", good="'OBJECT'") for f in ("domain", "indicator")],
+    *[_ODD_LEVEL.format(f=f, what="an object or null", good="'OBJECT', 'NULL'") for f in ("strand", "sub_strand")],
+    *[f"""SELECT record_id, 'standard.indicator.{f}', 'standard.indicator.{f} must be a string or null', 'invalid_type' FROM st
+          WHERE json_type(s->'indicator', '{f}') NOT IN ('VARCHAR', 'NULL')""" for f in ("description", "name")],
+]
+_P14 = f"""{_C}, o AS (SELECT * FROM j WHERE json_type(p) = 'OBJECT'), dc AS (SELECT record_id, p->'document' AS d FROM o WHERE json_type(p->'document') = 'OBJECT'),
+    st AS (SELECT record_id, p->'standard' AS s FROM o WHERE json_type(p->'standard') = 'OBJECT'),
+    e AS ({' UNION ALL '.join(_RULES)})"""
+
+
+@R.add("p14_errors", f"WITH {_P14} SELECT * FROM e")
 def p14_errors(s: SparkSession, d: str) -> DataFrame:
-    """Every rule every record breaks."""
+    """Every rule every record breaks, with its message."""
     return canonical.validated(_records(s, d)).select("record_id", F.explode("errors").alias("e")).select("record_id", "e.*")
 
 
-@R.add("p15_split")
+@R.add("p15_split", f"""
+    WITH {_P14}, n AS (SELECT record_id, count(*) AS n FROM e GROUP BY record_id)
+    SELECT n IS NULL AS is_valid, count(*) AS records, coalesce(sum(n), 0)::BIGINT AS errors FROM c LEFT JOIN n USING (record_id) GROUP BY ALL""")
 def p15_split(s: SparkSession, d: str) -> DataFrame:
     """Valid and invalid records by state of the payload."""
     v = canonical.validated(_records(s, d))
@@ -79,13 +121,19 @@ def p15_split(s: SparkSession, d: str) -> DataFrame:
 
 
 @R.add("p16_not_unique", f"""
-    WITH {CURRENT}, k AS (SELECT country, state, version_year, title FROM docs GROUP BY ALL HAVING count(*) > 1)
-    SELECT id, title FROM docs JOIN k USING (country, state, version_year, title)""")
+    WITH {_C}, k AS (SELECT record_id, p->>'country' AS c, p->>'state' AS s, p->'document'->>'version_year' AS y, p->'standard'->>'standard_id' AS i FROM j
+      WHERE json_type(p) = 'OBJECT' AND json_type(p->'document') = 'OBJECT' AND json_type(p->'standard') = 'OBJECT'),
+    old AS (SELECT DISTINCT c, s, y, i FROM k WHERE record_id % 3 = 0 AND c IS NOT NULL AND s IS NOT NULL AND y IS NOT NULL AND i IS NOT NULL)
+    SELECT record_id, 'standard.standard_id' AS field_path, 'Duplicate standard_id: ' || i || ' for country=' || c || ', state=' || s || ', year=' || y AS message,
+      'uniqueness' AS error_type FROM k JOIN old USING (c, s, y, i) WHERE c <> '' AND s <> '' AND i <> '' AND y NOT IN ('', '0')""")
 def p16_not_unique(s: SparkSession, d: str) -> DataFrame:
-    docs = first_delivery(table(s, d, "source_documents"), "id", "loaded_at")
-    key = ["country", "state", "version_year", "title"]
-    repeated = docs.groupBy(*key).count().where("count > 1")
-    return canonical.not_unique(docs, repeated, key).select("id", "title")
+    """Records whose id is stored already get a uniqueness error; every third record stands in for the stored ones."""
+    records = _records(s, d)
+    get = lambda *path: F.try_variant_get(F.try_parse_json("payload"), "$." + ".".join(path), "string")
+    stored = records.where("record_id % 3 = 0").select(get("country").alias("country"), get("state").alias("state"), get("document", "version_year")
+                                                      .alias("version_year"), get("standard", "standard_id").alias("standard_id"))
+    errors = canonical.validated(records, stored).select("record_id", F.explode("errors").alias("e")).select("record_id", "e.*")
+    return errors.where("error_type = 'uniqueness'")
 
 
 def _flat(s: SparkSession, d: str) -> DataFrame:
@@ -176,20 +224,62 @@ def m11_hard_deleted(s: SparkSession, d: str) -> DataFrame:
     return snapshot.hard_delete(_cur(s, d, "domains", "code", "deleted"), F.col("deleted")).select("id", "code")
 
 
+_IND = """ind AS (SELECT u.id + 1000000000 AS id, s.domain_id, CASE WHEN u.id % 3 <> 0 THEN u.strand_id END AS strand_id, u.id AS sub_strand_id
+      FROM cur_subs u LEFT JOIN cur_strands s ON s.id = u.strand_id)"""
+
+
 @R.add("m12_cascade", f"""
-    WITH {CURRENT}, d AS (SELECT id FROM cur_domains WHERE display_order = 1), s AS (SELECT id FROM cur_strands WHERE domain_id IN (SELECT id FROM d))
-    SELECT 'domain' AS level, id, deleted OR coalesce(display_order = 1, false) AS deleted,
+    WITH {CURRENT}, {_IND}, d AS (SELECT id FROM cur_domains WHERE display_order = 1 AND NOT deleted), s AS (SELECT id FROM cur_strands WHERE domain_id IN (SELECT id FROM d))
+    SELECT 'indicator' AS level, id, coalesce(domain_id IN (SELECT id FROM d), false) AS deleted,
+      CASE WHEN domain_id IN (SELECT id FROM d) THEN 'clerk' END AS deleted_by FROM ind
+    UNION ALL SELECT 'domain' AS level, id, deleted OR coalesce(display_order = 1, false) AS deleted,
       CASE WHEN NOT deleted AND display_order = 1 THEN 'clerk' ELSE deleted_by END AS deleted_by FROM cur_domains
     UNION ALL SELECT 'strand', id, deleted OR id IN (SELECT id FROM s), CASE WHEN NOT deleted AND id IN (SELECT id FROM s) THEN 'clerk'
       ELSE deleted_by END FROM cur_strands
     UNION ALL SELECT 'sub_strand', id, deleted OR coalesce(strand_id IN (SELECT id FROM s), false), CASE WHEN NOT deleted
       AND strand_id IN (SELECT id FROM s) THEN 'clerk' ELSE deleted_by END FROM cur_subs""")
 def m12_cascade(s: SparkSession, d: str) -> DataFrame:
-    """M12 M13."""
-    parts = snapshot.cascade_delete(*(_cur(s, d, t) for t in ("domains", "strands", "sub_strands")), F.col("display_order") == 1,
-                                    "clerk", _now())
-    out = [p.select(F.lit(n).alias("level"), "id", "deleted", "deleted_by") for n, p in zip(("domain", "strand", "sub_strand"), parts, strict=True)]
-    return out[0].unionByName(out[1]).unionByName(out[2])
+    """Domains with everything below."""
+    return _cascade(s, d, "domain", F.col("display_order") == 1)
+
+
+@R.add("m13_cascade_strand", f"""
+    WITH {CURRENT}, {_IND}, s AS (SELECT id FROM cur_strands WHERE contains(code, '.1') AND NOT deleted)
+    SELECT 'indicator' AS level, id, coalesce(strand_id IN (SELECT id FROM s), false) AS deleted,
+      CASE WHEN strand_id IN (SELECT id FROM s) THEN 'clerk' END AS deleted_by FROM ind
+    UNION ALL SELECT 'domain', id, deleted, deleted_by FROM cur_domains
+    UNION ALL SELECT 'strand', id, deleted OR id IN (SELECT id FROM s), CASE WHEN id IN (SELECT id FROM s) THEN 'clerk' ELSE deleted_by END FROM cur_strands
+    UNION ALL SELECT 'sub_strand', id, deleted OR coalesce(strand_id IN (SELECT id FROM s), false), CASE WHEN NOT deleted
+      AND strand_id IN (SELECT id FROM s) THEN 'clerk' ELSE deleted_by END FROM cur_subs""")
+def m13_cascade_strand(s: SparkSession, d: str) -> DataFrame:
+    """Strands; indicators of their sub-strands that name no strand stay."""
+    return _cascade(s, d, "strand", F.col("code").contains(".1"))
+
+
+@R.add("m13_cascade_sub_strand", f"""
+    WITH {CURRENT}, {_IND}, u AS (SELECT id FROM cur_subs WHERE contains(code, '.2') AND NOT deleted)
+    SELECT 'indicator' AS level, id, coalesce(sub_strand_id IN (SELECT id FROM u), false) AS deleted,
+      CASE WHEN sub_strand_id IN (SELECT id FROM u) THEN 'clerk' END AS deleted_by FROM ind
+    UNION ALL SELECT 'domain', id, deleted, deleted_by FROM cur_domains UNION ALL SELECT 'strand', id, deleted, deleted_by FROM cur_strands
+    UNION ALL SELECT 'sub_strand', id, deleted OR id IN (SELECT id FROM u), CASE WHEN id IN (SELECT id FROM u) THEN 'clerk' ELSE deleted_by END FROM cur_subs""")
+def m13_cascade_sub_strand(s: SparkSession, d: str) -> DataFrame:
+    return _cascade(s, d, "sub_strand", F.col("code").contains(".2"))
+
+
+def _cascade(s: SparkSession, d: str, level: str, which: Column) -> DataFrame:
+    """All four levels after a cascade. Indicators stand in for by one per sub-strand, of which every third
+    names no strand."""
+    flags = ("deleted", "deleted_at", "deleted_by")
+    subs = _cur(s, d, "sub_strands", "strand_id", "code", *flags)
+    strands = _cur(s, d, "strands", "domain_id", "code", *flags)
+    by_strand = strands.select(F.col("id").alias("strand_id"), "domain_id")
+    ind = subs.select("id", "strand_id").join(by_strand, "strand_id", "left").select(
+        (F.col("id") + 1_000_000_000).alias("id"), "domain_id", F.when(F.col("id") % 3 != 0, F.col("strand_id")).alias("strand_id"),
+        F.col("id").alias("sub_strand_id"), F.lit(False).alias("deleted"), F.lit(None).cast("timestamp_ntz").alias("deleted_at"),
+        F.lit(None).cast("string").alias("deleted_by"))
+    tables = {"domain": _cur(s, d, "domains", "display_order", "code", *flags), "strand": strands, "sub_strand": subs, "indicator": ind}
+    parts = snapshot.cascade_delete(tables, level, which, "clerk", _now())
+    return reduce(DataFrame.unionByName, [p.select(F.lit(n).alias("level"), "id", "deleted", "deleted_by") for n, p in parts.items()])
 
 
 @R.add("m14_verify_toggle", f"""

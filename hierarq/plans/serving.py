@@ -333,4 +333,62 @@ def p18_vector_topk_filtered_all(s: SparkSession, d: str) -> DataFrame:
     return _of_many(s, d, kept).select("query_id", "vec_id", "label", "name", "similarity")
 
 
+_SIMILAR = f"""
+    WITH docs AS (SELECT * FROM source_documents WHERE s3_key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY s3_key ORDER BY id, loaded_at) = 1),
+    e AS (SELECT * FROM detected_elements QUALIFY row_number() OVER (PARTITION BY element_id ORDER BY detected_at) = 1),
+    dom AS (SELECT document_s3_key, code, min(title) AS name FROM e WHERE level = 'domain' AND code IS NOT NULL GROUP BY ALL),
+    j AS (SELECT v.vec_id, i.code, dom.code AS domain_code, dom.name AS domain_name, o.country, o.state, o.age_band, o.version_year, v.embedding
+      FROM embeddings v JOIN e i ON i.element_id = v.vec_id AND i.level = 'indicator' JOIN dom ON dom.document_s3_key = i.document_s3_key AND dom.code = split_part(i.code, '.', 1)
+      JOIN docs o ON o.s3_key = dom.document_s3_key)
+    SELECT e.vec_id, e.code, domain_code, domain_name, country, state, age_band, version_year, round({_COSINE}, 4) AS similarity
+    FROM j e, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q WHERE {{0}} ORDER BY {_COSINE} DESC, e.vec_id LIMIT 10"""
+
+
+def similar_indicators(s: SparkSession, d: str, vector: list[float], top_k: int = 10, country: str | None = None, state: str | None = None,
+                       age_band: str | None = None, domain: str | None = None, version_year: int | None = None) -> DataFrame:
+    """Vectors joined with their indicators, these with their domains and documents, all inner; filters that are given
+    first, then the most similar."""
+    docs = serve.where_all(table(s, d, "source_documents").where("s3_key IS NOT NULL").groupBy("s3_key").agg(
+        F.min_by(F.struct("country", "state", "age_band", "version_year"), F.struct("id", "loaded_at")).alias("o")).select("s3_key", "o.*"),
+        country=country, state=state, age_band=age_band, version_year=version_year)
+    e = first_delivery(table(s, d, "detected_elements"), "element_id", "detected_at", ["element_id", "document_s3_key", "level", "code", "title"])
+    dom = e.where("level = 'domain' AND code IS NOT NULL").groupBy("document_s3_key", F.col("code").alias("domain_code")).agg(F.min("title").alias("domain_name"))
+    if domain is not None:
+        dom = dom.where(F.col("domain_code") == domain)
+    ind = e.where("level = 'indicator'").select(F.col("element_id").alias("vec_id"), "document_s3_key", "code",
+                                                F.substring_index("code", ".", 1).alias("domain_code"))
+    rows = ind.join(dom, ["document_s3_key", "domain_code"]).join(docs, F.col("s3_key") == F.col("document_s3_key"))
+    joined = table(s, d, "embeddings").select("vec_id", "embedding").join(rows, "vec_id")
+    return serve.top_k_cosine(joined, vector, top_k).select("vec_id", "code", "domain_code", "domain_name", "country", "state", "age_band", "version_year",
+                                                            F.round("similarity", 4).alias("similarity"))
+
+
+@R.add("j1_similar_indicators", _SIMILAR.format("country = 'US' AND state = 'CA'"))
+def j1_similar_indicators(s: SparkSession, d: str) -> DataFrame:
+    """The four-way join with two of the filters given."""
+    return similar_indicators(s, d, _query_vector(s, d), country="US", state="CA")
+
+
+@R.add("p18_five_filters", _SIMILAR.format("country = 'US' AND state = 'CA' AND age_band = '3-4 years' AND domain_code = 'SE' AND version_year = 2015"))
+def p18_five_filters(s: SparkSession, d: str) -> DataFrame:
+    """All five filters given."""
+    return similar_indicators(s, d, _query_vector(s, d), country="US", state="CA", age_band="3-4 years", domain="SE", version_year=2015)
+
+
+def _o9(order: str) -> str:
+    return f"""WITH {CURRENT} SELECT id, document_id, row_number() OVER (PARTITION BY document_id ORDER BY {order}, id) AS place FROM cur_domains WHERE NOT deleted"""
+
+
+@R.add("o9_by_name_descending", _o9("lower(name) DESC NULLS LAST"))
+def o9_by_name_descending(s: SparkSession, d: str) -> DataFrame:
+    """By name without letter case, from the last."""
+    return serve.sorted_nodes(live(table(s, d, "domains"), ["document_id", "name"]), "document_id", "name", descending=True)
+
+
+@R.add("o9_by_verified", _o9("coalesce(human_verified, false) ASC"))
+def o9_by_verified(s: SparkSession, d: str) -> DataFrame:
+    """By verification, those without first."""
+    return serve.sorted_nodes(live(table(s, d, "domains"), ["document_id", "human_verified"]), "document_id", "human_verified")
+
+
 QUERIES, SQL = R.queries, R.sql

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hierarq.common import shared_dir, table
@@ -93,8 +93,30 @@ def p30_visible_messages(s: SparkSession, d: str) -> DataFrame:
     f"SELECT doc_id, '{n}' AS guard FROM documents WHERE regexp_matches(text, '{p}')" for n, p in GUARDS.items()))
 def p29_guarded_texts(s: SparkSession, d: str) -> DataFrame:
     """Which guards each text meets."""
-    hits = F.array_compact(F.array(*[F.when(F.col("text").rlike(p), F.lit(n)) for n, p in GUARDS.items()]))
-    return table(s, d, "documents").select("doc_id", F.explode(hits).alias("guard"))
+    return table(s, d, "documents").select("doc_id", F.explode(guards_met(F.col("text"))).alias("guard"))
+
+
+_CONTACT = "'No ' || c_custkey || ': ' || CASE c_custkey % 7 WHEN 0 THEN 'mail kim.' || c_custkey || '@example.org' WHEN 1 THEN 'call (212) 555-' || lpad((c_custkey % 10000)::VARCHAR, 4, '0') WHEN 2 THEN 'id 123-45-' || lpad((c_custkey % 10000)::VARCHAR, 4, '0') WHEN 3 THEN 'born 02/03/1999' WHEN 4 THEN 'at ' || (c_custkey % 900 + 1) || ' Oak Street' ELSE 'nothing' END"
+
+
+@R.add("p29_guarded_contacts", f"WITH t AS (SELECT c_custkey, {_CONTACT} AS text FROM customer) " + " UNION ALL ".join(
+    f"SELECT c_custkey, '{n}' AS guard FROM t WHERE regexp_matches(text, '{p}')" for n, p in GUARDS.items()))
+def p29_guarded_contacts(s: SparkSession, d: str) -> DataFrame:
+    """P29 on made-up contact lines that hold each kind of personal data."""
+    k = F.col("c_custkey")
+    four = F.lpad((k % 10000).cast("string"), 4, "0")
+    kinds = [F.concat(F.lit("mail kim."), k, F.lit("@example.org")), F.concat(F.lit("call (212) 555-"), four), F.concat(F.lit("id 123-45-"), four),
+             F.lit("born 02/03/1999"), F.concat(F.lit("at "), k % 900 + 1, F.lit(" Oak Street")), F.lit("nothing"), F.lit("nothing")]
+    line = F.concat(F.lit("No "), k, F.lit(": "), F.element_at(F.array(*kinds), (k % 7 + 1).cast("int")))
+    t = table(s, d, "customer").select("c_custkey", line.alias("text"))
+    return t.select("c_custkey", F.explode(guards_met(F.col("text"))).alias("guard"))
+
+
+def guards_met(c: Column, classifiers: dict[str, Column] | None = None) -> Column:
+    """Names of the guards a text meets; ``classifiers`` are further ones, given as boolean columns (such as
+    the answers of a moderation service joined to the rows)."""
+    every = [F.when(c.rlike(p), F.lit(n)) for n, p in GUARDS.items()] + [F.when(v, F.lit(n)) for n, v in (classifiers or {}).items()]
+    return F.array_compact(F.array(*every))
 
 
 _PLAN = "array<struct<label:string,description:string,activities:array<string>>>"
@@ -119,10 +141,10 @@ def flattened(plans: DataFrame, owner: int | None = None) -> DataFrame:
 
 @R.add("plan_activities", """
     SELECT o_custkey AS user_id, strftime(o_orderdate, '%Y') AS plan_id, o_orderkey::VARCHAR AS label,
-      lpad(l_linenumber::VARCHAR, 2, '0') || '-' || l_returnflag AS activity FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey % 10 = 3""")
+      lpad(l_linenumber::VARCHAR, 2, '0') || '-' || l_returnflag AS activity FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey = 7""")
 def plan_activities(s: SparkSession, d: str) -> DataFrame:
-    """The tenth of ``plan_activities_all`` that this query's SQL asks for."""
-    return flattened(_plans(s, d).where("user_id % 10 = 3"))
+    """P20: the plans of one owner."""
+    return flattened(_plans(s, d), owner=7)
 
 
 @R.add("plan_activities_all", """

@@ -68,3 +68,38 @@ def statement(spark: SparkSession, sql: str, **params: object) -> DataFrame:
 def content_key(df: DataFrame, state: str, text: str) -> DataFrame:
     """Cache key of an extraction: state and the first 16 signs of the hash of its text."""
     return df.withColumn("cache_key", F.concat(F.col(state), F.lit("-"), F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 16)))
+
+
+def ingest_plan(files: DataFrame, there: DataFrame) -> DataFrame:
+    """``files`` (path, size, ...) with status, reason and action: files of another format or without content are
+    errors; a file whose path is among ``there`` (path) gets its metadata replaced, others are put."""
+    known = there.select("path").distinct().withColumn("_there", F.lit(True))
+    form = F.regexp_extract(F.lower("path"), "\\.[^.]+$", 0).isin(*ACCEPTED)
+    ok = form & (F.col("size") > 0)
+    return files.join(known, "path", "left").withColumns({
+        "status": F.when(ok, "success").otherwise("error"),
+        "reason": F.when(~form, "unsupported format").when(~(F.col("size") > 0), "empty file"),
+        "action": F.when(ok, F.when(F.col("_there"), "replace metadata").otherwise("put"))}).drop("_there")
+
+
+def extraction_results(documents: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
+    """Per document: blocks, pages (the last page number), the way it is read (a job for PDF, else directly) and
+    status; one without any block is an error."""
+    got = blocks.groupBy(key).agg(F.count("*").alias("total_blocks"), F.max("page_number").alias("total_pages"))
+    n = F.coalesce("total_blocks", F.lit(0).cast("long"))
+    return documents.join(got, key, "left").select(
+        key, n.alias("total_blocks"), "total_pages", F.when(F.lower(key).endswith(".pdf"), "job").otherwise("direct").alias("way"),
+        F.when(n == 0, "error").otherwise("success").alias("status"))
+
+
+def statement_one(spark: SparkSession, sql: str, **params: object) -> DataFrame:
+    """The first row of a statement, or none."""
+    return statement(spark, sql, **params).limit(1)
+
+
+def read_golden(spark: SparkSession, base: str, states: list[str], schema: str) -> DataFrame:
+    """Golden sets under ``base``, one folder or file per state; states without one are skipped."""
+    out = read_json(spark, f"{base}/none", schema, missing_ok=True).withColumn("state", F.lit(""))
+    for state in states:
+        out = out.unionByName(read_json(spark, f"{base}/{state}", schema, missing_ok=True).withColumn("state", F.lit(state)))
+    return out

@@ -11,11 +11,12 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from hierarq.common import shared_dir
+from hierarq.operators.ordered import filled_forward, previous
 
 
 def event_stream(spark: SparkSession, path: str, schema: str, at: str = "ts") -> DataFrame:
@@ -73,3 +74,66 @@ def fold_frame_stream(frames: DataFrame) -> DataFrame:
 
     return frames.groupBy("session").applyInPandasWithState(
         step, "session long, answer string, state string", "answer string, ended string", "update", GroupStateTimeout.NoTimeout)
+
+
+def enriched(message: Column, plan_id: Column) -> Column:
+    """A message after its session's context; null for blank messages."""
+    words = F.trim(F.coalesce(message, F.lit("")))
+    context = F.when(F.coalesce(plan_id, F.lit("")) != "", F.concat(F.lit("[Session context: planId="), plan_id, F.lit("]\n\n"))).otherwise("")
+    return F.when(words != "", F.concat(context, words))
+
+
+def agent_frames(messages: DataFrame) -> DataFrame:
+    """``messages`` (message, chunks array<string>, error, ...) as frames (step from 1, type, text): the answer's chunks as
+    ``text`` and a ``done``, or an ``error`` and a ``done``. Blank messages are passed over. Works on streams too."""
+    frame = lambda t, x: F.struct(F.lit(t).alias("type"), x.cast("string").alias("text"))
+    done = F.array(frame("done", F.lit(None)))
+    texts = F.transform(F.coalesce("chunks", F.array().cast("array<string>")), lambda x: frame("text", x))
+    frames = F.when(F.col("error").isNotNull(), F.concat(F.array(frame("error", F.col("error"))), done)).otherwise(F.concat(texts, done))
+    asked = messages.where(F.trim(F.coalesce("message", F.lit(""))) != "")
+    rest = [c for c in messages.columns if c not in ("message", "chunks", "error")]
+    return asked.select(*rest, F.posexplode(frames).alias("_at", "_f")).select(*rest, (F.col("_at") + 1).alias("step"), "_f.type", "_f.text")
+
+
+def renewals(asks: DataFrame, session: str, at: str, ttl: int) -> DataFrame:
+    """(session, renewed_at, expires_at): a link is made at a session's first ask (``at`` in seconds) and made anew at the
+    first ask once it has expired.
+
+    A pause of at least ``ttl`` makes the next ask a renewal whatever came before, so sessions are cut
+    there and the pieces, not the sessions, are gone through one after the other."""
+    rows = asks.where(F.col(session).isNotNull() & F.col(at).isNotNull()).select(F.col(session).alias("s"), F.col(at).cast("long").alias("t")).distinct()
+    cut = previous(rows, ["s"], [F.col("t")], "t", "_before")
+    begins = F.when(F.col("_before").isNull() | (F.col("t") - F.col("_before") >= ttl), F.col("t"))
+    pieces = filled_forward(cut.withColumn("_begin", begins), ["s"], [F.col("t")], "_begin", "piece")
+    kind = asks.schema[session].dataType.simpleString()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, ends = None, 0
+        for f in frames:
+            out = []
+            for s, p, t in zip(f.s, f.piece, f.t, strict=True):
+                if (s, p) != now or t >= ends:
+                    now, ends = (s, p), t + ttl
+                    out.append((s, t, ends))
+            yield pd.DataFrame(out, columns=[session, "renewed_at", "expires_at"])
+
+    ordered = pieces.select("s", "piece", "t").repartition("s", "piece").sortWithinPartitions("s", "piece", "t")
+    return ordered.mapInPandas(run, f"`{session}` {kind}, renewed_at long, expires_at long")
+
+
+def renewal_stream(asks: DataFrame, session: str, at: str, ttl: int) -> DataFrame:
+    """``renewals`` as a stateful stream: a session's state is when its link expires."""
+    kind = asks.schema[session].dataType.simpleString()
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        ends = state.get[0] if state.exists else 0
+        out = []
+        for t in sorted(t for p in parts for t in p[at]):
+            if t >= ends:
+                ends = t + ttl
+                out.append((key[0], t, ends))
+        state.update((ends,))
+        yield pd.DataFrame(out, columns=[session, "renewed_at", "expires_at"])
+
+    return asks.groupBy(session).applyInPandasWithState(step, f"`{session}` {kind}, renewed_at long, expires_at long", "ends long", "append",
+                                                        GroupStateTimeout.NoTimeout)
