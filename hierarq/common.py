@@ -7,9 +7,10 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: Blank characters that people and scanners leave around codes: white space,
@@ -28,27 +29,60 @@ _own_dir: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session has none (tests, a laptop) a temporary folder is made,
-    and removed at exit.
-    """
+    A session without one must be local (tests, a laptop): a temporary folder is made then, and
+    removed at exit. On a cluster there is no folder that every executor is sure to see, so
+    this raises."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="hierarq-"))
         atexit.register(shutil.rmtree, _own_dir[0], True)
     return _own_dir[0]
 
 
+def shared_path(spark: SparkSession, kind: str, label: str = "") -> str:
+    """A new path in the shared folder. It is registered for deletion when the driver's JVM ends, since results
+    that are still to be computed may read it until then; a driver that is killed leaves it."""
+    path = f"{shared_dir(spark).rstrip('/')}/hierarq-{kind}/{label}{'-' if label else ''}{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)  # only a path that exists can be registered
+    files.deleteOnExit(target)
+    return path
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut, and the
-    rows outlive any executor (unlike a local checkpoint)."""
+    """Write ``df`` to the shared folder and read it back: lineage is cut, and the rows outlive any executor
+    (unlike a local checkpoint). The job runs at once, while a query is being put together."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/hierarq-stage/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = shared_path(spark, "stage", label)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_kept: dict[tuple, DataFrame] = {}
+
+
+def kept(spark: SparkSession, source: str, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The staged table ``make`` returns, made once per application and state of the files at ``source``; made
+    anew if they have changed, or if the staged files are gone."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def files(path: str) -> list[tuple]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        return [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)] if fs.exists(p) else []
+
+    key = (spark.sparkContext.applicationId, label, source, tuple(files(source)))
+    had = _kept.get(key)
+    if had is None or any(not files(f) for f in had.inputFiles()):
+        had = _kept[key] = make()
+    return had
+
+
 def code_key(c: Column) -> Column:
     """Codes compare without surrounding blanks and letter case; blank gives null."""
     t = F.upper(F.regexp_replace(c, f"^{BLANKS}+|{BLANKS}+$", ""))
@@ -70,18 +104,44 @@ def current_version(df: DataFrame, key: str = "id", at: str = "loaded_at", colum
     return best.select(key, *[F.col(f"_v.{c}").alias(c) for c in out])
 
 
-#: Shares into which the rows of one key are dealt by ``salted_join``.
-SALTS = 16
+#: A key is hot when it has more rows than this and more than one in ``HOT_PART`` of all; so at most
+#: ``HOT_PART`` keys are. Its rows are dealt into ``SALTS`` shares.
+HOT_ROWS, HOT_PART, SALTS = 1_000_000, 1_000, 64
+
+
+def hot_keys(counts: DataFrame, on: list[str]) -> list[Row]:
+    """The hot keys of ``counts`` (on..., n), at most ``HOT_PART``."""
+    most = counts.agg(F.max("n").alias("most"), F.sum("n").alias("total")).first()
+    if not most.most or most.most <= HOT_ROWS:
+        return []
+    return counts.where(F.col("n") > max(HOT_ROWS, most.total / HOT_PART)).select(*on).collect()
 
 
-def salted_join(rows: DataFrame, lookup: DataFrame, on: list[str], spread: Column, how: str = "inner") -> DataFrame:
+def salted_join(rows: DataFrame, lookup: DataFrame, on: list[str], spread: Column, how: str = "inner",
+                counts: DataFrame | None = None) -> DataFrame:
     """Join of many ``rows`` per key with a ``lookup`` that is unique on ``on``.
 
-    The rows of a key are dealt over ``SALTS`` shares by ``spread`` (a column that differs
-    between them), the lookup rows are repeated once per share: a key with a third of all
-    rows is worked on by ``SALTS`` tasks. ``how`` is inner, left or left_semi or left_anti."""
-    a = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    b = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    Rows are first counted per key (or ``counts`` (on..., n) says how many there are). Without a hot key this is
+    a plain join. Only the rows of hot keys are dealt over shares, by ``spread`` (a column
+    that differs between them), and only their lookup rows are repeated, once per share. ``how`` is
+    inner, left, left_semi or left_anti."""
+    hot = hot_keys(rows.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts, on)
+    if not hot:
+        return rows.join(lookup, on, how)
+    spark = rows.sparkSession
+    schema = rows.select(*on).schema.add("_hot", "boolean")
+    named = F.broadcast(spark.createDataFrame([(*h, True) for h in hot], schema))
+
+    def marked(df: DataFrame) -> DataFrame:
+        same = F.lit(True)
+        for c in on:
+            same = same & df[c].eqNullSafe(named[c])
+        return df.join(named, same, "left").select(*[df[c] for c in df.columns], F.coalesce("_hot", F.lit(False)).alias("_hot"))
+
+    share = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    a = marked(rows).withColumn("_salt", F.when(F.col("_hot"), share).otherwise(0)).drop("_hot")
+    shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    b = marked(lookup).withColumn("_salt", F.explode(shares)).drop("_hot")
     return a.join(b, [*on, "_salt"], how).drop("_salt")
 
 

@@ -2,7 +2,8 @@
 
 Distinct non-null foreign keys are anti-joined with the parent keys; what the distinct keys
 turned out to be is joined back to the rows for counts per table and period. Only distinct
-keys are shuffled against the parents, and the join back deals hot keys over several tasks.
+keys are shuffled against the parents; keys with very many rows are known by their counts, and
+the join back deals their rows over several tasks.
 
 Defined results: null and blank references are no case; copies of a row count once; ties
 between versions go to the greater row (``current_version``); a parent whose deleted flag
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hierarq.common import code_key, current_version, salted_join
+from hierarq.common import code_key, current_version, salted_join, staged
 
 
 def parent_state(parents: DataFrame, key: list[str], at: str = "loaded_at", deleted: str | None = "deleted") -> DataFrame:
@@ -32,12 +33,12 @@ def orphans(rows: DataFrame, key: list[str], state: DataFrame) -> DataFrame:
     wanted = rows
     for k in key:
         wanted = wanted.where(F.col(k).isNotNull())
-    keys = wanted.groupBy(*key).agg(F.min("loaded_at").alias("earliest"))
+    keys = staged(wanted.groupBy(*key).agg(F.min("loaded_at").alias("earliest"), F.count("*").alias("n")), "reference-keys")
     missing = keys.join(state, key, "left_anti").select(*key, F.lit("missing").alias("why"),
                                                         F.lit(None).cast(state.schema["first_at"].dataType).alias("first_at"))
     known = keys.join(state, key).where(F.col("gone") | (F.col("first_at") > F.col("earliest"))).select(
         *key, F.when(F.col("gone"), "deleted").otherwise("late").alias("why"), "first_at")
-    back = salted_join(wanted, missing.unionByName(known), key, F.col("row_key"))
+    back = salted_join(wanted, missing.unionByName(known), key, F.col("row_key"), counts=keys)
     return back.where((F.col("why") != "late") | (F.col("first_at") > F.col("loaded_at"))).select(
         *[F.col(c) for c in rows.columns], F.col("why").alias("reason"))
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hierarq.common import shared_dir, table
+from hierarq.common import shared_path, table
 from hierarq.functions import text
 from hierarq.operators import snapshot
 from hierarq.operators.ordered import numbered
@@ -88,7 +86,7 @@ def s14_one_and_many(s: SparkSession, d: str) -> DataFrame:
     SELECT DISTINCT state, test_case_id, code FROM golden_elements WHERE state IN ('AZ', 'CA')""")
 def s16_golden_sets(s: SparkSession, d: str) -> DataFrame:
     """Golden sets as JSON objects per state; a state without one is skipped."""
-    base = f"{shared_dir(s).rstrip('/')}/hierarq-golden/{uuid.uuid4().hex}"
+    base = shared_path(s, "golden")
     for state in ("AZ", "CA"):
         objects.write_json(table(s, d, "golden_elements").where(F.col("state") == state).select("test_case_id", "code").distinct(), f"{base}/{state}")
     return objects.read_golden(s, base, ["AZ", "CA", "ZZ"], "test_case_id string, code string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hierarq.common import table
+from hierarq.common import kept, staged, table
 from hierarq.operators import hierarchy, references, shred
 
 
@@ -21,14 +21,22 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return shred.array_elements(table(spark, d, "canonical_records"))
 
 
+def _nodes(spark: SparkSession, d: str) -> DataFrame:
+    """The node table, made once for all queries on the same files."""
+    return kept(spark, f"{d}/canonical_records.parquet", "nodes", lambda: shred.nodes(table(spark, d, "canonical_records")))
+
+
+def _paths(spark: SparkSession, d: str) -> DataFrame:
+    return kept(spark, f"{d}/canonical_records.parquet", "object-paths", lambda: staged(shred.object_paths(_nodes(spark, d)), "object-paths"))
+
+
 def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return shred.nodes(table(spark, d, "canonical_records")).drop("chain")
+    return _nodes(spark, d).drop("chain")
 
 
 def p5_objects(spark: SparkSession, d: str) -> DataFrame:
     """All entities of the data, also those without a table of their own below."""
-    n = shred.nodes(table(spark, d, "canonical_records"))
-    return shred.objects(n, shred.object_paths(n))
+    return shred.objects(_nodes(spark, d), _paths(spark, d))
 
 
 #: Names of the tables of the entities of the canonical schema; their columns come from the data.
@@ -47,15 +55,13 @@ ENTITIES = {
 
 def _entity(name: str):  # noqa: ANN202
     def run(spark: SparkSession, d: str) -> DataFrame:
-        n = shred.nodes(table(spark, d, "canonical_records"))
-        return shred.entity(n, shred.object_paths(n), name)
+        return shred.entity(_nodes(spark, d), _paths(spark, d), name)
 
     return run
 
 
 def p5_lists(spark: SparkSession, d: str) -> DataFrame:
-    n = shred.nodes(table(spark, d, "canonical_records"))
-    return shred.scalar_lists(n, shred.object_paths(n))
+    return shred.scalar_lists(_nodes(spark, d), _paths(spark, d))
 
 
 def _full(spark: SparkSession, d: str, below: bool = True) -> DataFrame:
@@ -103,7 +109,43 @@ _P3 = f"""
     p3 AS (SELECT DISTINCT table_name, strftime(loaded_at, '%Y-%m') AS period, row_key,
            CASE WHEN missing THEN 'missing' WHEN gone THEN 'deleted' ELSE 'late' END AS reason
     FROM every WHERE missing OR gone OR first_at > loaded_at)"""
+_P6 = f"""
+    WITH RECURSIVE n AS (
+      SELECT set_id, c, min(p) AS p FROM (SELECT set_id, {_CODE.format('code')} AS c, {_CODE.format('parent_code')} AS p
+      FROM golden_elements WHERE state = 'CA') WHERE c IS NOT NULL GROUP BY ALL),
+    e AS (SELECT n.set_id, n.c, q.c AS p FROM n LEFT JOIN n q ON q.set_id = n.set_id AND q.c = n.p),
+    up AS (SELECT set_id, c AS start, p AS ahead FROM e WHERE p IS NOT NULL
+      UNION SELECT up.set_id, up.start, e.p FROM up JOIN e ON e.set_id = up.set_id AND e.c = up.ahead WHERE e.p IS NOT NULL AND up.ahead <> up.start),
+    circ AS (SELECT DISTINCT set_id, start FROM up WHERE ahead = start),
+    tree AS (SELECT set_id, c, [c] AS line FROM e WHERE p IS NULL
+      UNION ALL SELECT e.set_id, e.c, list_append(tree.line, e.c) FROM tree JOIN e ON e.set_id = tree.set_id AND e.p = tree.c),
+    free AS (SELECT e.* FROM e ANTI JOIN circ ON circ.set_id = e.set_id AND circ.start = e.c),
+    below AS (SELECT set_id, p AS code, c AS descendant, 1 AS distance FROM free WHERE p IS NOT NULL AND EXISTS (SELECT 1 FROM free f WHERE f.set_id = free.set_id AND f.c = free.p)
+      UNION ALL SELECT b.set_id, b.code, f.c, b.distance + 1 FROM below b JOIN free f ON f.set_id = b.set_id AND f.p = b.descendant)"""
+_INNER = "TRY_CAST(trim({0}->>'$') AS JSON)"
+_EMBEDDED = f"CASE WHEN json_type({{0}}) = 'VARCHAR' AND starts_with(trim({{0}}->>'$'), '{{{{') AND json_type({_INNER}) = 'OBJECT' THEN {_INNER} ELSE {{0}} END"
+#: Every value of every payload with the steps that lead to it: text, whether it is an element of an array, and
+#: the field of a lone object. ``names`` are fields that hold lone objects here and arrays of objects there.
+_P5 = f"""
+    WITH RECURSIVE r AS (SELECT record_id, TRY_CAST(arg_min(payload, received_at) AS JSON) AS p FROM canonical_records WHERE payload IS NOT NULL AND record_id IS NOT NULL GROUP BY record_id),
+    w AS (SELECT record_id, {_EMBEDDED.format('p')} AS v, NULL::VARCHAR AS label, NULL::BIGINT AS ordinal, []::STRUCT(t VARCHAR, e BOOLEAN, l VARCHAR)[] AS steps FROM r
+      UNION ALL SELECT record_id, v, label, ordinal, list_append(steps, {{'t': coalesce('.' || k, '[' || o || ']'), 'e': k IS NULL AND json_type(v) = 'OBJECT',
+        'l': CASE WHEN k IS NOT NULL AND json_type(v) = 'OBJECT' THEN label END}}) FROM (
+        SELECT record_id, k, o, {_EMBEDDED.format('x')} AS v, CASE WHEN k IS NOT NULL THEN k WHEN ordinal IS NULL THEN label END AS label, o AS ordinal, steps FROM (
+          SELECT record_id, steps, label, ordinal, c.k AS k, c.o AS o, CASE WHEN c.k IS NOT NULL THEN json_extract(v, '$."' || c.k || '"') ELSE json_extract(v, '$[' || c.o || ']') END AS x
+          FROM (SELECT *, unnest(CASE json_type(v) WHEN 'OBJECT' THEN list_transform(json_keys(v), lambda a: {{'k': a, 'o': NULL::BIGINT}})
+            WHEN 'ARRAY' THEN list_transform(range(json_array_length(v)::BIGINT), lambda a: {{'k': NULL::VARCHAR, 'o': a}}) END) AS c FROM w WHERE json_type(v) IN ('OBJECT', 'ARRAY'))))),
+    names AS (SELECT coalesce(list(DISTINCT label), []) AS names FROM w WHERE json_type(v) = 'OBJECT' AND ordinal IS NULL AND label IN (
+      SELECT label FROM w WHERE json_type(v) = 'OBJECT' AND ordinal IS NOT NULL)),
+    x AS (SELECT record_id, v, label, ordinal, len(steps) AS n, list_transform(steps, lambda s: s.e OR coalesce(list_contains(names, s.l), false)) AS el,
+      list_transform(steps, lambda s: s.t || CASE WHEN NOT s.e AND coalesce(list_contains(names, s.l), false) THEN '[0]' ELSE '' END) AS piece, steps FROM w, names WHERE len(steps) > 0)"""
 SQL = {
+    "p5_found": _P5 + """
+    SELECT DISTINCT record_id, '$' || array_to_string(piece[1:coalesce(list_max(list_filter(range(1, n), lambda i: el[i])), 0)], '') AS parent_path,
+      '$' || array_to_string(piece, '') AS node_path FROM x WHERE el[n]""",
+    "p5_lists": _P5 + """
+    SELECT record_id, '$' || array_to_string(piece[1:n - 2], '') AS parent_path, label, ordinal::INT AS ordinal, v->>'$' AS scalar FROM x
+    WHERE ordinal IS NOT NULL AND json_type(v) NOT IN ('OBJECT', 'ARRAY', 'NULL') AND (n < 2 OR NOT starts_with(steps[n - 1].t, '[')) AND n >= 2""",
     "p3_found": _P3 + " SELECT * FROM p3",
     "p3_report": _P3 + " SELECT table_name, period, reason, count(*) AS cases FROM p3 GROUP BY ALL",
     "p6_found": f"""
@@ -114,4 +156,9 @@ SQL = {
       UNION SELECT up.set_id, up.start, e.p FROM up JOIN e ON e.set_id = up.set_id AND e.c = up.ahead
       WHERE e.p IS NOT NULL AND up.ahead <> up.start)
     SELECT DISTINCT set_id, start AS code FROM up WHERE ahead = start""",
+    "p6_paths": _P6 + """
+    SELECT e.set_id, e.c AS code, CASE WHEN t.line IS NOT NULL THEN array_to_string(t.line, ' > ') END AS path, (len(t.line) - 1)::INT AS depth, t.line[1] AS root,
+      (SELECT count(*) FROM below b WHERE b.set_id = e.set_id AND b.code = e.c) AS descendants, c.start IS NOT NULL AS on_circle, c.start IS NULL AND t.line IS NULL AS below_circle
+    FROM e LEFT JOIN tree t USING (set_id, c) LEFT JOIN circ c ON c.set_id = e.set_id AND c.start = e.c""",
+    "p6_descendants": _P6 + " SELECT * FROM below",
 }

@@ -369,10 +369,11 @@ def j1_similar_indicators(s: SparkSession, d: str) -> DataFrame:
     return similar_indicators(s, d, _query_vector(s, d), country="US", state="CA")
 
 
-@R.add("p18_five_filters", _SIMILAR.format("country = 'US' AND state = 'CA' AND age_band = '3-4 years' AND domain_code = 'SE' AND version_year = 2015"))
+@R.add("p18_five_filters", _SIMILAR.format("country = 'US' AND state = 'CA' AND age_band = 'Early Preschool (3 to 4 Years)' AND domain_code = 'SE' AND version_year = 2004"))
 def p18_five_filters(s: SparkSession, d: str) -> DataFrame:
     """All five filters given."""
-    return similar_indicators(s, d, _query_vector(s, d), country="US", state="CA", age_band="3-4 years", domain="SE", version_year=2015)
+    return similar_indicators(s, d, _query_vector(s, d), country="US", state="CA", age_band="Early Preschool (3 to 4 Years)", domain="SE",
+                              version_year=2004)
 
 
 def _o9(order: str) -> str:

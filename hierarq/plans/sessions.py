@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hierarq.common import shared_dir, table
+from hierarq.common import shared_path, table
 from hierarq.functions import text
 from hierarq.operators.ordered import numbered
 from hierarq.operators.serve import first_delivery
@@ -181,7 +179,7 @@ def scalar_functions(s: SparkSession, d: str) -> DataFrame:
 @R.add("s7_s8_json_roundtrip", f"WITH {CURRENT} SELECT id, title, version_year FROM docs")
 def s7_s8_json_roundtrip(s: SparkSession, d: str) -> DataFrame:
     """Written as JSON objects and read with a declared schema."""
-    path = f"{shared_dir(s).rstrip('/')}/hierarq-json/{uuid.uuid4().hex}"
+    path = shared_path(s, "json")
     objects.write_json(first_delivery(table(s, d, "source_documents"), "id", "loaded_at", ["id", "title", "version_year"]), path)
     return objects.read_json(s, path, "id long, title string, version_year int")
 
@@ -193,7 +191,7 @@ def s10_canonical_sink(s: SparkSession, d: str) -> DataFrame:
     """Partitioned sink where the last record of an id wins."""
     rec = table(s, d, "source_documents").select(F.concat_ws("-", "country", "state", (F.col("id") % 100).cast("string")).alias("standard_id"),
                                                 "country", "state", "version_year", F.col("id").alias("seq"), F.col("id").alias("seq_kept"))
-    path = f"{shared_dir(s).rstrip('/')}/hierarq-canonical/{uuid.uuid4().hex}"
+    path = shared_path(s, "canonical")
     objects.write_canonical(rec, path)
     return s.read.schema("standard_id string, seq_kept long, country string, state string, version_year int").json(path).select(
         "standard_id", "country", "state", "version_year", "seq_kept")

@@ -7,7 +7,6 @@ and ``done`` end it, anything else is ignored, as are frames after the end.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from hierarq.common import shared_dir
+from hierarq.common import shared_path
 from hierarq.operators.ordered import filled_forward, previous
 
 
@@ -33,7 +32,7 @@ def windowed_sums(events: DataFrame, length: str = "1 hour", lateness: str = "10
 def run_to_end(stream: DataFrame, label: str, mode: str = "complete") -> DataFrame:
     """Processes what is there and returns the sink's table. Every batch replaces its own folder,
     so a repeated batch changes nothing."""
-    base = f"{shared_dir(stream.sparkSession).rstrip('/')}/hierarq-stream/{label}-{uuid.uuid4().hex}"
+    base = shared_path(stream.sparkSession, "stream", label)
 
     def sink(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out/{'last' if mode == 'complete' else f'batch={n}'}")
