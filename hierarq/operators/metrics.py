@@ -83,7 +83,7 @@ def log_lines(calls: DataFrame) -> DataFrame:
     """One JSON line per call."""
     return calls.select("call_id", F.to_json(F.struct(
         F.lit("llm_call").alias("event"), "run_id", "stage", "model_id", "input_tokens", "output_tokens",
-        F.round("cost_usd", 6).alias("cost_usd"), "retry_count", "success")).alias("line"))
+        F.col("cost_usd").cast("decimal(18,6)").cast("string").alias("cost_usd"), "retry_count", "success")).alias("line"))
 
 
 def latest_totals(calls: DataFrame) -> DataFrame:

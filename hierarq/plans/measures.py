@@ -325,8 +325,11 @@ def s18_fan_out(s: SparkSession, d: str) -> DataFrame:
     return metrics.fan_out(_calls(s, d, "stage", "latency_ms", "retry_count", "success"))
 
 
-@R.add("s19_log_lines")
+@R.add("s19_log_lines", f"""
+    WITH {_M} SELECT call_id, CAST(json_merge_patch('{{}}', json_object('event', 'llm_call', 'run_id', run_id, 'stage', stage, 'model_id', model_id, 'input_tokens', input_tokens,
+      'output_tokens', output_tokens, 'cost_usd', round(cost_usd, 6)::DECIMAL(18, 6)::VARCHAR, 'retry_count', retry_count, 'success', success)) AS VARCHAR) AS line FROM x""")
 def s19_log_lines(s: SparkSession, d: str) -> DataFrame:
+    """The line of every call; costs as text with six places."""
     return metrics.log_lines(_calls(s, d, "run_id", "stage", "retry_count", "success"))
 
 

@@ -154,7 +154,17 @@ def _flat(s: SparkSession, d: str) -> DataFrame:
                     F.concat(F.lit("E-"), F.col("element_id").cast("string")).alias("standard_id"))
 
 
-@R.add("p11_canonical")
+@R.add("p11_canonical", """
+    WITH e AS (SELECT * FROM detected_elements QUALIFY row_number() OVER (PARTITION BY element_id ORDER BY detected_at) = 1),
+    docs AS (SELECT * FROM source_documents QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at) = 1),
+    o AS (SELECT * FROM docs WHERE s3_key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY s3_key ORDER BY id) = 1)
+    SELECT 'E-' || e.element_id AS standard_id, CAST(json_merge_patch('{}', json_object('country', o.country, 'state', o.state,
+      'document', json_object('title', coalesce(nullif(o.title, ''), o.state || ' Early Learning Standards'), 'version_year', o.version_year, 'source_url', coalesce(o.source_url, ''),
+        'age_band', coalesce(nullif(e.age_band, ''), nullif(o.age_band, ''), 'PK'), 'publishing_agency', coalesce(o.publishing_agency, '')),
+      'standard', json_object('standard_id', 'E-' || e.element_id, 'domain', CASE WHEN split_part(e.code, '.', 1) <> '' THEN json_object('code', split_part(e.code, '.', 1), 'name', 'Domain ' || split_part(e.code, '.', 1)) END,
+        'indicator', json_object('code', e.code, 'name', nullif(e.title, ''), 'description', coalesce(nullif(e.description, ''), nullif(e.title, ''), ''))),
+      'metadata', json_object('page_number', coalesce(e.source_page, 1), 'source_text', coalesce(e.source_text, '')))) AS VARCHAR) AS payload
+    FROM e JOIN o ON o.s3_key = e.document_s3_key WHERE e.level = 'indicator' AND e.code IS NOT NULL""")
 def p11_canonical(s: SparkSession, d: str) -> DataFrame:
     """Flat rows as canonical JSON."""
     return canonical.serialised(canonical.to_canonical(_flat(s, d)))
