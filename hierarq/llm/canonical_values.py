@@ -6,26 +6,32 @@ the entries' forms under the Levenshtein metric returns every entry within the t
 pruned by the triangle inequality. Digits never count as typing errors: a form whose
 digits differ from the entry's is no match, whatever the distance.
 
-The tree is broadcast while the list has at most ``MAX_BROADCAST`` forms; a longer list is
-cut into shards, each searched by itself, and the shard winners merge.
+What a value asks of the list (``asked``), what a tree answers (``answered``) and what is made of
+the answers (``decided``) are three steps. A list of at most ``MAX_BROADCAST`` forms is one
+tree. A longer list is dealt over shards of about ``SHARD_FORMS`` forms; every shard answers for
+the distinct values, and only the answers of all shards together are decided on, so the
+result does not depend on how the list is cut.
 
 Defined results: null and blank values are no case; a value that means no entry maps to
 0; ties between entries at equal distance go to the smaller id; repeated rows of one id
-count once (a conflict between copies goes to the greater band_id); an empty reference
-list maps everything to 0; long values are searched whole.
+count once (a conflict between copies goes to the smaller distance, then to the smaller
+band_id above 0); an empty reference list maps everything to 0; long values are searched whole.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hierarq.common import salted_join, staged
+from hierarq.llm.number_words import TENS, WORDS, chinese, vietnamese
+
 MAX_BROADCAST = 100_000
 SHARD_FORMS = 50_000
 
@@ -83,20 +89,7 @@ class BKTree:
         return sorted(found)
 
 
-# Number words of the languages in which ages are typed, and units.
-NUMBER_WORDS = {
-    "zero": 0, "birth": 0, "newborn": 0, "newborns": 0, "nacimiento": 0, "cero": 0,
-    "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10,
-    "eleven": 11, "twelve": 12, "thirteen": 13, "fourteen": 14, "fifteen": 15, "sixteen": 16, "seventeen": 17,
-    "eighteen": 18, "nineteen": 19,
-    "uno": 1, "un": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
-    "diez": 10, "once": 11, "doce": 12, "dieciocho": 18, "veinticuatro": 24,
-}
-TENS_WORDS = {
-    "twenty": 20, "thirty": 30, "forty": 40, "fifty": 50, "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90,
-    "veinte": 20, "treinta": 30, "cuarenta": 40, "cincuenta": 50, "sesenta": 60, "setenta": 70, "ochenta": 80,
-    "noventa": 90,
-}
+# Units and words around ages.
 MONTH_WORDS = ["m", "mo", "mos", "mth", "mths", "month", "months", "mes", "meses"]
 YEAR_WORDS = ["y", "yo", "y/o", "yr", "yrs", "year", "years", "ano", "anos", "age", "ages", "aged", "edad", "edades"]
 OTHER_UNITS = ["week", "weeks", "wk", "wks", "day", "days", "hour", "hours", "semana", "semanas", "dia", "dias", "hora",
@@ -104,9 +97,12 @@ OTHER_UNITS = ["week", "weeks", "wk", "wks", "day", "days", "hour", "hours", "se
 RANGE_WORDS = ["to", "through", "thru", "until", "till", "a", "al", "hasta", "-"]
 FILLER_WORDS = ["old", "olds", "of", "from", "de", "desde", "between", "the", "los", "las", "edad"]
 BY_WORDS = ["by", "hacia", "al", "los"]
+#: A word of so many letters may be a number word with one typing error.
+NUMBER_LETTERS = 5
 
 _TOKEN = re.compile(r"\d+(?:\.\d+)?|y/o|[^\W\d_]+|-|/|[^\s\w]")
 _NUMBER = re.compile(r"\d+(?:\.\d+)?$")
+_NUMBER_TREE = BKTree([(w, n) for w, n in (WORDS | TENS).items() if len(w) >= NUMBER_LETTERS])
 _UNIT_TREE = BKTree([(w, i) for i, w in enumerate(w for w in MONTH_WORDS + YEAR_WORDS if len(w) >= 5)])
 
 
@@ -114,13 +110,26 @@ def plain(text: str) -> str:
     """Lower case without accents, fractions as ``+1/2``, one kind of dash, single blanks."""
     t = text.replace("½", " 1/2 ").replace("⁄", "/")
     t = unicodedata.normalize("NFKD", t.replace("\u00a0", " ").lower())
-    t = "".join(c for c in t if not unicodedata.combining(c))
+    t = chinese("".join(c for c in t if not unicodedata.combining(c)))
     t = re.sub(r"[‐-―−~]", "-", t)
     t = re.sub(r"\b(\d+)\s+(\d)\s*/\s*(\d+)(?!\d)", lambda m: str(float(Fraction(int(m[2]), int(m[3]) or 1) + int(m[1]))), t)
     t = re.sub(r"(?<=[a-z])\.(?=[a-z0-9])", "", t)  # p.k.3
     return re.sub(r"\s+", " ", t).strip(" \t\n.,;:()[]{}*\"'")
 
 
+def _tokens(text: str) -> list[str]:
+    return vietnamese(_TOKEN.findall(plain(text)))
+
+
+def _corrected(tokens: list[str]) -> list[str]:
+    """Words one typing error away from a single number word become that word."""
+    out = []
+    for w in tokens:
+        near = _NUMBER_TREE.within(w, 1) if len(w) >= NUMBER_LETTERS and w.isalpha() and w not in WORDS and w not in TENS and not _unit(w) else []
+        out.append(near[0][2] if len({n for _, n, _ in near}) == 1 else w)
+    return out
+
+
 def _numbers(tokens: list[str]) -> list[str | float]:
     """Number words and ``and a half`` become numbers."""
     out: list[str | float] = []
@@ -129,14 +138,14 @@ def _numbers(tokens: list[str]) -> list[str | float]:
         w = tokens[i]
         if _NUMBER.match(w):
             out.append(float(w))
-        elif w in TENS_WORDS:
-            n = TENS_WORDS[w]
+        elif w in TENS:
+            n = TENS[w]
             j = i + 1 + (i + 1 < len(tokens) and tokens[i + 1] in ("-", "y"))
-            if j < len(tokens) and 1 <= NUMBER_WORDS.get(tokens[j], 0) <= 9:
-                n, i = n + NUMBER_WORDS[tokens[j]], j
+            if j < len(tokens) and 1 <= WORDS.get(tokens[j], 0) <= 9:
+                n, i = n + WORDS[tokens[j]], j
             out.append(float(n))
-        elif w in NUMBER_WORDS:
-            out.append(float(NUMBER_WORDS[w]))
+        elif w in WORDS:
+            out.append(float(WORDS[w]))
         elif w == "half" and len(out) >= 2 and out[-2:] == ["and", "a"] and len(out) > 2 and isinstance(out[-3], float):
             out[-3:] = [out[-3] + 0.5]
         elif w in ("media", "medio") and len(out) > 1 and out[-1] == "y" and isinstance(out[-2], float):
@@ -164,10 +173,12 @@ def _unit(word: str | float | None) -> int:
     return 0
 
 
-def age_forms(text: str) -> tuple[str, str | None, bool]:
+def age_forms(text: str, corrected: bool = False) -> tuple[str, str | None, bool]:
     """(name, ages, wrong_unit): the value without its ages, the ages as ``low-high m`` or
-    ``by high m`` (months), and whether numbers stand with a unit that is no age."""
-    tokens = _numbers(_TOKEN.findall(plain(text)))
+    ``by high m`` (months), and whether numbers stand with a unit that is no age. With ``corrected``
+    number words may have a typing error."""
+    words = _tokens(text)
+    tokens = _numbers(_corrected(words) if corrected else words)
     nums = [i for i, w in enumerate(tokens) if isinstance(w, float)]
     used: set[int] = set()
     ages, wrong = None, False
@@ -211,6 +222,8 @@ def age_forms(text: str) -> tuple[str, str | None, bool]:
             ages = f"by {tokens[i] * u:g}m"
             used = {i, *a, *before}
     rest = [f"{w:g}" if isinstance(w, float) else w for k, w in enumerate(tokens) if k not in used]
+    if ages and all(w in FILLER_WORDS for w in rest):
+        rest = []
     name = " ".join(w for w in rest if re.match(r"\w", w))
     return name, ages, wrong
 
@@ -222,7 +235,7 @@ def _name_form(name: str) -> str:
 
 
 def _pk(text: str) -> str | None:
-    t = " ".join(f"{w:g}" if isinstance(w, float) else w for w in _numbers(_TOKEN.findall(plain(text))))
+    t = " ".join(f"{w:g}" if isinstance(w, float) else w for w in _numbers(_tokens(text)))
     t = re.sub(r"[^a-z0-9]+", " ", t).strip()
     form = _name_form(t)
     return form if form != t or re.fullmatch(r"pk\d+", t) else None
@@ -258,33 +271,61 @@ def _digits(form: str) -> list[str]:
     return re.findall(r"\d+(?:\.\d+)?", form)
 
 
-def match_band(text: str, tree: BKTree) -> tuple[int, int]:
-    """(band_id, distance) of the meant band, or (0, -1)."""
+def asked(text: str) -> dict[str, tuple[str, int]]:
+    """What a value asks of a list: forms by kind, each with the edits forgiven. A year of
+    pre-kindergarten asks for that alone, a number with a unit that is no age for nothing."""
     pk = _pk(text)
     if pk:
-        hit = tree.within(pk, 0)
-        return (hit[0][1], 0) if hit else (0, -1)
+        return {"pk": (pk, 0)}
     name, ages, wrong = age_forms(text)
     if wrong:
-        return 0, -1
-    by_age = {entry for _, entry, form in tree.within(ages, 0)} if ages else set()
+        return {}
+    out: dict[str, tuple[str, int]] = {}
     if name:
-        near = [(d, entry) for d, entry, form in tree.within(name, threshold(name)) if _digits(form) == _digits(name)]
-        if near:
-            best = min(near)
-            if not ages or any(e in by_age for _, e in near):
-                return min((x for x in near if x[1] in by_age), default=best)[::-1]
-            return 0, -1  # the name of one band with the ages of another
-    if not ages:
-        near = [(d, entry) for d, entry, form in tree.within(plain(text), threshold(plain(text)))
-                if _digits(form) == _digits(plain(text))]
-        return min(near)[::-1] if near else (0, -1)
-    return (min(by_age), 0) if by_age and not name else (0, -1)
-
-
-def map_values(rows: DataFrame, value: str, forms: list[tuple[str, int]], matcher: Callable = match_band) -> DataFrame:
-    """``rows`` with (band_id, distance) of the column ``value``; each task remembers the
-    distinct values it has met (at most ``MAX_BROADCAST``), so no shuffle is needed."""
+        out["name"] = (name, threshold(name))
+    if ages:
+        out["ages"] = (ages, 0)
+        return out
+    whole = plain(text)
+    out["whole"] = (whole, threshold(whole))
+    name, ages, wrong = age_forms(text, corrected=True)
+    if ages and not name and not wrong:
+        out["typo"] = (ages, 0)
+    return out
+
+
+def answered(tree: BKTree, forms: dict[str, tuple[str, int]]) -> list[tuple[str, int, int]]:
+    """(kind, distance, entry) of every entry of a tree within what is asked."""
+    return [(kind, d, entry) for kind, (form, limit) in forms.items() for d, entry, found in tree.within(form, limit)
+            if kind in ("pk", "ages", "typo") or _digits(found) == _digits(form)]
+
+
+def decided(forms: dict[str, tuple[str, int]], answers: list[tuple[str, int, int]]) -> tuple[int, int]:
+    """(band_id, distance) of the meant band, or (0, -1). A name that is met goes before ages; with both given
+    they must agree."""
+    met = {kind: sorted((d, entry) for k, d, entry in answers if k == kind) for kind in ("pk", "name", "ages", "whole", "typo")}
+    found: list[tuple[int, int]] = []
+    if "pk" in forms:
+        found = met["pk"]
+    elif met["name"]:
+        by_age = {entry for _, entry in met["ages"]}
+        found = [x for x in met["name"] if "ages" not in forms or x[1] in by_age]
+    elif "ages" not in forms:
+        found = met["whole"] or met["typo"]
+    elif "name" not in forms:
+        found = met["ages"]
+    return (found[0][1], found[0][0]) if found else (0, -1)
+
+
+def match_band(text: str, tree: BKTree) -> tuple[int, int]:
+    """(band_id, distance) of the band a value means by a list that is one tree."""
+    forms = asked(text)
+    return decided(forms, answered(tree, forms))
+
+
+def _mapped(rows: DataFrame, value: str, forms: list[tuple[str, int]]) -> DataFrame:
+    """``rows`` with (band_id, distance) by a list that is one tree; each task remembers the distinct values it
+    has met (at most ``MAX_BROADCAST``), so no shuffle is needed."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -296,7 +337,7 @@ def map_values(rows: DataFrame, value: str, forms: list[tuple[str, int]], matche
                 if hit is None:
                     if len(known) >= MAX_BROADCAST:
                         known.clear()
-                    hit = known[v] = (0, -1) if v is None else matcher(v, tree)
+                    hit = known[v] = match_band(v, tree)
                 got.append(hit)
             out = frame.copy()
             out["band_id"] = pd.Series([g[0] for g in got], index=frame.index, dtype="int32")
@@ -306,30 +347,61 @@ def map_values(rows: DataFrame, value: str, forms: list[tuple[str, int]], matche
     return rows.mapInPandas(run, f"{fields}, band_id int, distance int")
 
 
-def shards(forms: Iterator[tuple[str, int]], size: int = SHARD_FORMS) -> Iterator[list[tuple[str, int]]]:
-    part: list[tuple[str, int]] = []
-    for x in forms:
-        part.append(x)
-        if len(part) >= size:
-            yield part
-            part = []
-    if part:
-        yield part
+def _mapped_by_shards(rows: DataFrame, value: str, forms: DataFrame, n: int) -> DataFrame:
+    """The same by a list in shards: distinct values are staged once, every shard is sent along by itself and
+    answers for them, and the answers to a value are decided on together."""
+    spark = rows.sparkSession
+    values = staged(rows.groupBy(value).agg(F.count("*").alias("n")), "typed-values")
+    shards = -(-n // SHARD_FORMS)
+    parts = []
+    for i in range(shards):
+        shard = [(r.form, r.entry) for r in forms.where(F.pmod(F.xxhash64("form"), F.lit(shards)) == i).collect()]  # about SHARD_FORMS
+        sent = spark.sparkContext.broadcast(shard)
+
+        def run(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:  # noqa: ANN001
+            tree = BKTree(sent.value)
+            for frame in frames:
+                out = [(v, *hit) for v in frame[value] for hit in answered(tree, asked(v))]
+                yield pd.DataFrame(out, columns=["value", "kind", "distance", "entry"])
+
+        parts.append(staged(values.select(value).mapInPandas(run, "value string, kind string, distance int, entry int"), f"answers-{i}"))
+        sent.unpersist()
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    # Of a kind only the nearest entries and, for agreement of name and ages, all of both decide.
+    told = every.groupBy("value").agg(F.collect_set(F.struct("kind", "distance", "entry")).alias("answers"))
+    whole = values.join(told, F.col(value) == F.col("value"), "left").select(value, "n", "answers")
+
+    def decide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            got = [decided(asked(v), [(x["kind"], x["distance"], x["entry"]) for x in a] if a is not None else []) for v, a in
+                   zip(frame[value], frame.answers, strict=True)]
+            yield pd.DataFrame({value: frame[value], "n": frame.n, "band_id": [g[0] for g in got], "distance": [g[1] for g in got]})
+
+    means = staged(whole.mapInPandas(decide, f"`{value}` string, n long, band_id int, distance int"), "value-bands")
+    return salted_join(rows, means.drop("n"), [value], F.col("row_id"), counts=means)
 
 
 def map_to_bands(rows: DataFrame, bands: DataFrame, value: str = "age_band") -> DataFrame:
     """(table_name, row_id, typed value, band_id, distance), one row per row id.
 
-    ``rows`` has table_name, row_id and ``value``. The reference list is read in shards of
-    bounded size; up to ``MAX_BROADCAST`` forms it is one shard."""
+    ``rows`` has table_name, row_id and ``value``. The forms of the list are made by tasks and staged; at most
+    ``MAX_BROADCAST`` of them, or a shard, come to the driver at once."""
     df = rows.where(F.regexp_replace(F.coalesce(F.col(value), F.lit("")), r"[\s\u00a0]+", "") != "").select(
         "table_name", "row_id", value)
-    listed = band_forms([(r[0], r[1], r[2], r[3]) for r in
-                         bands.select("band_id", "label", "low_months", "high_months").toLocalIterator()])
-    parts = list(shards(iter(listed), MAX_BROADCAST if len(listed) <= MAX_BROADCAST else SHARD_FORMS)) or [[]]
-    found = map_values(df, value, parts[0])
-    for part in parts[1:]:
-        found = found.unionByName(map_values(df, value, part))
+
+    def written(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame(band_forms(list(zip(f.band_id, f.label, f.low_months, f.high_months, strict=True))), columns=["form", "entry"])
+
+    listed = bands.where("band_id IS NOT NULL").select("band_id", "label", F.col("low_months").cast("double"), F.col("high_months").cast("double"))
+    forms = staged(listed.mapInPandas(written, "form string, entry int").distinct(), "band-forms")
+    n = forms.count()
+    if n <= MAX_BROADCAST:
+        found = _mapped(df, value, [(r.form, r.entry) for r in forms.collect()])
+    else:
+        found = _mapped_by_shards(df, value, forms, n)
     rank = F.struct(F.when(F.col("band_id") > 0, 1).otherwise(0), -F.col("distance"), -F.col("band_id"))
     return found.groupBy("table_name", "row_id").agg(
         F.max_by(F.struct(value, "band_id", "distance"), rank).alias("_w")).select(

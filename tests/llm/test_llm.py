@@ -167,6 +167,9 @@ def test_bk_tree_finds_all_within(words, query, limit) -> None:  # noqa: ANN001
     ("4 years—60 months", 6), ("P.K.3", 7), ("pre kindergarten three", 7), ("Pre-K 4", 8), ("By 36 Mnoths", 10), ("a los 48 meses", 11), ("by age five", 12),
     ("3 ½ a 4 1/2 años", 13), ("three and a half to four and a half years", 13), ("Birth to Three", 16), ("newborn–36 months", 16), ("thre to five", 17),
     ("Early Preschool - 3 a 4 años", 5), ("2½ - 5yr olds", 18), ("3 to 4 months", 0), ("36-48 hours", 0), ("School Age (9 to 12 Years)", 0), ("By 18 Months", 0),
+    ("quince a treinta meses", 0), ("dieciocho a treinta meses", 3), ("cuarenta y ocho a sesenta meses", 6), ("thirty-six to forty eight months", 5),
+    ("eigteen to thirty months", 3), ("from 36 to 48 months", 5), ("từ 36 đến 48 tháng", 5), ("năm đến sáu tuổi", 9), ("3 năm đến 5 năm tuổi", 17), ("trước 48 tháng", 11),
+    ("hai mươi bốn tháng", 0), ("三岁至四岁", 5), ("四岁半至五岁半", 14), ("三十六至四十八个月", 5), ("出生至八个月", 1), ("48个月之前", 11),
     ("PK5", 0), ("all ages", 0), ("Grade 3", 0), ("??", 0), ("x" * 5000, 0), ("Later Preschool (3 to 4 Years)", 0),
 ])
 def test_bands(typed: str, band: int) -> None:
@@ -181,11 +184,17 @@ def test_bands_rows_and_shards(spark, monkeypatch) -> None:  # noqa: ANN001
     bands = spark.read.parquet("/root/testdata/sf0.001/age_bands.parquet")
     want = {(1, 7), (4, 0)}
     assert {(r.row_id, r.band_id) for r in canonical_values.map_to_bands(rows, bands).collect()} == want
-    monkeypatch.setattr(canonical_values, "MAX_BROADCAST", 5)
-    monkeypatch.setattr(canonical_values, "SHARD_FORMS", 5)
-    assert {(r.row_id, r.band_id) for r in canonical_values.map_to_bands(rows, bands).collect()} == want
     assert {r.band_id for r in canonical_values.map_to_bands(rows, bands.limit(0)).collect()} == {0}
     assert canonical_values.map_to_bands(rows.limit(0), bands).count() == 0
+    # The result is the same however the list is cut.
+    typed = spark.read.parquet("/root/testdata/sf0.01/detected_elements.parquet").select(
+        F.lit("t").alias("table_name"), F.col("element_id").alias("row_id"), "age_band").union(rows.select("table_name", -F.col("row_id"), "age_band"))
+    whole = {(r.row_id, r.band_id, r.distance) for r in canonical_values.map_to_bands(typed, bands).collect()}
+    for size in (5, 10, 20):
+        monkeypatch.setattr(canonical_values, "MAX_BROADCAST", size)
+        monkeypatch.setattr(canonical_values, "SHARD_FORMS", size)
+        assert {(r.row_id, r.band_id, r.distance) for r in canonical_values.map_to_bands(typed, bands).collect()} == whole
+    assert {r.band_id for r in canonical_values.map_to_bands(rows.limit(0), bands).collect()} == set()
 
 
 # --- problem 8 ---
