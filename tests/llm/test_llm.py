@@ -63,12 +63,22 @@ E = "element_id long, document_s3_key string, source_page int, source_text strin
 
 def _scan(spark):  # noqa: ANN001, ANN202
     sound = "Children explore familiar materials during the morning while families provide learning support at home in a small group."
-    rows = [(i, "d", i, sound, i, "LAYOUT_TEXT", "x") for i in range(30)]
+    rows = [(i, "d", i, f"{sound} It was day {i} of the year.", i, "LAYOUT_TEXT", "x") for i in range(30)]
     lines = [(100, 1, "Green Hills Early Learning Council"), (101, 1, "Children explore famil-"), (102, 1, "iar materials. Three-"), (103, 1, "and four-year groups explore."),
              (104, 1, "7"), (105, 2, "Green Hills Early Learning Council | 8"), (106, 2, "Children exp1ore the m0rning with farnilies."), (107, 2, "Section A2.1: Small Group"),
              (108, 2, "Children support learn­"), (109, 2, "- 8 -"), (110, 3, "Green Hills Early Learning Council"), (111, 3, "ing at home.")]
     rows += [(i, "e", i, t, p, "LINE", "x") for i, p, t in lines]
     rows += [(200, "e", 200, "12", 3, "CELL", "x"), (201, "e", 201, None, 3, "LINE", "x"), (202, "e", 202, "", 3, "LINE", "x"), (101, "e", 101, "Children explore famil-", 1, "LINE", "x")]
+    # Documents that teach the models: pages with a header, a printed number, sentences over lines, headings.
+    n = 1000
+    for k, (doc, head) in enumerate((("f", "Blue River Learning Standards"), ("g", "Stone Valley Office of Early Years"), ("h", "Low Field Agency for Families"))):
+        for p in range(1, 21):
+            shape = ("{}", "- {} -", "Page {}")[k]
+            page = [head, f"Children of {20 + p} to", f"{30 + p * 7 % 19} months.", f"Goal {'ABC'[k]}{p * 7 % 13}.{p * 5 % 11}: Small Group", f"In week {p} two- and three- and four-year groups explore", "familiar materials during the morning",
+                    "with learning support at home.", shape.format(p + 4)]
+            for t in page:
+                rows.append((n, doc, n, t, p, "LINE", "x"))
+                n += 1
     elements = [(1, "e", 1, "AB.1 Title. Children explore\nGreen Hills Early Learning Council\nmaterials for ages 3-\n4 in the room PK3.\nPage 3", "x"), (2, "e", None, None, "x"),
                 (3, "zz", 1, "Plain text of children at home.", "x")]
     return spark.createDataFrame(rows, B), spark.createDataFrame(elements, E)
@@ -76,10 +86,33 @@ def _scan(spark):  # noqa: ANN001, ANN202
 
 def test_noise_found(spark) -> None:  # noqa: ANN001
     got = {tuple(r) for r in scan_repair.noise(*_scan(spark)).collect()}
-    blocks = {(i, n) for t, i, n in got if t == "text_blocks"}
+    blocks = {(i, n) for t, i, n in got if t == "text_blocks" and i < 1000}
     assert blocks == {(100, "header"), (105, "header"), (105, "page_number"), (110, "header"), (101, "hyphen"), (108, "hyphen"), (104, "page_number"),
                       (109, "page_number"), (106, "misread")}
     assert {(i, n) for t, i, n in got if t == "detected_elements"} == {(1, "header"), (1, "page_number")}
+    taught = [n for t, i, n in got if t == "text_blocks" and i >= 1000]
+    assert taught.count("header") == 60 and taught.count("page_number") == 60 and len(taught) == 120
+
+
+def test_candidates_within_the_edits_are_not_lost(spark) -> None:  # noqa: ANN001
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 11))) for _ in range(150)]
+    near = words[:60] + [w[:i] + rng.choice("abcdefgh") + w[i + 1 :] for w in words for i in (rng.randrange(len(w)),)] + [w[1:] for w in words] + [w[:2] + w[4:] for w in words]
+    a, b = (spark.createDataFrame([(w,) for w in set(x)], "skel string") for x in (near, words))
+
+    def edits(n: int) -> int:
+        return max([e for least, e in scan_repair.SKELETON_EDITS.items() if n >= least], default=0)
+
+    want = {(x, y) for x in set(near) for y in set(words) if canonical_values.levenshtein(x, y) <= edits(min(len(x), len(y)))}
+    got = {tuple(r) for r in scan_repair.candidate_pairs(a, b).collect()}
+    assert got <= want and len(got & want) >= 0.99 * len(want)  # words whose grams repeat may lack a gram
+    assert len(want) > 300
+
+
+def test_blocks_without_a_page_stand_alone(spark) -> None:  # noqa: ANN001
+    blocks = spark.createDataFrame([(i, "d", i, f"Plain words number {w}.", None, "LINE", "x") for i, w in enumerate(("one", "two", "three"))], B)
+    got = scan_repair.paragraphs(blocks, _scan(spark)[1].limit(0)).collect()
+    assert sorted((r.row_id, r.text) for r in got) == [(0, "Plain words number one."), (1, "Plain words number two."), (2, "Plain words number three.")]
 
 
 def test_paragraphs(spark) -> None:  # noqa: ANN001
