@@ -54,12 +54,14 @@ def shared_path(spark: SparkSession, kind: str, label: str = "") -> str:
     return path
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, and the rows outlive any executor
-    (unlike a local checkpoint). The job runs at once, while a query is being put together."""
+    (unlike a local checkpoint). The job runs at once, while a query is being put together. With ``by`` (a
+    column of few values that is not null) a reader of some values reads only their files."""
     spark = df.sparkSession
     path = shared_path(spark, "stage", label)
-    df.write.mode("overwrite").parquet(path)
+    out = df.write.mode("overwrite")
+    (out.partitionBy(by) if by else out).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -102,6 +102,17 @@ def filled_forward(df: DataFrame, keys: list[str], order: Order, value: str, nam
     return _clean(_joined(local, per.drop("_last", "_head"), keys).withColumn(name, filled).drop("_own", "_carry", "_first"))
 
 
+def following(df: DataFrame, keys: list[str], order: Order, columns: list[str]) -> DataFrame:
+    """``df`` with ``next``, the struct of ``columns`` of the row after in its group, null at its end."""
+    rows = _ranges(df, keys, order)
+    inside, _ = _windows(keys, order)
+    at = F.struct(*[f"_o{i}" for i in range(len(order))])
+    after = Window.partitionBy(*keys).orderBy("_range")
+    per = rows.groupBy(*keys, "_range").agg(F.min_by(F.struct(*columns), at).alias("_first")).withColumn("_ahead", F.lead("_first").over(after)).drop("_first")
+    local = rows.withColumn("_next", F.lead(F.struct(*columns)).over(inside))
+    return _clean(_joined(local, per, keys).withColumn("next", F.coalesce("_next", "_ahead")).drop("_next", "_ahead"))
+
+
 def previous(df: DataFrame, keys: list[str], order: Order, value: str, name: str) -> DataFrame:
     """``df`` with ``value`` of the row before in its group, by an equi-join on positions."""
     rows = staged(numbered(df, keys, order, "_place"), "places")

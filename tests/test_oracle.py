@@ -1,4 +1,4 @@
-"""Every query with SQL gives the rows that another engine gets from that SQL."""
+"""Every core query with SQL gives the rows that another engine gets from that SQL."""
 
 from __future__ import annotations
 
@@ -12,8 +12,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from hierarq import queries as core
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = {n: entry.queries()[n] for n in core.QUERIES}, core.SQL
 
 
 def plain(v):  # noqa: ANN001, ANN201
