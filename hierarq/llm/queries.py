@@ -82,10 +82,15 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_shares(table(spark, d, "documents"))
 
 
+def p10_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncation_reasons(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_paragraphs": p2_paragraphs,
     "p4_percentiles": p4_percentiles, "p4_measured": p4_measured, "p7_found": p7_found, "p7_unmatched": p7_unmatched,
     "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shares": p10_shares,
+    "p10_reasons": p10_reasons,
 }
 
 SQL: dict[str, str] = {

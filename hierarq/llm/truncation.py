@@ -1,14 +1,18 @@
 """Texts cut off by field limits or mid-transfer (problem 10).
 
-A stack automaton reads each text once: brackets and curly quotes open and close, and the end
-is judged by what is still open and by the last line. Broken multibyte sequences, cut
+A stack automaton reads each text once, from its start to its end: brackets, curly and straight
+double quotes, code fences and markup elements open and close, and the end is judged by what is
+still open and by the last line. Broken multibyte sequences, cut
 entities, escapes and tags decide at once; a table row, list item, heading, signature,
 link or the like may end without a full stop; running prose may not. Ends that could be
 either (a short last line) are held against the corpus: does the same line end stand
 elsewhere as an end, or does it only go on (``Childhood`` -> ``Childhood Council``, or
-``Childh`` -> ``Childhood``)? Lengths that pile up in a source settle texts that end in an
-ellipsis. Straight quotes and markup elements are not on the stack, and no share of texts
-without a terminator is computed per source.
+``Childh`` -> ``Childhood``)? All words of all lines are counted for that. Where the corpus says nothing, the source does: in
+one whose sound texts hardly ever end without a terminator (``RARE_END``) such an end is a cut. Lengths that pile
+up in a source settle ellipses and doubtful ends that have just that length.
+
+Single straight quotes are apostrophes as often and are not on the stack; elements whose end tag may be left
+out (``p``, ``li``) neither.
 
 Defined results: null, empty and blank texts are no case; repeated rows of one doc_id
 count once; a null source is a source of its own; very long texts are read whole; an empty
@@ -22,7 +26,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hierarq.common import staged
@@ -30,11 +34,10 @@ from hierarq.common import staged
 #: A source's length counts as a limit when so many of its unterminated texts have it,
 #: and they are this share of the source's unterminated texts.
 LIMIT_TEXTS, LIMIT_SHARE = 5, 0.05
-#: Words of a line that enter the corpus statistics of line ends (all words of short lines).
-LINE_HEAD, SHORT_LINE = 4, 80
-#: Longest word part, in code points, that is looked up as the beginning of a longer word.
-MAX_PART = 64
-FLUSH_AT = 200_000
+#: A line of up to so many code points may be a heading, an item or the like, whose end is an end.
+SHORT_LINE = 80
+#: A source whose sound texts end without a terminator less often than this has no such ends.
+RARE_END = 0.02
 
 # Opening and closing signs, sentence ends, abbreviations that end in a stop.
 PAIRS = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "「": "」", "『": "』", "《": "》", "“": "”", "«": "»"}
@@ -43,9 +46,13 @@ ABBREVIATIONS = {"e.g.", "i.e.", "etc", "cf.", "vs.", "dr.", "mr.", "mrs.", "ms.
                  "approx.", "sr.", "sra."}
 
 _CLOSERS = "".join(PAIRS.values()) + "\"'’*_`"
-_STRUCTURE = re.compile("[" + re.escape("".join([*PAIRS, *PAIRS.values()])) + "\n]")
-_BROKEN = re.compile(r"(?:�+|&(?:[A-Za-z][A-Za-z0-9]{0,8}|#x?[0-9A-Fa-f]{0,6})?|\\u[0-9A-Fa-f]{0,3}|\\x[0-9A-Fa-f]?|\\"
-                     r"|%[0-9A-Fa-f]?|<[/!]?[A-Za-z][^<>]{0,400}|</?)$")
+# Markup elements that must be closed.
+ELEMENTS = frozenset("a abbr article aside b blockquote body button cite code dfn div em figure footer form h1 h2 h3 h4 h5 h6 header html i kbd label main mark "
+                     "nav ol pre q s samp section small span strong sub sup table u ul var".split())
+
+_STRUCTURE = re.compile("[" + re.escape("".join([*PAIRS, *PAIRS.values()])) + "\n\"]|```+|~~~+|</?[A-Za-z][^<>]*>")
+_CUT_SIGN = re.compile(r"&(?:[A-Za-z][A-Za-z0-9]{0,30}|#x?[0-9A-Fa-f]*)?|\\(?:u[0-9A-Fa-f]{0,3}|x[0-9A-Fa-f]?)?|%[0-9A-Fa-f]?|<(?:[/!]?[A-Za-z][^<>]*|/)?")
+_CLOSING_TAGS = re.compile(r"(?:\s*</[A-Za-z][A-Za-z0-9]*\s*>)+\s*$")
 _SEPARATOR = re.compile(r"[\W_]+$")
 _ITEM = re.compile(r"\s*(?:([-*•·–])|(\d{1,3}[.)])|(#{1,6}))\s+")
 _LINK = re.compile(r"(?:https?://|www\.)\S+$|\S+@\S+\.\w+$")
@@ -58,22 +65,55 @@ _DANGLING = re.compile(r"(?:\S+ )?(?:[A-Z]\.|\d+\.)$")
 _STOP = re.compile(r"[.!?。！？…]\s")
 
 
+def broken_end(text: str) -> bool:
+    """Whether a text without blanks at its end stops inside a multibyte sequence, an entity, an escape or a tag."""
+    if text.endswith("\ufffd"):
+        return True
+    at = max(text.rfind(c) for c in "&\\%<")
+    if at < 0 or not _CUT_SIGN.fullmatch(text, at):
+        return False
+    return len(text) > at + 1 or text[at] in "\\<" or at > 0 and not text[at - 1].isspace() and not (text[at] == "%" and text[at - 1].isdigit())
+
+
 def open_signs(text: str) -> list[str]:
-    """What the automaton still holds at the end of the last paragraph. An opening sign is
-    forgotten at a blank line: it was left open by its author, not by a cut."""
-    stack: list[str] = []
+    """What the automaton still holds at the end: signs, quotes and elements of the last paragraph's, and fences and
+    elements from before. A bracket or quote is forgotten at a blank line: it was left open by
+    its author, not by a cut. Nothing counts inside a fence but its end."""
+    signs: list[str] = []
+    blocks: list[str] = []
+    fence = ""
     last = -2
     for m in _STRUCTURE.finditer(text):
         c = m.group()
+        if c[0] in "`~" and len(c) >= 3:
+            if not text[text.rfind("\n", 0, m.start()) + 1 : m.start()].strip():
+                fence = "" if fence and c[0] == fence[0] and len(c) >= len(fence) else fence or c
+            continue
+        if fence:
+            continue
         if c == "\n":
             if m.start() == last + 1 or text[last + 1 : m.start()].isspace():
-                stack.clear()
+                signs.clear()
             last = m.start()
         elif c in PAIRS:
-            stack.append(c)
-        elif stack and PAIRS[stack[-1]] == c:
-            stack.pop()
-    return stack
+            signs.append(c)
+        elif c == '"':
+            before, after = text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
+            if c in signs:
+                del signs[len(signs) - 1 - signs[::-1].index(c) :]
+            elif after.strip() and (not before.strip() or before in PAIRS or before in "—–-"):
+                signs.append(c)
+        elif c[0] == "<":
+            name = re.match(r"</?([A-Za-z][A-Za-z0-9]*)", c).group(1).lower()
+            if name not in ELEMENTS or c.endswith("/>"):
+                continue
+            if c[1] != "/":
+                blocks.append(name)
+            elif name in blocks:
+                del blocks[len(blocks) - 1 - blocks[::-1].index(name) :]
+        elif signs and PAIRS.get(signs[-1]) == c:
+            signs.pop()
+    return ([fence] if fence else []) + blocks + signs
 
 
 def _core(line: str) -> str:
@@ -85,20 +125,25 @@ def _core(line: str) -> str:
     return line[:end]
 
 
-def _key(word: str) -> str:
-    return re.sub(r"\d+", "#", word)
+#: Blanks between words, for both engines.
+_BLANK = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+_WORDS = re.compile(f"{_BLANK}+")
+# The start of a line as a list item: a mark, a number, a heading.
+_MARKS = [("-", f"^{_BLANK}*[-*•·–]{_BLANK}+"), ("1", f"^{_BLANK}*[0-9]{{1,3}}[.)]{_BLANK}+"), ("#", f"^{_BLANK}*#{{1,6}}{_BLANK}+")]
+_MARK_SHAPES = [(k, re.compile(p)) for k, p in _MARKS]
 
 
 def line_kind(line: str) -> str:
     """The start mark under which the words of a line are counted: list items only compare with
     list items, signatures with signatures, other lines with each other."""
-    m = _ITEM.match(line)
-    return "-" if m and m.group(1) else "1" if m and m.group(2) else "#" if m else "^"
+    return next((k for k, p in _MARK_SHAPES if p.match(line)), "^")
 
 
 def end_words(line: str) -> tuple[str, str]:
-    kind, words = line_kind(line), line.split()
-    return kind + (_key(words[-2]) if len(words) > 1 else ""), _key(words[-1])
+    """(kind and last word but one, last word), with # for numbers."""
+    kind = line_kind(line)
+    words = [w for w in _WORDS.split(re.sub("[0-9]+", "#", line)) if w]
+    return kind + (words[-2] if len(words) > 1 else ""), words[-1]
 
 
 def judge(text: str) -> tuple[str, str]:
@@ -106,8 +151,10 @@ def judge(text: str) -> tuple[str, str]:
     t = text.rstrip()
     if not t:
         return "whole", "blank"
-    if _BROKEN.search(t[-420:]) and not (t.endswith("&") and t[-2:-1].isspace()):
+    if broken_end(t):
         return "cut", "broken sequence"
+    stack = open_signs(t)
+    t = _CLOSING_TAGS.sub("", t) or t
     lines = _LINES.split(t)
     line = lines[-1].strip()
     if line.startswith("|"):
@@ -115,7 +162,6 @@ def judge(text: str) -> tuple[str, str]:
         most = Counter(x.count("|") for x in rows[:-1]).most_common(1)
         whole = line.endswith("|") and len(line) > 1 and (not most or line.count("|") >= most[0][0])
         return ("whole", "table row") if whole else ("cut", "table row")
-    stack = open_signs(t)
     if re.search(r"(?:\.\.\.|…)$", t):
         return "ellipsis", "open sign" if stack else "ellipsis"
     if _SEPARATOR.fullmatch(line) and not re.search(r"[,;:，、；：]$", line) and not stack:
@@ -158,7 +204,7 @@ def judge(text: str) -> tuple[str, str]:
     return "ask", "short line"
 
 
-_ENDS_SCHEMA = ("doc_id long, source string, n_chars int, n_bytes int, verdict string, reason string, w1 string, "
+_ENDS_SCHEMA = ("doc_id long, source string, n_chars int, n_bytes int, verdict string, reason string, ended boolean, w1 string, "
                 "w2 string")
 
 
@@ -173,54 +219,34 @@ def ends(docs: DataFrame) -> DataFrame:
                 w1 = w2 = None
                 if verdict == "ask":
                     w1, w2 = end_words(_LINES.split(text.rstrip())[-1].strip())
-                rows.append((doc, source, len(text), len(text.encode("utf-8", "replace")), verdict, reason, w1, w2))
-            yield pd.DataFrame(rows, columns=["doc_id", "source", "n_chars", "n_bytes", "verdict", "reason", "w1", "w2"])
+                ended = reason == "terminated"
+                rows.append((doc, source, len(text), len(text.encode("utf-8", "replace")), verdict, reason, ended, w1, w2))
+            yield pd.DataFrame(rows, columns=["doc_id", "source", "n_chars", "n_bytes", "verdict", "reason", "ended", "w1", "w2"])
 
     kept = docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND trim(text) <> ''").select("doc_id", "source", "text")
     return kept.mapInPandas(run, _ENDS_SCHEMA)
 
 
-def line_ends(docs: DataFrame) -> DataFrame:
-    """(w1, w2, stops, goes_on): how often a word pair ends a line of the corpus that has
-    no terminator, and how often more follows. All lines of all texts are read; of long
-    lines the first words, of short ones every word. Counted per task before the shuffle."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stops: Counter = Counter()
-        goes: Counter = Counter()
-
-        def flush() -> pd.DataFrame:
-            keys = list(stops.keys() | goes.keys())
-            out = pd.DataFrame([(a, b, stops[(a, b)], goes[(a, b)]) for a, b in keys],
-                               columns=["w1", "w2", "stops", "goes_on"])
-            stops.clear()
-            goes.clear()
-            return out
-
-        for frame in frames:
-            for text in frame.text:
-                for raw in _LINES.split(text):
-                    line = raw.strip()
-                    if not line or line[0] == "|":
-                        continue
-                    short = len(line) <= SHORT_LINE
-                    words = line.split() if short else line[: 8 * SHORT_LINE].split(None, LINE_HEAD)[:LINE_HEAD]
-                    kind = line_kind(line)
-                    prev = kind
-                    for w in words[:-1] if short else words:
-                        key = _key(w)
-                        goes[(prev, key)] += 1
-                        prev = kind + key
-                    if short:
-                        key = _key(words[-1])
-                        (goes if words[-1][-1] in TERMINATORS else stops)[(prev, key)] += 1
-                if len(goes) + len(stops) > FLUSH_AT:
-                    yield flush()
-        yield flush()
-
-    kept = docs.where("text IS NOT NULL AND trim(text) <> ''").select("text")
-    parts = kept.mapInPandas(run, "w1 string, w2 string, stops long, goes_on long")
-    return parts.groupBy("w1", "w2").agg(F.sum("stops").alias("stops"), F.sum("goes_on").alias("goes_on"))
+def line_ends(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(w1, w2, stops, goes_on): how often a word pair ends a short line of the corpus that has
+    no terminator, and how often more follows, over all words of all lines of all texts, for the
+    first words w1 of ``asked``. Words are split and counted in the JVM, and only those after an asked
+    word are shuffled."""
+    lines = docs.where("text IS NOT NULL AND trim(text) <> ''").select(F.explode(F.split("text", "\r\n|\n|\r")).alias("line"))
+    bare = lines.select(F.regexp_replace("line", f"^{_BLANK}+|{_BLANK}+$", "").alias("line")).where("line <> '' AND left(line, 1) <> '|'")
+    kind: Column = F.lit("^")
+    for k, shape in reversed(_MARKS):
+        kind = F.when(F.col("line").rlike(shape), k).otherwise(kind)
+    words = F.filter(F.split(F.regexp_replace("line", "[0-9]+", "#"), f"{_BLANK}+"), lambda w: w != "")
+    # A short line ends where it ends unless by a terminator; of a long one it is not known, its last word does not count.
+    line = bare.select(kind.alias("kind"), words.alias("words"), (F.length("line") <= SHORT_LINE).alias("short"))
+    n = F.size("words")
+    at = F.sequence(F.lit(1), F.when(F.col("short"), n).otherwise(n - 1))
+    pairs = line.where((n > 1) | F.col("short")).select(F.explode(F.transform(at, lambda i: F.struct(
+        F.concat("kind", F.when(i > 1, F.element_at("words", i - 1)).otherwise("")).alias("w1"), F.element_at("words", i).alias("w2"),
+        ((i == n) & ~F.right(F.element_at("words", i), F.lit(1)).isin(*TERMINATORS)).alias("stop")))).alias("p")).select("p.*")
+    own = pairs.join(asked.select("w1").distinct(), "w1", "left_semi")
+    return own.groupBy("w1", "w2").agg(F.count_if("stop").alias("stops"), F.count_if(~F.col("stop")).alias("goes_on"))
 
 
 def source_limits(ended: DataFrame) -> DataFrame:
@@ -239,36 +265,51 @@ def source_limits(ended: DataFrame) -> DataFrame:
         "source", "measure", "size", F.col("count").alias("texts"))
 
 
+def source_baselines(ended: DataFrame) -> DataFrame:
+    """(source, unended): the share of a source's texts that are not cut by themselves and yet end without a terminator."""
+    sound = ended.where("verdict <> 'cut'")
+    return sound.groupBy("source").agg(F.avg((~F.col("ended")).cast("double")).alias("unended"))
+
+
+def _of_source(rows: DataFrame, per: DataFrame) -> DataFrame:
+    """``rows`` with what is known per source; sources are few beside their texts, null is one of them."""
+    p = per.withColumnRenamed("source", "_source")
+    return rows.join(p, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+
+
 def judged(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, n_chars, n_bytes, cut boolean, reason), one row per doc_id."""
+    """(doc_id, source, n_chars, n_bytes, cut boolean, reason), one row per doc_id. ``reason`` says what decided."""
     own = staged(ends(docs), "text-ends")  # read several times below, texts once
     asked = own.where("verdict = 'ask'").select("w1", "w2").distinct()
-    counts = staged(line_ends(docs), "line-ends")
+    counts = staged(line_ends(docs, asked), "line-ends")
     exact = asked.join(counts, ["w1", "w2"], "left").select(
         "w1", "w2", F.coalesce("stops", F.lit(0)).alias("stops"), F.coalesce("goes_on", F.lit(0)).alias("goes_on"))
-    # Words of which the last word may be the beginning: every proper beginning of a word
-    # that followed w1, per distinct pair and not per occurrence.
-    lengths = F.sequence(F.lit(1), F.least(F.length("w2") - 1, F.lit(MAX_PART)))
-    parts = counts.where(F.length("w2") > 1).select(
-        "w1", F.explode(F.transform(lengths, lambda n: F.substring("w2", F.lit(1), n))).alias("w2"),
-        (F.col("stops") + F.col("goes_on")).alias("longer"))
+    # Words of which the last word may be the beginning: of every word that followed w1 the beginnings as long as
+    # an asked one, per distinct pair and not per occurrence.
+    sizes = asked.groupBy("w1").agg(F.collect_set(F.length("w2")).alias("sizes"))
+    parts = counts.join(sizes, "w1").select("w1", "w2", (F.col("stops") + F.col("goes_on")).alias("longer"), F.explode(
+        F.filter("sizes", lambda n: n < F.length("w2"))).alias("size")).select(
+        "w1", F.substring("w2", F.lit(1), F.col("size")).alias("w2"), "longer")
     longer = parts.join(asked, ["w1", "w2"], "left_semi").groupBy("w1", "w2").agg(F.sum("longer").alias("longer"))
     evidence = exact.join(longer, ["w1", "w2"], "left").select(
         "w1", "w2", (F.col("stops") - 1).alias("others"),
         (F.col("goes_on") + F.coalesce("longer", F.lit(0))).alias("more"))
-    asks = own.where("verdict = 'ask'").join(evidence, ["w1", "w2"], "left").select(
-        "doc_id", "source", "n_chars", "n_bytes", (F.col("more") > F.col("others")).alias("cut"), "reason")
     limits = source_limits(own)
-    dots = own.where("verdict = 'ellipsis'").select("doc_id", "source", "n_chars", "n_bytes", "reason")
-    at_limit = dots.join(limits, dots.source.eqNullSafe(limits.source) & (
-        ((limits.measure == "chars") & (limits["size"] == dots.n_chars))
-        | ((limits.measure == "bytes") & (limits["size"] - dots.n_bytes).between(0, 3))), "left_semi")
-    dotted = dots.join(at_limit.select("doc_id", F.lit(True).alias("hit")).distinct(), "doc_id", "left").select(
-        "doc_id", "source", "n_chars", "n_bytes", (F.coalesce("hit", F.lit(False)) | (F.col("reason") == "open sign"))
-        .alias("cut"), "reason")
+    open_ends = own.where("verdict IN ('ellipsis', 'ask')").select("doc_id", "source", "n_chars", "n_bytes", "verdict", "reason", "w1", "w2")
+    at_limit = open_ends.join(limits.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")) & (
+        ((F.col("measure") == "chars") & (F.col("size") == F.col("n_chars")))
+        | ((F.col("measure") == "bytes") & (F.col("size") - F.col("n_bytes")).between(0, 3)))).select("doc_id").distinct().withColumn("_limit", F.lit(True))
+    known = _of_source(open_ends.join(at_limit, "doc_id", "left").join(evidence, ["w1", "w2"], "left"), source_baselines(own))
+    more, others = F.coalesce("more", F.lit(0)), F.coalesce("others", F.lit(0))
+    # A length proves nothing against an end that stands elsewhere as an end.
+    limited = F.coalesce("_limit", F.lit(False)) & ((F.col("verdict") == "ellipsis") | (others <= 0))
+    nothing = (more == 0) & (others <= 0)
+    why = F.when(limited, "length limit").when(F.col("verdict") == "ellipsis", F.when(F.col("reason") == "open sign", "open sign")).when(
+        more > others, "goes on elsewhere").when(nothing & (F.col("unended") < RARE_END), "source ends otherwise")
+    decided = known.select("doc_id", "source", "n_chars", "n_bytes", why.isNotNull().alias("cut"), F.coalesce(why, "reason").alias("reason"))
     plain = own.where("verdict IN ('cut', 'whole')").select(
         "doc_id", "source", "n_chars", "n_bytes", (F.col("verdict") == "cut").alias("cut"), "reason")
-    every = plain.unionByName(asks).unionByName(dotted)
+    every = plain.unionByName(decided)
     return every.groupBy("doc_id").agg(F.max(F.struct("cut", "source", "n_chars", "n_bytes", "reason")).alias("_r")).select(
         "doc_id", "_r.source", "_r.n_chars", "_r.n_bytes", "_r.cut", "_r.reason")
 
@@ -278,6 +319,11 @@ def truncated(docs: DataFrame) -> DataFrame:
     return judged(docs).where("cut").select("doc_id")
 
 
+def truncation_reasons(docs: DataFrame) -> DataFrame:
+    """How many of the cut texts of a source what decided."""
+    return judged(docs).where("cut").groupBy("source", "reason").agg(F.count("*").alias("texts"))
+
+
 def truncation_shares(docs: DataFrame) -> DataFrame:
     """Per source: texts, cut texts and their share."""
     return judged(docs).groupBy("source").agg(

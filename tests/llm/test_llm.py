@@ -296,6 +296,9 @@ TAIL = "Children explore the garden in the morning. "
     ("| a | b |\n| c | d |\n| e | f |", "whole"), ("| a | b |\n| c | d |\n| e | f", "cut"), ("| a | b |\n| c | d |\n| e |", "cut"), (TAIL + "See it, e.g.", "cut"), (TAIL + "About 8.", "cut"),
     (TAIL + "Goal D.", "cut"), ("1. Go.\n2. Run.\n3. Ju", "cut"), ("1. Go.\n2. Run.\n3.", "cut"), (TAIL + "\n#play #fun", "whole"), ("<|endoftext|>", "ask"), (TAIL + "\n(end)", "ask"),
     ("每天早晨，孩子们探索，", "cut"), ("每天早晨，孩子们探索。", "whole"), ("aaaa!", "whole"),
+    (TAIL + 'She said "let us go.', "cut"), (TAIL + 'She said "let us go."', "whole"), (TAIL + '"Now," they said, "we go."', "whole"), (TAIL + 'It is 5" long.', "whole"),
+    (TAIL + "<b>go out.", "cut"), (TAIL + "<b>go out.</b>", "whole"), ("<p>" + TAIL, "whole"), ("<div>" + TAIL + "\n\n" + TAIL, "cut"), (TAIL + "<name> goes out.", "whole"),
+    (TAIL + "\n```\nx = (1\n\ny", "cut"), (TAIL + "\n```\nx = (1\n```\nDone.", "whole"), (TAIL + "It was 50%", "cut"), (TAIL + "caf\\u00e9.", "whole"),
 ])
 def test_ends(text: str, verdict: str) -> None:
     assert truncation.judge(text)[0] == verdict
