@@ -1,9 +1,10 @@
 """Splitting oversized texts at natural boundaries (problem 1).
 
 Dynamic programming over boundary positions: a cut costs the penalty of its boundary
-kind plus the squared deviation of the piece from the ideal size, subject to the
-maximum length; each piece after the first starts up to ``overlap`` tokens before the
-cut, at the earliest natural boundary in that span.
+kind, the penalty of the boundary the next piece starts at, and the squared deviation of the
+piece from the ideal size, subject to the maximum length; each piece after the first starts up
+to ``overlap`` tokens before the cut, at the natural boundary in that span with the least
+penalty and loss of overlap.
 
 A token is ``chars_per_token`` code points, rounded down, so a limit of T tokens
 admits T * chars_per_token + chars_per_token - 1 code points.
@@ -101,11 +102,14 @@ def split_points(text: str, limits: SplitLimits = SplitLimits()) -> list[tuple[i
         merged = np.union1d(pos, extra)
         at = dict(zip(pos.tolist(), pen.tolist(), strict=True))
         pos, pen = merged, np.array([at.get(int(p), 2 * HARD_PENALTY) for p in merged])
-    # Start of a piece that follows a cut at pos[i].
-    natural = pos[pen < HARD_PENALTY]
-    first = np.searchsorted(natural, pos - limits.overlap_chars, side="left")
-    starts = np.where(natural[np.minimum(first, len(natural) - 1)] <= pos,
-                      natural[np.minimum(first, len(natural) - 1)], pos)
+    # Start of a piece that follows a cut at pos[i]: of each kind of boundary the earliest in the span is the best.
+    starts, toll, best = pos.copy(), np.full(len(pos), HARD_PENALTY), np.full(len(pos), np.inf)
+    for penalty in np.unique(pen[pen < HARD_PENALTY]):
+        of_kind = pos[pen == penalty]
+        at = of_kind[np.minimum(np.searchsorted(of_kind, pos - limits.overlap_chars, side="left"), len(of_kind) - 1)]
+        lost = penalty + (at - (pos - limits.overlap_chars)) / max(1, limits.overlap_chars)
+        better = (at < pos) & (at >= pos - limits.overlap_chars) & (lost < best)
+        starts, toll, best = np.where(better, at, starts), np.where(better, penalty, toll), np.where(better, lost, best)
     bare = starts >= pos  # no natural boundary before the cut within the overlap
     starts = np.where(bare, np.maximum(0, pos - limits.overlap_chars), starts)
     while bare.any():  # a start inside a combining sequence moves to the right
@@ -114,7 +118,7 @@ def split_points(text: str, limits: SplitLimits = SplitLimits()) -> list[tuple[i
         if not inside.any():
             break
         starts = starts + inside
-    starts[0] = 0
+    starts[0], toll[0] = 0, 0.0
     count = int(np.ceil((n - limits.overlap_chars) / (limits.max_chars - limits.overlap_chars)))
     ideal = min(limits.max_chars, (n + (count - 1) * limits.overlap_chars) / count)
     cost = np.full(len(pos), np.inf)
@@ -126,7 +130,7 @@ def split_points(text: str, limits: SplitLimits = SplitLimits()) -> list[tuple[i
         if lo >= j:
             continue
         sizes = pos[j] - starts[lo:j]
-        total = cost[lo:j] + 1.0 + limits.balance_weight * ((sizes - ideal) / ideal) ** 2
+        total = cost[lo:j] + toll[lo:j] + 1.0 + limits.balance_weight * ((sizes - ideal) / ideal) ** 2
         total = np.where(sizes <= limits.max_chars, total, np.inf)
         k = int(np.argmin(total))
         cost[j], back[j] = total[k] + pen[j], lo + k
