@@ -270,6 +270,26 @@ def test_pfair_lag(weights, n) -> None:  # noqa: ANN001
         assert all(abs(have[k] - slot * w[k]) < 1 for k in w if have[k] <= int(n * w[k]))
 
 
+def test_schedule_repeats_and_long_periods(spark, monkeypatch) -> None:  # noqa: ANN001
+    docs = spark.createDataFrame([(i, "word " * 300, "abc"[i % 3]) for i in range(900)], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 9), ("b", 0.3, 9), ("c", 0.2, 9)], "source string, target_share double, max_repeats int")
+
+    def lag(out: pd.DataFrame) -> float:
+        slots = out.drop_duplicates(["source", "block_no"]).sort_values("slot")
+        assert slots.slot.is_unique
+        have, worst = dict.fromkeys("abc", 0), 0.0
+        for r in slots.itertuples():
+            have[r.source] += 1
+            worst = max(worst, *(abs(have[s] - (r.slot + 1) * w) for s, w in (("a", 0.5), ("b", 0.3), ("c", 0.2))))
+        return worst
+
+    out = mix.mixture(docs, targets).toPandas()
+    assert out.slot.max() > 30 and lag(out) < 1 and out.position.is_unique
+    monkeypatch.setattr(mix, "MAX_PERIOD", 5)
+    other = mix.mixture(docs, targets).toPandas()
+    assert len(other) == len(out) and lag(other) < 3 and other.position.is_unique
+
+
 def test_mixture_shares_and_caps(spark) -> None:  # noqa: ANN001
     docs = spark.createDataFrame([(i, "word " * 20, "a" if i < 300 else "b" if i < 400 else "c", "x") for i in range(500)] + [(900, None, "a", "x"), (901, "", "a", "x"), (902, "x", None, "x"), (1, "word " * 20, "a", "x")],
                                  "doc_id long, text string, source string, slot string")
