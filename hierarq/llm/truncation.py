@@ -22,11 +22,14 @@ table gives an empty table. Further columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hierarq.common import staged
@@ -38,6 +41,8 @@ LIMIT_TEXTS, LIMIT_SHARE = 5, 0.05
 SHORT_LINE = 80
 #: A source whose sound texts end without a terminator less often than this has no such ends.
 RARE_END = 0.02
+#: Size of the filter of asked words, and pairs or words a task holds before it hands them on or forgets them.
+FILTER_BITS, FLUSH_AT = 1 << 22, 200_000
 
 # Opening and closing signs, sentence ends, abbreviations that end in a stop.
 PAIRS = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "「": "」", "『": "』", "《": "》", "“": "”", "«": "»"}
@@ -125,24 +130,19 @@ def _core(line: str) -> str:
     return line[:end]
 
 
-#: Blanks between words, for both engines.
-_BLANK = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
-_WORDS = re.compile(f"{_BLANK}+")
-# The start of a line as a list item: a mark, a number, a heading.
-_MARKS = [("-", f"^{_BLANK}*[-*•·–]{_BLANK}+"), ("1", f"^{_BLANK}*[0-9]{{1,3}}[.)]{_BLANK}+"), ("#", f"^{_BLANK}*#{{1,6}}{_BLANK}+")]
-_MARK_SHAPES = [(k, re.compile(p)) for k, p in _MARKS]
+_NUMBER = re.compile("[0-9]+")
 
 
 def line_kind(line: str) -> str:
     """The start mark under which the words of a line are counted: list items only compare with
     list items, signatures with signatures, other lines with each other."""
-    return next((k for k, p in _MARK_SHAPES if p.match(line)), "^")
+    m = _ITEM.match(line)
+    return "-" if m and m.group(1) else "1" if m and m.group(2) else "#" if m else "^"
 
 
 def end_words(line: str) -> tuple[str, str]:
     """(kind and last word but one, last word), with # for numbers."""
-    kind = line_kind(line)
-    words = [w for w in _WORDS.split(re.sub("[0-9]+", "#", line)) if w]
+    kind, words = line_kind(line), _NUMBER.sub("#", line).split()
     return kind + (words[-2] if len(words) > 1 else ""), words[-1]
 
 
@@ -230,23 +230,60 @@ def ends(docs: DataFrame) -> DataFrame:
 def line_ends(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """(w1, w2, stops, goes_on): how often a word pair ends a short line of the corpus that has
     no terminator, and how often more follows, over all words of all lines of all texts, for the
-    first words w1 of ``asked``. Words are split and counted in the JVM, and only those after an asked
-    word are shuffled."""
-    lines = docs.where("text IS NOT NULL AND trim(text) <> ''").select(F.explode(F.split("text", "\r\n|\n|\r")).alias("line"))
-    bare = lines.select(F.regexp_replace("line", f"^{_BLANK}+|{_BLANK}+$", "").alias("line")).where("line <> '' AND left(line, 1) <> '|'")
-    kind: Column = F.lit("^")
-    for k, shape in reversed(_MARKS):
-        kind = F.when(F.col("line").rlike(shape), k).otherwise(kind)
-    words = F.filter(F.split(F.regexp_replace("line", "[0-9]+", "#"), f"{_BLANK}+"), lambda w: w != "")
-    # A short line ends where it ends unless by a terminator; of a long one it is not known, its last word does not count.
-    line = bare.select(kind.alias("kind"), words.alias("words"), (F.length("line") <= SHORT_LINE).alias("short"))
-    n = F.size("words")
-    at = F.sequence(F.lit(1), F.when(F.col("short"), n).otherwise(n - 1))
-    pairs = line.where((n > 1) | F.col("short")).select(F.explode(F.transform(at, lambda i: F.struct(
-        F.concat("kind", F.when(i > 1, F.element_at("words", i - 1)).otherwise("")).alias("w1"), F.element_at("words", i).alias("w2"),
-        ((i == n) & ~F.right(F.element_at("words", i), F.lit(1)).isin(*TERMINATORS)).alias("stop")))).alias("p")).select("p.*")
-    own = pairs.join(asked.select("w1").distinct(), "w1", "left_semi")
-    return own.groupBy("w1", "w2").agg(F.count_if("stop").alias("stops"), F.count_if(~F.col("stop")).alias("goes_on"))
+    first words w1 of ``asked``. Of a long line it is not known whether its end is one.
+
+    A filter of ``FILTER_BITS`` bits, whatever is asked, tells the tasks which words may be asked, so pairs are
+    counted before the shuffle and only those of asked words travel; what it lets through in error is joined off."""
+    spark = docs.sparkSession
+    marks = asked.select(F.pmod(F.crc32(F.encode("w1", "UTF-8")), F.lit(FILTER_BITS)).cast("int").alias("b")).distinct().toPandas().b.to_numpy()
+    table = np.zeros(FILTER_BITS, dtype=bool)
+    table[marks] = True
+    sent = spark.sparkContext.broadcast(np.packbits(table))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(sent.value).view(bool)
+        known: dict[str, dict[str, bool]] = {k: {} for k in "-1#^"}
+        stops: Counter = Counter()
+        goes: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            keys = list(stops.keys() | goes.keys())
+            cols = (pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
+                    pa.array([stops[k] for k in keys], pa.int64()), pa.array([goes[k] for k in keys], pa.int64()))
+            stops.clear()
+            goes.clear()
+            return pa.RecordBatch.from_arrays(list(cols), names=["w1", "w2", "stops", "goes_on"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for raw in _LINES.split(text):
+                    line = raw.strip()
+                    if not line or line[0] == "|":
+                        continue
+                    kind, short = line_kind(line), len(line) <= SHORT_LINE
+                    memo = known[kind]
+                    words = _NUMBER.sub("#", line).split()
+                    before = ""
+                    last = words.pop()
+                    for w in words:
+                        hit = memo.get(before)
+                        if hit is None:
+                            if len(memo) > FLUSH_AT:
+                                memo.clear()
+                            hit = memo[before] = bool(bits[zlib.crc32((kind + before).encode("utf-8", "replace")) % FILTER_BITS])
+                        if hit:
+                            goes[kind + before, w] += 1
+                        before = w
+                    if short and bits[zlib.crc32((kind + before).encode("utf-8", "replace")) % FILTER_BITS]:
+                        (goes if last[-1] in TERMINATORS else stops)[kind + before, last] += 1
+                if len(goes) + len(stops) > FLUSH_AT:
+                    yield flush()
+        yield flush()
+
+    texts = docs.where("text IS NOT NULL AND trim(text) <> ''").select("text")
+    parts = texts.mapInArrow(run, "w1 string, w2 string, stops long, goes_on long")
+    return parts.groupBy("w1", "w2").agg(F.sum("stops").alias("stops"), F.sum("goes_on").alias("goes_on")).join(
+        asked.select("w1").distinct(), "w1", "left_semi")
 
 
 def source_limits(ended: DataFrame) -> DataFrame:
