@@ -103,7 +103,7 @@ def filled_forward(df: DataFrame, keys: list[str], order: Order, value: str, nam
 
 
 def following(df: DataFrame, keys: list[str], order: Order, columns: list[str]) -> DataFrame:
-    """``df`` with ``next``, the struct of ``columns`` of the row after in its group, null at its end."""
+    """``df``, in rising order, with ``next``, the struct of ``columns`` of the row after in its group, null at its end."""
     rows = _ranges(df, keys, order)
     inside, _ = _windows(keys, order)
     at = F.struct(*[f"_o{i}" for i in range(len(order))])

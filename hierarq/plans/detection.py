@@ -226,7 +226,7 @@ def a2_review_counts(s: SparkSession, d: str) -> DataFrame:
     WITH {_E} SELECT document_s3_key, code, title, source_page, element_id, level FROM e
     QUALIFY row_number() OVER (PARTITION BY document_s3_key, code, title, source_page ORDER BY batch_index, element_id) = 1""")
 def a7_merged(s: SparkSession, d: str) -> DataFrame:
-    """Batch results concatenated, the first of each key wins."""
+    """Of each key in the batches the first wins."""
     e = _elements(s, d, "document_s3_key", "code", "title", "source_page", "level", "batch_index")
     return merge.first_wins(e, ["document_s3_key", "code", "title", "source_page"], ["batch_index", "element_id"]).drop("batch_index")
 

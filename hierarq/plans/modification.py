@@ -193,7 +193,7 @@ def p13_roundtrip(s: SparkSession, d: str) -> DataFrame:
     FROM docs o LEFT JOIN ch USING (country, state, version_year, title)
     UNION ALL SELECT NULL, 'Brand New', 'https://x', NULL""")
 def m1_upsert_documents(s: SparkSession, d: str) -> DataFrame:
-    """M1 M6: document upsert; the url is overwritten, the key kept where the new one is null."""
+    """M1: document upsert; the url is overwritten, the key kept where the new one is null."""
     docs = _docs(s, d, "country", "state", "version_year", "title", "source_url", "s3_key")
     key = ["country", "state", "version_year", "title"]
     ch = docs.where("state = 'CA'").select(*key, F.concat(F.lit("https://new/"), "id").alias("source_url"),
@@ -208,7 +208,7 @@ def m1_upsert_documents(s: SparkSession, d: str) -> DataFrame:
     SELECT t.id, coalesce(ch.name, t.name) AS name, t.human_verified FROM cur_strands t LEFT JOIN ch
       ON ch.domain_id = t.domain_id AND ch.code = t.code""")
 def m2_m3_upsert_levels(s: SparkSession, d: str) -> DataFrame:
-    """M2 M3 M5: natural keys; ids and audit columns stay."""
+    """M2 M3: natural keys; ids and audit columns stay."""
     st = _cur(s, d, "strands", "domain_id", "code", "name", "human_verified", "deleted")
     ch = st.where("deleted AND domain_id IS NOT NULL").groupBy("domain_id", "code").agg(F.concat(F.lit("N"), F.max("id")).alias("name"))
     return snapshot.upsert(st, ch, ["domain_id", "code"], ["name"]).select("id", "name", "human_verified")

@@ -49,15 +49,21 @@ _FOLD = f"""
       coalesce(any_value(e.state), 'open') AS state FROM f LEFT JOIN e USING (session) GROUP BY f.session"""
 
 
-@R.add("t7_folded_sessions", _FOLD)
+@R.add("t7_folded_sessions", f"""
+    WITH {_FRAMES}, e AS (SELECT session, min(seq) AS stop, arg_min(kind, seq) AS state FROM f WHERE kind IN ('done', 'error') GROUP BY session),
+    t AS (SELECT f.session, f.seq, f.text, (row_number() OVER (PARTITION BY f.session ORDER BY f.seq) - 1) // 100 AS part FROM f LEFT JOIN e USING (session)
+      WHERE f.kind = 'text' AND f.text IS NOT NULL AND (e.stop IS NULL OR f.seq < e.stop)),
+    a AS (SELECT session, part, string_agg(text, '' ORDER BY seq) AS answer FROM t GROUP BY ALL)
+    SELECT s.session, coalesce(a.part, 0) AS part, coalesce(a.answer, '') AS answer, coalesce(e.state, 'open') AS state
+    FROM (SELECT DISTINCT session FROM f) s LEFT JOIN a USING (session) LEFT JOIN e USING (session)""")
 def t7_folded_sessions(s: SparkSession, d: str) -> DataFrame:
-    """Frames of a session folded into its answer."""
+    """Frames of a session folded into its answer, in parts of a hundred frames."""
     return ev.fold_frames(_frames(table(s, d, "events")))
 
 
 @R.add("t8_stream_fold", _FOLD)
 def t8_stream_fold(s: SparkSession, d: str) -> DataFrame:
-    """T7 T8 T9 as a stateful stream; of each session the last state counts."""
+    """T7 as a stateful stream; of each session the last state counts."""
     schema = table(s, d, "events").schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
     out = ev.run_to_end(ev.fold_frame_stream(_frames(ev.event_stream(s, f"{d}/event[s].parquet", schema))), "fold", "update")
     return out.groupBy("session").agg(F.max_by(F.struct("answer", "state"), F.length("answer")).alias("r")).select("session", "r.*")
@@ -200,7 +206,7 @@ def s10_canonical_sink(s: SparkSession, d: str) -> DataFrame:
 @R.add("s12_named_parameters", """
     SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 100000""")
 def s12_named_parameters(s: SparkSession, d: str) -> DataFrame:
-    """S12 S13 S14."""
+    """Parameters by name, never spliced into the text."""
     return objects.statement(s, f"SELECT o_orderkey, o_totalprice FROM parquet.`{d}/orders.parquet` WHERE o_orderpriority = :p AND o_totalprice > :v",
                              p="1-URGENT", v=100000)
 

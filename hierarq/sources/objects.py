@@ -52,9 +52,11 @@ def write_canonical(records: DataFrame, path: str) -> None:
 
 
 def jdbc_table(spark: SparkSession, url: str, query: str, key: str | None = None, bounds: tuple[int, int] = (0, 0),
-               partitions: int = 1, timeout_s: int = 30) -> DataFrame:
+               partitions: int = 1, timeout_s: int = 30, driver: str | None = None) -> DataFrame:
     """A table or query of a relational store; with ``key`` it is read in parallel ranges."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) t").option("queryTimeout", timeout_s)
+    if driver:
+        r = r.option("driver", driver)
     if key:
         r = r.option("partitionColumn", key).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", partitions)
     return r.load()

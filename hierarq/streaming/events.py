@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from hierarq.common import shared_path
-from hierarq.operators.ordered import filled_forward, previous
+from hierarq.operators.ordered import filled_forward, joined_parts, previous
 
 
 def event_stream(spark: SparkSession, path: str, schema: str, at: str = "ts") -> DataFrame:
@@ -43,16 +43,16 @@ def run_to_end(stream: DataFrame, label: str, mode: str = "complete") -> DataFra
 
 
 def fold_frames(frames: DataFrame) -> DataFrame:
-    """Batch fold of (session, seq, kind, text): one row per session with the answer so far.
+    """Batch fold of (session, seq, kind, text): (session, part, answer, state), the answer so far in parts of a
+    hundred frames, so that no session is collected; one without text has one empty part.
 
-    Frames after the first error or end are cut by its position, an aggregate that combines
-    map-side; what is then collected is one session's answer."""
+    Frames after the first error or end are cut by its position, an aggregate that combines map-side."""
     end = frames.where(F.col("kind").isin("done", "error")).groupBy("session").agg(F.min(F.struct("seq", "kind")).alias("e"))
     text = frames.where("kind = 'text' AND text IS NOT NULL").join(end, "session", "left").where(
         F.col("e").isNull() | (F.col("seq") < F.col("e.seq")))
-    body = text.groupBy("session").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("x"))
+    body = joined_parts(text.select("session", "seq", "text"), ["session"], [F.col("seq")], F.col("text"), "", "answer")
     return frames.select("session").distinct().join(body, "session", "left").join(end, "session", "left").select(
-        "session", F.coalesce(F.array_join(F.transform("x", lambda r: r["text"]), ""), F.lit("")).alias("answer"),
+        "session", F.coalesce("part", F.lit(0).cast("long")).alias("part"), F.coalesce("answer", F.lit("")).alias("answer"),
         F.coalesce("e.kind", F.lit("open")).alias("state"))
 
 

@@ -113,6 +113,62 @@ def test_raw_files(spark, tmp_path) -> None:  # noqa: ANN001
     assert objects.read_json(spark, str(tmp_path / "none"), "id long", missing_ok=True).count() == 0
 
 
+def test_jdbc_table_in_ranges(spark) -> None:  # noqa: ANN001
+    url = "jdbc:derby:memory:hierarq;create=true"
+    rows = spark.range(40).selectExpr("id", "concat('n', id) AS name")
+    rows.write.jdbc(url, "nodes", mode="overwrite", properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    got = objects.jdbc_table(spark, url, "SELECT * FROM nodes", key="ID", bounds=(0, 40), partitions=4, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    assert got.rdd.getNumPartitions() == 4 and got.count() == 40 and got.where("id = 7").first().name == "n7"
+
+
+def test_text_recognition_and_paged_jobs(spark) -> None:  # noqa: ANN001
+    def read(k: int) -> list[dict]:
+        if k == 2:
+            raise OSError("down")
+        return [{"page": p, "text": f"{k}.{p}"} for p in range(1, k + 1)]
+
+    docs = spark.createDataFrame([(0,), (1,), (2,), (3,)], "id int")
+    got = sorted((r.id, r.page, r.text, r.error) for r in providers.recognised(docs, "id", read).collect() if r.id != 3)
+    assert got == [(0, None, None, "no text found"), (1, 1, "1.1", None), (2, None, None, "OSError: down")]
+    assert providers.recognised(docs.where("id = 3"), "id", read).count() == 3
+
+
+def test_following_rows(spark, monkeypatch) -> None:  # noqa: ANN001
+    from pyspark.sql import Window
+
+    from hierarq.operators import ordered
+
+    df = spark.range(300).selectExpr("id", "CASE WHEN id % 7 = 0 THEN 'a' WHEN id % 50 = 1 THEN NULL ELSE 'hot' END AS k", "(id * 37) % 101 AS o")
+    w = Window.partitionBy("k").orderBy("o", "id")
+    want = {r.id: r.n for r in df.select("id", F.lead("id").over(w).alias("n")).collect()}
+    got = {r.id: r.next.id if r.next is not None else None for r in ordered.following(df, ["k"], [F.col("o"), F.col("id")], ["id"]).collect()}
+    assert got == want
+
+
+def test_hot_keys_are_dealt(spark, monkeypatch) -> None:  # noqa: ANN001
+    from hierarq import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rows = spark.range(200).selectExpr("CASE WHEN id < 120 THEN 'hot' WHEN id < 125 THEN NULL ELSE concat('k', id) END AS k", "id")
+    look = spark.createDataFrame([("hot", 1), ("k130", 2), ("none", 3)], "k string, v int")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = sorted(map(tuple, salted_join(rows, look, ["k"], F.col("id"), how).collect()), key=str)
+        assert got == sorted(map(tuple, rows.join(look, ["k"], how).select(*(["k", "id", "v"] if how in ("inner", "left") else ["k", "id"])).collect()), key=str), how
+
+
+def test_changed_plans_and_affected_rows(spark) -> None:  # noqa: ANN001
+    old = spark.createDataFrame([(1, "u", "CA", "c", None, None, "Kim", "4", "d", None, None)],
+                                "plan_id int, user_id string, state string, content string, interests string, concerns string, child_name string, child_age string, duration string, created_at timestamp, updated_at timestamp")
+    cols = "plan_id int, op string, user_id string, child_name string, child_age string, state string, duration string, content string, interests string, concerns string, seq int"
+    ch = spark.createDataFrame([(1, "update", "u", None, None, None, None, "c2", "i", None, 1), (1, "update", "u", None, None, None, None, "c3", None, None, 2),
+                                (2, "create", "u", "Bo", "3", "CA", "d", "x", None, None, 1), (3, "create", "u", "Bo", "3", "CA", "", "x", None, None, 1), (4, "delete", "v", None, None, None, None, None, None, None, 1)], cols)
+    new, results = snapshot.plan_changes(old, ch, F.lit("2025-01-01").cast("timestamp"))
+    assert sorted((r.plan_id, r.content, r.interests) for r in new.collect()) == [(1, "c3", None), (2, "x", None)]
+    assert sorted((r.plan_id, r.action, r.error) for r in results.collect()) == [
+        (1, "updated", None), (2, "created", None), (3, None, "duration is required"), (4, None, snapshot.NOT_OWNED)]
+    assert tuple(snapshot.affected(old, new, ["plan_id"]).first()) == (1, 1, 0)
+
+
 def test_standard_ids(spark) -> None:  # noqa: ANN001
     df = spark.createDataFrame([("US", "CA", 2020, "D", "I", ""), ("US", "CA", 2020, "D", "I", "PK3")], "c string, s string, y int, d string, i string, a string")
     got = [r[0] for r in df.select(text.standard_id(*[F.col(c) for c in "csydia"])).collect()]

@@ -128,6 +128,43 @@ def test_entities_keep_links(spark) -> None:  # noqa: ANN001
     assert [(r.ordinal, r.scalar) for r in shred.scalar_lists(n, paths).orderBy("ordinal").collect()] == [(0, "p"), (2, "q")]
 
 
+def test_entities_of_the_real_table_match_brute_force(spark, small) -> None:  # noqa: ANN001
+    """Every object of the payloads with its scalar fields, and every entity table as the part of it that it is."""
+    import pandas as pd
+
+    from hierarq.plans import records
+
+    def text(v):  # noqa: ANN001, ANN202
+        return v if isinstance(v, str) else json.dumps(v)
+
+    want: dict = {}
+
+    def walk(rid, v, where):  # noqa: ANN001, ANN202
+        v = shred._embedded(v)
+        if isinstance(v, dict):
+            fields = {k: shred._embedded(x) for k, x in v.items()}
+            want.setdefault(rid, []).append({k: text(x) for k, x in fields.items() if x is not None and not isinstance(x, (dict, list))})
+            for k, x in fields.items():
+                walk(rid, x, f"{where}.{k}")
+        elif isinstance(v, list):
+            for x in v:
+                walk(rid, x, where)
+
+    real = pd.read_parquet(small + "/canonical_records.parquet").sort_values("received_at").drop_duplicates("record_id")
+    for rid, payload in zip(real.record_id, real.payload, strict=True):
+        walk(rid, shred._parse(payload) if payload is not None else None, "$")
+    key = lambda d: sorted((k, v) for k, v in (d or {}).items())
+    every = records.QUERIES["p5_objects"](spark, small).collect()
+    got: dict = {}
+    for r in every:
+        got.setdefault(r.record_id, []).append(dict(r.scalars or {}))
+    assert {k: sorted(map(key, v)) for k, v in got.items()} == {k: sorted(map(key, v)) for k, v in want.items()}
+    for name, entity in records.ENTITIES.items():
+        rows = records.QUERIES[name](spark, small)
+        own = {(r.record_id, r.node_path): {k: v for k, v in r.asDict().items() if v is not None and k not in ("record_id", "node_path", "parent_path")} for r in rows.collect()}
+        assert own == {(r.record_id, r.node_path): dict(r.scalars or {}) for r in every if r.entity == entity}, name
+
+
 def test_every_object_has_a_row_and_a_parent(spark, small, monkeypatch) -> None:  # noqa: ANN001
     from hierarq.plans import records
 
