@@ -139,7 +139,30 @@ _P5 = f"""
       SELECT label FROM w WHERE json_type(v) = 'OBJECT' AND ordinal IS NOT NULL)),
     x AS (SELECT record_id, v, label, ordinal, len(steps) AS n, list_transform(steps, lambda s: s.e OR coalesce(list_contains(names, s.l), false)) AS el,
       list_transform(steps, lambda s: s.t || CASE WHEN NOT s.e AND coalesce(list_contains(names, s.l), false) THEN '[0]' ELSE '' END) AS piece, steps FROM w, names WHERE len(steps) > 0)"""
+#: Scalar fields of the entities in the checked tables, for the SQL alone: the operator finds them in the data.
+_FIELDS = {
+    "p5_roots": "country state", "p5_documents": "age_band publishing_agency source_url title version_year", "p5_standards": "standard_id",
+    **dict.fromkeys(("p5_domains", "p5_strands", "p5_sub_strands", "p5_indicators"), "code description name"),
+    **dict.fromkeys(("p5_domain_attachments", "p5_strand_attachments", "p5_sub_strand_attachments", "p5_indicator_attachments"), "label page"),
+    "p5_metadata": "page_number source_text", "p5_crosswalks": "", "p5_frameworks": "name", "p5_contacts": "office", "p5_targets": "code weight",
+    "p5_reviews": "id role score", "p5_comments": "author text", "p5_replies": "author text", "p5_histories": "owner", "p5_revisions": "on rev",
+    "p5_changes": "field from to", "p5_evidence": "page quote",
+}
+
+
+def _entity_sql(table_name: str) -> str:
+    field = ENTITIES[table_name][1:]
+    cells = "".join(f""", CASE WHEN json_type(v, '{f}') NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN v->>'{f}' END AS "{f}\"""" for f in _FIELDS[table_name].split())
+    if not field:
+        return f"{_P5} SELECT record_id, '$' AS node_path, NULL::VARCHAR AS parent_path{cells} FROM w WHERE len(steps) = 0 AND json_type(v) IN ('OBJECT', 'ARRAY')"
+    path = "array_to_string(list_transform(list_filter(steps, lambda s: starts_with(s.t, '.')), lambda s: s.t), '')"
+    met = f"regexp_full_match({path}, '{field.replace('.replies', '').replace('.', '[.]')}([.]replies)+')" if field.endswith(".replies") else f"{path} = '{field}'"
+    return f"""{_P5} SELECT record_id, '$' || array_to_string(piece, '') AS node_path, '$' || array_to_string(piece[1:coalesce(list_max(list_filter(range(1, n), lambda i: el[i])), 0)], '')
+      AS parent_path{cells} FROM x WHERE json_type(v) = 'OBJECT' AND {met}"""
+
+
 SQL = {
+    **{name: _entity_sql(name) for name in ENTITIES},
     "p5_found": _P5 + """
     SELECT DISTINCT record_id, '$' || array_to_string(piece[1:coalesce(list_max(list_filter(range(1, n), lambda i: el[i])), 0)], '') AS parent_path,
       '$' || array_to_string(piece, '') AS node_path FROM x WHERE el[n]""",

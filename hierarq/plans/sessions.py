@@ -218,7 +218,9 @@ def s17_cache_keys(s: SparkSession, d: str) -> DataFrame:
     return objects.content_key(docs, "state", "title").select("id", "cache_key")
 
 
-@R.add("f5_provider_calls")
+@R.add("f5_provider_calls", """
+    SELECT id, CASE WHEN good THEN upper(title) END AS answer, CASE WHEN NOT good THEN 'ValueError: no text' END AS error, CASE WHEN good THEN 1 ELSE 3 END AS attempts
+    FROM (SELECT DISTINCT id, title, coalesce(regexp_matches(title, '\\p{L}'), false) AS good FROM source_documents)""")
 def f5_provider_calls(s: SparkSession, d: str) -> DataFrame:
     """The provider hook with retries; this provider fails on texts without a letter."""
 
@@ -230,7 +232,8 @@ def f5_provider_calls(s: SparkSession, d: str) -> DataFrame:
     return providers.call_provider(table(s, d, "source_documents").select("id", "title").distinct(), "id", "title", shout)
 
 
-@R.add("f6_embeddings")
+@R.add("f6_embeddings", "SELECT id, [" + ", ".join(
+    f"(length(t) - length(replace(t, '{c}', '')))::FLOAT" for c in "abcdefgh") + "] AS embedding FROM (SELECT DISTINCT id, lower(coalesce(title, '')) AS t FROM source_documents)")
 def f6_embeddings(s: SparkSession, d: str) -> DataFrame:
     """the embedder hook, here with letter frequencies."""
 
