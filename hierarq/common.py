@@ -119,14 +119,22 @@ def hot_keys(counts: DataFrame, on: list[str]) -> list[Row]:
     return counts.where(F.col("n") > max(HOT_ROWS, most.total / HOT_PART)).select(*on).collect()
 
 
+def _surely_small(df: DataFrame) -> bool:
+    """Whether, by the optimizer's estimate, there are not even bytes enough for one hot key."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) < 8 * HOT_ROWS
+
+
 def salted_join(rows: DataFrame, lookup: DataFrame, on: list[str], spread: Column, how: str = "inner",
                 counts: DataFrame | None = None) -> DataFrame:
     """Join of many ``rows`` per key with a ``lookup`` that is unique on ``on``.
 
-    Rows are first counted per key (or ``counts`` (on..., n) says how many there are). Without a hot key this is
-    a plain join. Only the rows of hot keys are dealt over shares, by ``spread`` (a column
+    Rows are first counted per key (or ``counts`` (on..., n) says how many there are), unless there are too few
+    for a hot key. Without one this is a plain join. Only the rows of hot keys are dealt over shares, by ``spread`` (a column
     that differs between them), and only their lookup rows are repeated, once per share. ``how`` is
     inner, left, left_semi or left_anti."""
+    if _surely_small(rows):
+        return rows.join(lookup, on, how)
     hot = hot_keys(rows.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts, on)
     if not hot:
         return rows.join(lookup, on, how)

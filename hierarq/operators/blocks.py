@@ -106,6 +106,7 @@ def _entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["doc", "_range", "start", "chunk"])
 
 
+_CHUNK_COLUMNS = ["doc", "chunk_id", "ord", "block_id", "tok", "seed"]
 _CHUNK = "doc string, chunk_id int, ord long, block_id long, tok long, seed boolean, low long, high long"
 
 
@@ -125,6 +126,11 @@ def greedy_chunks(blocks: DataFrame, doc: str = "document_s3_key", order: str =
     placed = staged(placed_in_ranges(rows, ["doc"], [F.col("ord"), F.col("block_id")], "tok"), "chunk-places")
     per = placed.groupBy("doc", "_range").agg(F.min("before").alias("base"), F.max(F.col("before") + F.col("tok")).alias("end"))
     wide = per.groupBy("doc").agg(F.count("*").alias("ranges")).where("ranges > 1").select("doc")
+    if not wide.take(1):  # every document lies in one range
+        alone = placed.select("doc", "_range", "n", "ord", "block_id", "tok", "before", *[F.lit(None).cast("long").alias(c) for c in ("start", "chunk")],
+                              *[F.lit(None).cast("array<long>").alias(c) for c in ("sums", "places")])
+        got = alone.repartition("doc", "_range").sortWithinPartitions("doc", "_range", "n").mapInPandas(lambda frames: _chunked(frames, limit, overlap), _CHUNK)
+        return got.select(*_CHUNK_COLUMNS).withColumnRenamed("doc", doc)
     cut = staged(per.join(wide, "doc", "left_semi"), "chunk-ranges")  # documents in several ranges: two per task
     own = placed.join(cut, ["doc", "_range"])
     tail = own.where(F.col("before") >= F.col("end") - overlap).groupBy("doc", "_range", "before").agg(F.min("n").alias("n")).groupBy(
@@ -151,8 +157,7 @@ def greedy_chunks(blocks: DataFrame, doc: str = "document_s3_key", order: str =
     # Seeds that lie in the range before: their places are looked up.
     back = out.where("low IS NOT NULL").select("doc", "chunk_id", F.explode(F.sequence("low", "high")).alias("n"))
     seeds = back.join(placed.select("doc", "n", "ord", "block_id", "tok"), ["doc", "n"]).withColumn("seed", F.lit(True))
-    cols = ["doc", "chunk_id", "ord", "block_id", "tok", "seed"]
-    return out.where("low IS NULL").select(*cols).unionByName(seeds.select(*cols)).withColumnRenamed("doc", doc)
+    return out.where("low IS NULL").select(*_CHUNK_COLUMNS).unionByName(seeds.select(*_CHUNK_COLUMNS)).withColumnRenamed("doc", doc)
 
 
 def _chunked(frames: Iterator[pd.DataFrame], limit: int, overlap: int) -> Iterator[pd.DataFrame]:
