@@ -80,7 +80,7 @@ def kept(spark: SparkSession, source: str, label: str, make: Callable[[], DataFr
 
     key = (spark.sparkContext.applicationId, label, source, tuple(files(source)))
     had = _kept.get(key)
-    if had is None or any(not files(f) for f in had.inputFiles()):
+    if had is None or not any(files(f.rsplit("/", 1)[0]) for f in had.inputFiles()[:1]):
         had = _kept[key] = make()
     return had
 
