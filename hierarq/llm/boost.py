@@ -1,7 +1,7 @@
 """Gradient-boosted trees for two classes: logistic loss, histogram splits, numpy only.
 
-The models here have a handful of features and are fitted on bounded samples, so a fit
-takes a second on the driver and the model is a few kilobytes in a task's closure.
+A fit needs rows only by the bins of their features: equal ones count as one row with its weight, so a table of any
+size is fitted whole by the distinct ones. The model is a few kilobytes in a task's closure.
 """
 
 from __future__ import annotations
@@ -11,6 +11,11 @@ from dataclasses import dataclass, field
 import numpy as np
 
 
+def in_bins(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """The number of the bin of each feature: how many of its edges are less."""
+    return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T, strict=True)], axis=1).astype(np.uint8) if edges else np.zeros((len(x), 0), np.uint8)
+
+
 @dataclass
 class BoostedTrees:
     rounds: int = 40
@@ -22,48 +27,58 @@ class BoostedTrees:
     base: float = 0.0
     trees: list = field(default_factory=list)
 
+    @property
+    def cuts(self) -> np.ndarray:
+        """Ranks of a feature's values, as parts of one, at which it is cut into bins."""
+        return np.linspace(0, 1, self.bins + 1)[1:-1]
+
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         x, y = np.asarray(x, dtype=np.float64), np.asarray(y, dtype=np.float64)
+        edges = [np.unique(np.quantile(c, self.cuts)) for c in x.T] if len(y) else []
+        return self.fit_binned(in_bins(x, edges), edges, y, np.ones(len(y)))
+
+    def fit_binned(self, binned: np.ndarray, edges: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> BoostedTrees:
+        """The fit on rows that stand ``weight`` times each, given by the bins between the ``edges`` of their features."""
         self.trees = []
-        share = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
+        share = np.clip(np.average(y, weights=weight) if len(y) else 0.5, 1e-3, 1 - 1e-3)
         self.base = float(np.log(share / (1 - share)))
         if not len(y) or y.min() == y.max():
             return self
-        edges = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T]
-        binned = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T, strict=True)], axis=1)
         score = np.full(len(y), self.base)
         for _ in range(self.rounds):
             p = 1 / (1 + np.exp(-score))
-            tree = self._grow(binned, edges, p - y, p * (1 - p), np.arange(len(y)), self.depth)
+            tree, at = self._grow(binned, edges, weight * (p - y), weight * p * (1 - p), weight, np.arange(len(y)), self.depth)
             self.trees.append(tree)
-            score += self._apply(tree, x)
+            for rows, leaf in at:
+                score[rows] += leaf
         return self
 
-    def _grow(self, binned, edges, g, h, rows, depth):  # noqa: ANN001, ANN202
-        total_g, total_h = g[rows].sum(), h[rows].sum()
+    def _grow(self, binned, edges, g, h, weight, rows, depth):  # noqa: ANN001, ANN202
+        """(tree, [(rows, leaf)])."""
+        total_g, total_h, total = g[rows].sum(), h[rows].sum(), weight[rows].sum()
         leaf = -self.rate * total_g / (total_h + self.l2)
-        if depth == 0 or len(rows) < 2 * self.min_leaf:
-            return leaf
+        if depth == 0 or total < 2 * self.min_leaf:
+            return leaf, [(rows, leaf)]
         best = (1e-6, None, None)
         for f, e in enumerate(edges):
             if not len(e):
                 continue
             b = binned[rows, f]
             n = len(e) + 1
-            cg, ch = np.cumsum(np.bincount(b, g[rows], n)), np.cumsum(np.bincount(b, h[rows], n))
-            cn = np.cumsum(np.bincount(b, minlength=n))
-            ok = (cn >= self.min_leaf) & (len(rows) - cn >= self.min_leaf)
+            cg, ch, cn = (np.cumsum(np.bincount(b, x[rows], n)) for x in (g, h, weight))
+            ok = (cn >= self.min_leaf) & (total - cn >= self.min_leaf)
             gain = cg**2 / (ch + self.l2) + (total_g - cg) ** 2 / (total_h - ch + self.l2) - total_g**2 / (total_h + self.l2)
             gain = np.where(ok, gain, -1)[:-1]
             k = int(np.argmax(gain))
             if gain[k] > best[0]:
                 best = (gain[k], f, k)
         if best[1] is None:
-            return leaf
+            return leaf, [(rows, leaf)]
         _, f, k = best
         left = binned[rows, f] <= k
-        return (f, float(edges[f][k]), self._grow(binned, edges, g, h, rows[left], depth - 1),
-                self._grow(binned, edges, g, h, rows[~left], depth - 1))
+        low, at_low = self._grow(binned, edges, g, h, weight, rows[left], depth - 1)
+        high, at_high = self._grow(binned, edges, g, h, weight, rows[~left], depth - 1)
+        return (f, float(edges[f][k]), low, high), at_low + at_high
 
     def _apply(self, tree, x):  # noqa: ANN001, ANN202
         if not isinstance(tree, tuple):

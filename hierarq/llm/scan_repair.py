@@ -6,7 +6,7 @@ rare beside others, looks up correction candidates by an inverted join on the ch
 q-grams of its skeleton (a spelling in which characters that scanners confuse are equal). Both
 sides of the join carry their rarest q-grams, so many that two skeletons within ``SKELETON_EDITS`` edits share one (prefix
 filter): none of these pairs is lost. Gradient-boosted trees, fitted on corrupted
-copies of the corpus's own words, choose among the candidates. What is found are words; texts
+copies of all the corpus's own words, choose among the candidates. What is found are words; texts
 that hold them are found by joining their tokens, after the at most ``TRUSTED_WORDS`` most
 frequent sound words are dropped on the spot by a broadcast set.
 
@@ -20,6 +20,8 @@ whether a pair is one word, and whether it keeps its hyphen. They are taught by
 unbroken lines: its words cut in two, its compounds, its suspended hyphens (``two- and``) and
 number ranges; their features are how often the parts and the whole stand in it.
 
+All trees are fitted on all rows that teach them, by the distinct bins of their features with their counts.
+
 Defined results: null and empty texts have no noise; copies of a row count once; a text of
 one line has its own line end only in LINE blocks; table cells (CELL) print no headers,
 page numbers or line ends; ties between candidates go to the more frequent, then to the
@@ -43,14 +45,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hierarq.common import salted_join, staged
-from hierarq.llm.boost import BoostedTrees
+from hierarq.llm.boost import BoostedTrees, in_bins
 from hierarq.operators.ordered import following
 
 #: Words kept in the broadcast set of sound words; the others meet the found words by a join.
 TRUSTED_WORDS = 20_000
-#: Bounds of the samples the models are fitted on: words, lines of each class, line pairs of each kind.
-WORD_SAMPLE, LINE_SAMPLE, PAIR_SAMPLE = 3_000, 10_000, 2_000
-#: Times a pair that stands often is taught.
+#: The weight of a pair that stands often: it is taught as if it stood so many times at most.
 COPIES = 50
 #: A word seen once proves no spelling; one without odd characters is looked up when a
 #: candidate is so many times as frequent.
@@ -58,8 +58,6 @@ MIN_REFERENCE, RARE_RATIO = 2, 8
 #: Edits between two skeletons that the q-gram join finds without loss: so many from the given lengths of the
 #: shorter one on. A skeleton of that length has more q-grams than so many edits can spoil.
 Q, SKELETON_EDITS = 3, {4: 1, 7: 2}
-#: A line with more long words in lower case than this is prose, of which one in so many is kept as a lesson.
-PROSE_WORDS, PROSE_SHARE = 3, 16
 #: A document says where its pages' numbers are when so many lines agree.
 OFFSET_LINES = 3
 FLUSH_AT = 300_000
@@ -240,41 +238,56 @@ def pair_features(word: str, count: int, reference: str, reference_count: int) -
             float(len(word) - len(reference))]
 
 
-def fit_ranker(sample: list[tuple[str, int]]) -> BoostedTrees:
-    """Boosted trees that tell misreadings from other words, taught by corrupted copies of
-    frequent words (class 1; most by known confusions, some by any odd character in the word) and by
-    pairs of different sound words, some of them made rare (class 0). Deterministic in the sample."""
-    rows, labels = [], []
-    for word, n in sample:
-        rng = np.random.default_rng(zlib.crc32(word.encode()))
-        ways = [(x, y) for x, y in CONFUSIONS if x in word]
-        bad = []
-        for size in (1, 1, 2, 3):
-            w = word
-            for _ in range(size):
-                if ways:
-                    x, y = ways[rng.integers(len(ways))]
-                    at = [i for i in range(len(w)) if w.startswith(x, i)]
-                    if at:
-                        i = at[rng.integers(len(at))]
-                        w = w[:i] + y + w[i + len(x) :]
-            bad.append(w)
-        if len(word) > 5:
-            i = int(rng.integers(1, len(word) - 1))
-            bad.append(word[:i] + ODD[rng.integers(len(ODD))] + word[i + 1 :])
-        for w in bad:
-            if w != word:
-                rows.append(pair_features(w, max(1, int(n * rng.choice([0.001, 0.01, 0.04]))), word, n))
-                labels.append(1)
-        other, m = sample[rng.integers(len(sample))]
-        near = [w for w in (word + "s", word[:-1], word[1:], word[:2] + word[3:], "un" + word, word + "ed", word[:-1] + word[-2:-1], word[:1] + "a" + word[2:],
-                            word[:-2] + "ly") if len(w) > 2]
-        for w in [other, *near]:
-            if w != word:
-                rows.append(pair_features(w, max(1, int(n * rng.choice([0.001, 0.01, 0.3, 1.0]))), word, n))
-                labels.append(0)
-    return BoostedTrees(rounds=60).fit(np.array(rows, dtype=float).reshape(len(rows), -1) if rows else np.zeros((0, 9)),
-                                       np.array(labels))
+def _lessons(word: str, n: int, other: str | None) -> Iterator[tuple[bool, list[float]]]:
+    """(is a misreading, features) of corrupted copies of a word (most by known confusions, some by any odd character in the
+    word) and of pairs with different sound words, some of them made rare. Deterministic in the word."""
+    rng = np.random.default_rng(zlib.crc32(word.encode()))
+    ways = [(x, y) for x, y in CONFUSIONS if x in word]
+    bad = []
+    for size in (1, 1, 2, 3):
+        w = word
+        for _ in range(size):
+            if ways:
+                x, y = ways[rng.integers(len(ways))]
+                at = [i for i in range(len(w)) if w.startswith(x, i)]
+                if at:
+                    i = at[rng.integers(len(at))]
+                    w = w[:i] + y + w[i + len(x) :]
+        bad.append(w)
+    if len(word) > 5:
+        i = int(rng.integers(1, len(word) - 1))
+        bad.append(word[:i] + ODD[rng.integers(len(ODD))] + word[i + 1 :])
+    for w in bad:
+        if w != word:
+            yield True, pair_features(w, max(1, int(n * rng.choice([0.001, 0.01, 0.04]))), word, n)
+    near = [w for w in (word + "s", word[:-1], word[1:], word[:2] + word[3:], "un" + word, word + "ed", word[:-1] + word[-2:-1], word[:1] + "a" + word[2:],
+                        word[:-2] + "ly") if len(w) > 2]
+    for w in [other or word, *near]:
+        if w != word:
+            yield False, pair_features(w, max(1, int(n * rng.choice([0.001, 0.01, 0.3, 1.0]))), word, n)
+
+
+#: Rounds of the trees that choose among candidates.
+RANKER_ROUNDS = 60
+
+
+def fit_ranker(words: list[tuple[str, int]]) -> BoostedTrees:
+    """Boosted trees that tell misreadings (class 1) from other words (class 0), taught by all ``words``."""
+    rows = [x for (w, n), (other, _) in zip(words, words[1:] + words[:1], strict=True) for x in _lessons(w, n, other)]
+    return BoostedTrees(rounds=RANKER_ROUNDS).fit(np.array([f for _, f in rows], dtype=float).reshape(len(rows), -1), np.array([x for x, _ in rows], dtype=float))
+
+
+def _ranker(words: DataFrame) -> BoostedTrees:
+    """``fit_ranker`` on the rows of ``words`` (word, n); another word is the one after it by hash."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = [x for w, n, other in zip(f.word, f.n, f.other, strict=True) for x in _lessons(w, n, other)]
+            yield pd.DataFrame(rows, columns=["bad", "x"])
+
+    paired = following(words.select("word", "n"), [], [F.xxhash64("word"), F.col("word")], ["word"]).select("word", "n", F.col("next.word").alias("other"))
+    paired = paired.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")  # few bytes, much work
+    return _taught(paired.mapInPandas(run, "bad boolean, x array<double>"), "bad", "x", BoostedTrees(rounds=RANKER_ROUNDS))
 
 
 def _grams(c: str) -> Column:
@@ -328,8 +341,7 @@ def corrections(counts: DataFrame) -> DataFrame:
     r = reference.select(F.col("skel").alias("r_skel"), F.col("word").alias("r"), F.col("n").alias("r_n"))
     near = pairs.join(doubtful, "skel").join(r, "r_skel").where(
         (F.col("word") != F.col("r")) & (F.col("odd") | (F.col("r_n") >= F.col("n") * RARE_RATIO)))
-    sample = [(x.word, x.n) for x in reference.where("length(word) >= 3").orderBy(F.desc("n"), "word").limit(WORD_SAMPLE).collect()]
-    model = fit_ranker(sample)
+    model = _ranker(reference.where("length(word) >= 3"))
 
     def rank(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -354,8 +366,8 @@ SIGNS_SCHEMA = "table_name string, row_id long, doc string, kind string, page in
 
 
 def _title(line: str) -> tuple[str, bool, list[float]] | None:
-    """(core, numbered, shape) of a line that may be a header: of two words at least, not in lower case, no prose but for
-    some lines that teach what no header is. ``core`` is the line without a page number beside it."""
+    """(core, numbered, shape) of a line that may be a header: of two words at least, not in lower case; prose too, since it
+    teaches what no header is, and a header may read like it. ``core`` is the line without a page number beside it."""
     core = line.strip()
     if not 6 <= len(core) <= 130 or core[0].islower() and core[0] not in "ivxl":
         return None
@@ -368,8 +380,6 @@ def _title(line: str) -> tuple[str, bool, list[float]] | None:
         return None
     longer = _LONG.findall(core)
     small = sum(map(str.islower, [w[0] for w in longer]))
-    if small > PROSE_WORDS and zlib.crc32(core.encode()) % PROSE_SHARE:
-        return None
     words = [w for w in core.split() if not w.isdigit()]
     if len(words) < 2:
         return None
@@ -464,14 +474,30 @@ def line_signs(u: DataFrame, trusted: frozenset[str]) -> DataFrame:
         run, SIGNS_SCHEMA)
 
 
-def _taught(rows: DataFrame, label: str, features: str, sample: int) -> BoostedTrees:
-    """Trees fitted on at most ``sample`` rows of each class, chosen by hash."""
-    order = F.xxhash64(*[c for c in rows.columns if c not in (label, features)], features)
-    parts = [rows.where(c).orderBy(order).limit(sample).select(label, features) for c in (F.col(label), ~F.col(label))]
-    both = parts[0].unionByName(parts[1]).toPandas()
-    if not len(both):
-        return BoostedTrees().fit(np.zeros((0, 1)), np.zeros(0))
-    return BoostedTrees().fit(np.array(both[features].tolist(), dtype=float), both[label].to_numpy(dtype=float))
+def _taught(rows: DataFrame, label: str, features: str, model: BoostedTrees | None = None, weight: str | None = None) -> BoostedTrees:
+    """Trees (``model``) fitted on all ``rows``, which stand ``weight`` times each.
+
+    The tasks count the rows per label and features, cut the features at their exact quantiles and count again per bins;
+    the driver fits on the distinct bins with their counts."""
+    model = model or BoostedTrees()
+    counted = staged(rows.groupBy(F.col(label).alias("y"), F.col(features).alias("x")).agg(F.sum(F.col(weight) if weight else F.lit(1)).alias("n")), "scan-lessons")
+    any_row = counted.select(F.size("x")).first()
+    if any_row is None:
+        return model.fit(np.zeros((0, 1)), np.zeros(0))
+    cuts = F.array(*[F.lit(float(c)) for c in model.cuts])
+    got = counted.agg(*[F.percentile(F.col("x")[i].cast("double"), cuts, F.col("n")).alias(f"e{i}") for i in range(any_row[0])]).first()
+    edges = [np.unique(np.array(e)) for e in got]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                yield pd.DataFrame({"y": f.y, "b": [b.tobytes() for b in in_bins(np.array(f.x.tolist(), dtype=float), edges)], "n": f.n})
+
+    binned = counted.mapInPandas(run, "y boolean, b binary, n long").groupBy("y", "b").agg(F.sum("n").alias("n")).toPandas()
+    binned["b"] = binned.b.map(bytes)
+    binned = binned.sort_values(["b", "y"])  # sums of floats depend on the order
+    bins = np.frombuffer(b"".join(binned.b), dtype=np.uint8).reshape(len(binned), len(edges))
+    return model.fit_binned(bins, edges, binned.y.to_numpy(dtype=float), binned.n.to_numpy(dtype=float))
 
 
 def _scored(rows: DataFrame, model: BoostedTrees, features: str, name: str = "score") -> DataFrame:
@@ -495,7 +521,7 @@ def headers(signs: DataFrame) -> DataFrame:
         F.min("page").alias("low"), F.max("page").alias("high"), F.min("f").alias("f")).select(
         "doc", "value", "f", F.coalesce(F.col("low") < F.col("high"), F.lit(False)).alias("recurs"))
     lines = staged(known, "scan-titles")
-    scored = _scored(lines, _taught(lines, "recurs", "f", LINE_SAMPLE), "f")
+    scored = _scored(lines, _taught(lines, "recurs", "f"), "f")
     return scored.where(F.col("score") >= F.when(F.col("recurs"), 0.5).otherwise(0.9)).select("doc", "value")
 
 
@@ -519,7 +545,8 @@ def page_numbers(signs: DataFrame) -> DataFrame:
     more = F.array((a + 0.5) / (n + 1), F.log1p(n), F.log1p(F.coalesce("docs", F.lit(0))))
     x = F.transform(F.concat(F.slice("f", 2, F.size("f") - 1).cast("array<double>"), more), lambda v: v.cast("float"))
     every = every.select("table_name", "row_id", "value", "known", "agrees", x.alias("x"))
-    model = _taught(every.where("known").select("row_id", "value", "agrees", "x"), "agrees", "x", LINE_SAMPLE)
+    every = staged(every, "scan-number-shapes")
+    model = _taught(every.where("known"), "agrees", "x")
     return _scored(every, model, "x").where("score >= 0.5").select("table_name", "row_id", "value").distinct()
 
 
@@ -574,38 +601,36 @@ def pair_decisions(pairs: DataFrame, counts: DataFrame) -> DataFrame:
     """(left, right, broken, keeps) of distinct ``pairs`` (left, right): whether a word is broken there, and whether it
     keeps its hyphen when joined.
 
-    Two models, taught by unbroken lines: words cut in two, compounds and suspended hyphens of the corpus,
-    at most ``PAIR_SAMPLE`` of each, those that stand often up to ``COPIES`` times. In every other copy what is
+    Two models, taught by unbroken lines: all words cut in two, compounds and suspended hyphens of the corpus,
+    those that stand often with a weight of up to ``COPIES``. In every other copy what is
     known of the whole is hidden, as if it stood nowhere else; some have nothing after them."""
-    asked = pairs.select("left", "right").distinct().select("left", "right", F.lit("").alias("label"))
+    asked = pairs.select("left", "right").distinct().select("left", "right", F.lit("").alias("label"), F.lit(False).alias("hidden"), F.lit(1).cast("long").alias("w"))
     h = F.xxhash64("word")
     at = (2 + F.pmod(h, F.greatest(F.length("word") - 3, F.lit(1)))).cast("int")
     letters = F.col("word").rlike("^\\p{L}{6,}$")
-    words = counts.where((F.col("kind") == "word") & letters & (F.col("n") > MIN_REFERENCE)).orderBy(h).limit(PAIR_SAMPLE).select(
+    words = counts.where((F.col("kind") == "word") & letters & (F.col("n") > MIN_REFERENCE)).select(
         F.substring("word", F.lit(1), at).alias("left"), F.substring("word", at + 1, F.length("word")).alias("right"), F.lit("word").alias("label"), "n")
     two = F.split("word", MARK)
     beside = counts.where("kind <> 'word'").select("kind", "word", "n", two[0].alias("left"), two[1].alias("right"))
     kinds = [("compound", "kind = 'compound' AND length(left) > 1"), ("apart", "kind = 'suspended'")]
-    taught = [words] + [beside.where(c).orderBy(h).limit(PAIR_SAMPLE).select("left", "right", F.lit(x).alias("label"), "n") for x, c in kinds]
+    taught = [words] + [beside.where(c).select("left", "right", F.lit(x).alias("label"), "n") for x, c in kinds]
     copies = F.sequence(F.lit(0), F.when(F.col("label") == "word", 1).otherwise(F.least("n", F.lit(COPIES)).cast("int") - 1))
-    sample = reduce(DataFrame.unionByName, taught).select("left", "right", "label", F.explode(copies).alias("copy"))
+    copied = reduce(DataFrame.unionByName, taught).select("left", "right", "label", F.explode(copies).alias("copy"))
     turn = F.when(F.col("label") == "word", F.pmod(F.xxhash64("left"), F.lit(5))).otherwise(F.col("copy") % 5)
     alone = F.when(turn != 4, F.col("right"))
-    rows = asked.withColumn("copy", F.lit(-1)).unionByName(sample.withColumn("right", alone)).withColumn("id", F.xxhash64("left", "right", "label", "copy"))
-    own = ["left", "right", "label", "copy", "l", "r"]
+    lessons = copied.groupBy("left", alone.alias("right"), "label", (F.col("copy") % 2 == 1).alias("hidden")).agg(F.count("*").alias("w"))
+    rows = asked.unionByName(lessons).withColumn("id", F.xxhash64("left", "right", "label", "hidden"))
+    own = ["left", "right", "label", "hidden", "w", "l", "r"]
     probes = _asked_pairs(rows).select("id", F.struct(*own).alias("own"), F.posexplode("keys").alias("slot", "key"))
     told = salted_join(probes, _evidence(counts), ["key"], F.struct("id", "slot"), "left").groupBy("id").agg(
         F.any_value("own").alias("own"), *[F.max(F.when(F.col("slot") == i, F.log1p("n"))).alias(f"e{i}") for i in range(6)]).select("own.*", *[f"e{i}" for i in range(6)])
     slot = F.when(F.col("label") == "word", 0).when(F.col("label") == "compound", 3).otherwise(4)
-    hidden = (F.col("copy") >= 0) & (F.col("copy") % 2 == 1)
-    x = F.array(*[F.when(hidden & (slot == i), 0.0).otherwise(F.coalesce(f"e{i}", F.lit(0.0))) for i in range(6)],
+    x = F.array(*[F.when(F.col("hidden") & (slot == i), 0.0).otherwise(F.coalesce(f"e{i}", F.lit(0.0))) for i in range(6)],
                 F.length("l"), F.length("r"), F.col("right").isNull().cast("int"))
-    full = staged(told.select("left", "right", "label", F.transform(x, lambda v: v.cast("float")).alias("x")), "scan-joins")
-    lessons = full.where("label <> ''").select("label", "x").orderBy(F.xxhash64("label", "x")).limit(3 * COPIES * PAIR_SAMPLE).toPandas()
-    features = np.array(lessons.x.tolist() or np.zeros((0, 9)), dtype=float)
-    of_words = (lessons.label != "apart").to_numpy()
-    broken = BoostedTrees().fit(features, of_words)
-    keeps = BoostedTrees().fit(features[of_words], (lessons.label == "compound").to_numpy()[of_words])
+    full = staged(told.select("left", "right", "label", "w", F.transform(x, lambda v: v.cast("float")).alias("x")), "scan-joins")
+    lessons = full.where("label <> ''").select("x", "w", (F.col("label") != "apart").alias("whole"), (F.col("label") == "compound").alias("compound"))
+    broken = _taught(lessons, "whole", "x", weight="w")
+    keeps = _taught(lessons.where("whole"), "compound", "x", weight="w")
     got = _scored(_scored(full.where("label = ''"), broken, "x", "b"), keeps, "x", "k")
     return got.select("left", "right", (F.col("b") >= 0.5).alias("broken"), (F.col("k") >= 0.5).alias("keeps"))
 

@@ -123,6 +123,27 @@ def test_paragraphs(spark) -> None:  # noqa: ANN001
     assert "Council" not in text and "Section A2.1: Small Group" in text and "ages 3-4" in text.replace("3- 4", "3-4")
 
 
+def test_headers_that_read_like_prose(spark) -> None:  # noqa: ANN001
+    blocks, elements = _scan(spark)
+    heads = [f"Guidance on {a} learning and {b} growth of {c} children" for a, b, c in (
+        ("early", "healthy", "young"), ("outdoor", "language", "small"), ("musical", "social", "little"), ("playful", "physical", "older"))]
+    more = [(9000 + 100 * k + p, f"p{k}", p, head, p, "LINE", "x") for k, head in enumerate(heads) for p in range(1, 31)]
+    got = scan_repair.noise(blocks.unionByName(spark.createDataFrame(more, B)), elements)
+    assert got.where("row_id >= 9000 AND noise = 'header'").count() == len(more)
+
+
+def test_trees_are_taught_by_all_rows(spark) -> None:  # noqa: ANN001
+    # 60,000 rows of which few are distinct; a shape that stands in 24 of them decides alone.
+    rows = spark.range(60_000).select(
+        (F.col("id") % 2500 == 7).alias("y"), F.array((F.col("id") % 7), (F.col("id") % 2500 == 7).cast("long") * 3, F.col("id") % 11).cast("array<float>").alias("x"))
+    whole = rows.toPandas()
+    want = boost.BoostedTrees().fit(np.array(whole.x.tolist()), whole.y.to_numpy(dtype=float))
+    asked = np.array([[a, b, c] for a in range(7) for b in (0, 3) for c in range(11)], dtype=float)
+    assert np.allclose(scan_repair._taught(rows, "y", "x").predict(asked), want.predict(asked), atol=1e-9)
+    weighted = rows.groupBy("y", "x").agg(F.count("*").alias("times"))
+    assert np.allclose(scan_repair._taught(weighted, "y", "x", weight="times").predict(asked), want.predict(asked), atol=1e-9)
+
+
 def test_noise_of_empty_tables(spark) -> None:  # noqa: ANN001
     a, b = _scan(spark)
     assert scan_repair.noise(a.limit(0), b.limit(0)).count() == 0
