@@ -9,12 +9,11 @@ reached; a document is never taken more than ``max_repeats`` times.
 Pfair scheduling orders the mix: a source with weight w releases its j-th block at slot
 floor((j - 1) / w) and must have it placed by slot ceil(j / w); of the released blocks the
 one with the earliest deadline goes first. So at any slot each source is less than one
-block of ``BLOCK`` tokens from its share, whatever the size of the corpus. The schedule repeats itself:
-after as many slots as the least common multiple of the weights' denominators every source has had just its
-share. One such period is scheduled on the driver, all later slots follow from it. Weights whose period is
-longer than ``MAX_PERIOD``, or more than ``MAX_SOURCES`` sources, are ordered by their deadlines in a distributed sort:
-no block is late then, but one may come early by as many slots as there are sources. Documents find
-their block by prefix sums.
+block of ``BLOCK`` tokens from its share, whatever the size of the corpus, the number of sources and the weights. The
+schedule repeats itself: after as many slots as the least common multiple of the weights' denominators every source has had just its
+share. One period is scheduled, and the blocks after the last whole one of the mix, whose start is like the first slot; all others follow.
+A period longer than the mix never ends, then the latter are all blocks. A slot depends on all before it, so one task does this, in a
+stream of at most one small row per ``BLOCK`` tokens, holding one block per source. Documents find their block by prefix sums.
 
 Defined results: null and empty texts have no tokens and are left out; a null source is in
 no target; repeated rows of one doc_id count once; max_repeats under 1 or null and shares
@@ -27,50 +26,51 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hierarq.common import staged
 from hierarq.llm.tokenize import VOCABULARY_DIR, count_tokens
-from hierarq.operators.ordered import numbered
 
-#: Tokens of a block, and slots of a period that is scheduled on the driver.
+#: Tokens of a block, and slots of a schedule that is broadcast; a longer one meets the blocks by a shuffled join.
 BLOCK, MAX_PERIOD = 2_048, 200_000
 #: Documents per bucket of the two-level prefix sums.
 BUCKET_DOCS = 20_000
-#: Sources that may be scheduled on the driver.
-MAX_SOURCES = 10_000
+#: Slots that are scheduled between two batches of rows.
+SLOTS_AT_ONCE = 50_000
 
 
-def pfair(weights: dict[str, Fraction], blocks: dict[str, int]) -> list[tuple[str, int]]:
-    """(source, j) in slot order, j from 1: earliest deadline first among released blocks."""
-    order = {s: i for i, s in enumerate(sorted(weights, key=lambda s: (-weights[s], s)))}
-    waiting, ready = [], []
-
-    def release(s: str, j: int) -> None:
-        if j <= blocks.get(s, 0):
-            w = weights[s]
-            heapq.heappush(waiting, ((j - 1) * w.denominator // w.numerator, order[s], s, j))
-
-    for s in weights:
-        release(s, 1)
-    out: list[tuple[str, int]] = []
+def _scheduled(weights: dict[str, Fraction], blocks: dict[str, int]) -> Iterator[tuple[str, int, int]]:
+    """(source, j, slot) in slot order, j from 1, slot from 0: earliest deadline first among released blocks."""
+    whole = math.lcm(*[w.denominator for w in weights.values()])
+    parts = [(s, int(weights[s] * whole), blocks.get(s, 0)) for s in sorted(weights, key=lambda s: (-weights[s], s))]
+    waiting = [(0, o, 1) for o, (_, _, most) in enumerate(parts) if most > 0]  # (release, order of the source, j)
+    ready: list[tuple[int, int, int]] = []
+    heapq.heapify(waiting)
     slot = 0
     while waiting or ready:
         while waiting and waiting[0][0] <= slot:
-            _, o, s, j = heapq.heappop(waiting)
-            w = weights[s]
-            heapq.heappush(ready, (-(-j * w.denominator // w.numerator), o, s, j))
-        if ready:
-            _, _, s, j = heapq.heappop(ready)
-            out.append((s, j))
-            release(s, j + 1)
-            slot += 1
-        else:
+            _, o, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-j * whole // parts[o][1]), o, j))
+        if not ready:
             slot = waiting[0][0]
-    return out
+            continue
+        _, o, j = heapq.heappop(ready)
+        source, part, most = parts[o]
+        yield source, j, slot
+        if j < most:
+            heapq.heappush(waiting, (j * whole // part, o, j + 1))
+        slot += 1
+
+
+def pfair(weights: dict[str, Fraction], blocks: dict[str, int]) -> list[tuple[str, int]]:
+    """(source, j) in slot order, j from 1: earliest deadline first among released blocks."""
+    return [(s, j) for s, j, _ in _scheduled(weights, blocks)]
 
 
 def sized_documents(docs: DataFrame, vocabulary_dir: str = VOCABULARY_DIR) -> DataFrame:
@@ -95,28 +95,51 @@ def plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
         "quota > 0"), "mix-plan")
 
 
+def _schedule(quotas: DataFrame) -> DataFrame:
+    """(source, rest, turn, at, turns, whole, length, start), staged. In a period of ``length`` slots a source has ``turns`` blocks; the mix
+    has whole periods up to slot ``start``, with ``whole`` blocks of the source, and a rest. The block ``turn`` of a period, or of the ``rest``,
+    has slot ``at`` in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in b.to_pylist()]
+        if not rows:
+            return
+        exact = {r["source"]: Fraction(str(r["target"])) for r in rows}
+        total = sum(exact.values())
+        weights = {s: w / total for s, w in exact.items()}
+        blocks = {r["source"]: -(-r["quota"] // BLOCK) for r in rows}
+        length = math.lcm(*[w.denominator for w in weights.values()])
+        turns = {s: int(w * length) for s, w in weights.items()}
+        rounds = min(n // turns[s] for s, n in blocks.items())
+        start, whole = rounds * length, {s: rounds * n for s, n in turns.items()}
+        parts = [(True, _scheduled(weights, {s: n - whole[s] for s, n in blocks.items()}))]
+        if rounds:
+            parts.append((False, _scheduled(weights, turns)))
+        else:
+            length, turns = 1, dict.fromkeys(turns, 1)  # no period is used, it may be longer than any long
+        for rest, placed in parts:
+            while some := list(islice(placed, SLOTS_AT_ONCE)):
+                source, turn, at = zip(*some, strict=True)
+                same = len(some)
+                longs = [turn, at, [turns[s] for s in source], [whole[s] for s in source], [length] * same, [start] * same]
+                yield pa.RecordBatch.from_arrays([pa.array(source), pa.array([rest] * same), *[pa.array(x, pa.int64()) for x in longs]], names=names)
+
+    schema = "source string, rest boolean, turn long, at long, turns long, whole long, length long, start long"
+    names = [x.split()[0] for x in schema.split(", ")]
+    return staged(quotas.select("source", "target", "quota").coalesce(1).mapInArrow(run, schema), "mix-schedule")
+
+
 def _slots(quotas: DataFrame, blocks: DataFrame) -> DataFrame:
     """``blocks`` (source, block_no) with their ``slot``."""
-    spark = quotas.sparkSession
-    rows = quotas.select("source", "target").limit(MAX_SOURCES + 1).collect()
-    exact = {r.source: Fraction(str(r.target)) for r in rows}
-    whole = sum(exact.values()) or Fraction(1)
-    weights = {s: w / whole for s, w in exact.items()}
-    length = math.lcm(*[w.denominator for w in weights.values()]) if weights else 1
-    if len(rows) > MAX_SOURCES or length > MAX_PERIOD:
-        every = quotas.select("source", "share", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("quota") / BLOCK))).alias("block_no"))
-        timed = every.withColumn("deadline", F.ceil(F.col("block_no") / F.col("share")))
-        order = [F.col("deadline"), (F.col("share"), "desc"), F.col("source"), F.col("block_no")]
-        placed = numbered(timed, [], order, "slot").select("source", "block_no", (F.col("slot") - 1).alias("slot"))
-        return blocks.join(placed, ["source", "block_no"])
-    turns = {s: int(w * length) for s, w in weights.items()}
-    first = [(s, j, i, turns[s]) for i, (s, j) in enumerate(pfair(weights, turns))]
-    period = spark.createDataFrame(first, "source string, turn long, at long, turns long")  # at most MAX_PERIOD rows of 40 bytes
-    of = spark.createDataFrame(list(turns.items()), "source string, turns long")
-    turned = blocks.join(F.broadcast(of), "source").withColumn("turn", (F.col("block_no") - 1) % F.col("turns") + 1)
-    met = turned.join(F.broadcast(period.drop("turns")), ["source", "turn"])
-    round_no = F.floor((F.col("block_no") - 1) / F.col("turns"))
-    return met.withColumn("slot", round_no * F.lit(length) + F.col("at")).drop("turn", "turns", "at")
+    schedule = _schedule(quotas)
+    of = schedule.where("turn = 1").select("source", "turns", "whole", "length", "start").distinct()  # one row per source
+    before = F.col("block_no") - 1
+    turned = blocks.join(of, "source").withColumn("rest", before >= F.col("whole")).withColumn(
+        "turn", F.when(F.col("rest"), before - F.col("whole")).otherwise(before % F.col("turns")) + 1)
+    at = schedule.select("source", "rest", "turn", "at")
+    met = turned.join(F.broadcast(at) if schedule.count() <= MAX_PERIOD else at, ["source", "rest", "turn"])
+    first = F.when(F.col("rest"), F.col("start")).otherwise(F.floor(before / F.col("turns")) * F.col("length"))
+    return met.withColumn("slot", first + F.col("at")).drop("rest", "turn", "turns", "whole", "length", "start", "at")
 
 
 def mixture(docs: DataFrame, targets: DataFrame, vocabulary_dir: str = VOCABULARY_DIR) -> DataFrame:

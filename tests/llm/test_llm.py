@@ -311,6 +311,30 @@ def test_schedule_repeats_and_long_periods(spark, monkeypatch) -> None:  # noqa:
     assert len(other) == len(out) and lag(other) < 3 and other.position.is_unique
 
 
+def test_long_periods_keep_the_lag(spark) -> None:  # noqa: ANN001
+    docs = spark.createDataFrame([(i, "word " * 300, "abcd"[i % 4]) for i in range(900)], "doc_id long, text string, source string")
+    shares = {"a": 0.700001, "b": 0.1, "c": 0.1, "d": 0.099999}  # a period of 1,000,000 slots
+    out = mix.mixture(docs, spark.createDataFrame([(s, x, 9) for s, x in shares.items()], "source string, target_share double, max_repeats int")).toPandas()
+    slots = out.drop_duplicates(["source", "block_no"]).sort_values("slot")
+    assert slots.slot.is_unique and out.position.is_unique and slots.slot.max() > 100
+    have = dict.fromkeys(shares, 0)
+    for r in slots.itertuples():
+        have[r.source] += 1
+        assert all(abs(have[s] - (r.slot + 1) * w) < 1 for s, w in shares.items())
+
+
+@pytest.mark.parametrize("many", [3, 12_000])
+def test_slots_are_in_their_windows(spark, many) -> None:  # noqa: ANN001
+    quotas = spark.range(many).select(F.format_string("s%d", "id").alias("source"), F.when(F.col("id") % 2 == 0, 0.3).otherwise(0.1).cast("decimal(20,10)").alias("target"),
+                                      (F.when(F.col("id") % 2 == 0, 15).otherwise(5) * mix.BLOCK).cast("long").alias("quota"))
+    blocks = quotas.select("source", "target", F.explode(F.sequence(F.lit(1).cast("long"), (F.col("quota") / mix.BLOCK).cast("long"))).alias("block_no"))
+    got = mix._slots(quotas.select("source", "target", F.col("target").cast("double").alias("share"), "quota"), blocks).toPandas()
+    whole = quotas.agg(F.sum("target")).first()[0]
+    assert len(got) == got.slot.nunique() == blocks.count()
+    for b, t, slot in zip(got.block_no, got.target, got.slot, strict=True):
+        assert (b - 1) * whole // t <= slot < -(-b * whole // t)
+
+
 def test_mixture_shares_and_caps(spark) -> None:  # noqa: ANN001
     docs = spark.createDataFrame([(i, "word " * 20, "a" if i < 300 else "b" if i < 400 else "c", "x") for i in range(500)] + [(900, None, "a", "x"), (901, "", "a", "x"), (902, "x", None, "x"), (1, "word " * 20, "a", "x")],
                                  "doc_id long, text string, source string, slot string")
