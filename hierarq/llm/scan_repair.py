@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -61,6 +62,8 @@ Q, SKELETON_EDITS = 3, {4: 1, 7: 2}
 #: A document says where its pages' numbers are when so many lines agree.
 OFFSET_LINES = 3
 FLUSH_AT = 300_000
+#: Pieces between blanks that a task remembers as free of words to be looked at.
+SOUND_PIECES = 100_000
 #: Separates the parts of a pair.
 MARK, AHEAD, WITHIN = "\x1f", "\x1e", "\x1d"
 
@@ -78,10 +81,9 @@ _SIGNS = "\\-\u2010\u2011\u2012\u2013\u2212\u00ac\u00ad\u2043\ufe63\uff0d"
 _LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u02af\u0300-\u1fff\u2c00-\u2dff\u3040-\ud7ff\uf900-\ufdff"
 _LATIN = "A-Za-z0-9\u00c0-\u024f\u0300-\u036f\u1e00-\u1eff€§"
 _NEW_LINE = r"[ \t\u00a0]*(?:\r\n|\n|\r)[ \t\u00a0]*"
-_JOIN = re.compile(f"(?:(?<=[{_LETTER}€§|!])|(?<=[{_LETTER}][0-9]))[{_SIGNS}]{_NEW_LINE}")
+_JOIN = re.compile(f"[{_SIGNS}](?:(?<=[{_LETTER}€§|!].)|(?<=[{_LETTER}][0-9].)){_NEW_LINE}")
 TOKEN = re.compile(f"[!|]?[{_LATIN}]+(?:[|!@$][{_LATIN}]+)*\\|?")
 _NO_WORD = re.compile(r"[A-Z]{1,4}\d+$|[\d|!]+[A-Z]{0,2}$|.{1,2}$")
-_HAS_HYPHEN = re.compile(f"[{_SIGNS}]\\s*(?:[\r\n]|$)")
 _NUMBER_BEFORE = re.compile(r"^\s*(?:\d{1,4}|" + ROMAN + r")(?:\s{2,}|\s*[|·•]\s*)(?=\S)")
 _NUMBER_AFTER = re.compile(r"(?<=\S)(?:\s{3,}|\s*\|\s*)(?:\d{1,4}|" + ROMAN + r")\s*$")
 _PIECE = f"[{_LATIN}|!@$]+"
@@ -89,12 +91,10 @@ _END = re.compile(f"({_PIECE})([{_SIGNS}])[ \t\u00a0\r\n]*$")
 _FIRST_SHAPE = f"^[ \t\u00a0\r\n]*({_PIECE})"
 _FIRST = re.compile(_FIRST_SHAPE)
 _MID = re.compile(f"[{_SIGNS}]([ \t\u00a0]*)(?=({_PIECE}))")
-_IN_PIECE = re.compile(f"[{_LATIN}|!@$]")
-_LONG = re.compile(r"\S{4,}")
+_IN_PIECE = frozenset(re.findall(_PIECE[:-1], "".join(map(chr, range(0x2100)))))
 _DIGITS = re.compile(r"\d+")
 _ALONE = re.compile(r"(?<![^\W_])\d+(?![^\W_])")
 _IS_ROMAN = re.compile(ROMAN + "$")
-_TITLE_END = re.compile(f"[.?!,;:…。？！，)”\"{_SIGNS}]$")
 _HEADING = re.compile(r"\S+ \S*\d\S*\s*:|.*[^\W\d_)”][.?!] ")
 _LINE_BREAK = re.compile(r"\r\n|\n|\r")
 _CUT_ODD = re.compile(f"[a-z]{{2}}[€§|!0-9][{_SIGNS}]\\s*$")
@@ -103,26 +103,41 @@ STRONG_ODD = "[a-zà-ÿ](?:[€§|!]|[0-9])[a-zà-ÿ]|[a-zà-ÿ]{2}[€§|]|[€
 # Spellings made equal: first parts of letters, then characters.
 _PARTS = [("rt", "tt"), ("nn", "rn"), ("m", "rn"), ("w", "vv"), ("d", "ei"), ("h", "ii"), ("b", "ii"), ("6", "ii"), ("8", "ii")]
 _SAME, _AS = "0l1|!€c5§$9qu2@47", "oiiiieesssggnzaat"
-_SAME_TABLE = str.maketrans(_SAME, _AS)
+_SAME_PAIRS = [*_PARTS, *zip(_SAME, _AS, strict=True)]  # no character stands on both sides, so one after the other is as good as all at once
 
 
 def line_key(line: str) -> str:
     """``skeleton`` of a line, with single blanks."""
     t = " ".join(line.lower().split())
-    for a, b in _PARTS:
+    for a, b in _SAME_PAIRS:
         t = t.replace(a, b)
-    return t.translate(_SAME_TABLE)
+    return t
 
 
 #: A word cut by these signs never keeps them: they mark a place, they are no hyphens.
 _SOFT = frozenset("\u00ac\u00ad")
 _SIGN_SET = frozenset("-\u2010\u2011\u2012\u2013\u2212\u00ac\u00ad\u2043\ufe63\uff0d")
+_TITLE_ENDS = _SIGN_SET | frozenset(".?!,;:…。？！，)”\"")
+
+
+def _lines(text: str) -> list[str]:
+    return _LINE_BREAK.split(text) if "\r" in text else text.split("\n")
+
+
+def _has_hyphen(lines: list[str]) -> bool:
+    """Whether one of the lines of a text ends with a hyphen sign."""
+    return any([x.rstrip()[-1:] in _SIGN_SET for x in lines])
 
 
 def _closed(text: str) -> str:
     """The text with lines joined at hyphens, without a word that is open at its end."""
-    if not _HAS_HYPHEN.search(text):
+    if not _has_hyphen(_lines(text)):
         return text
+    return _joined(text)
+
+
+def _joined(text: str) -> str:
+    """``_closed`` for a text that has a hyphen at the end of a line."""
     text = _JOIN.sub("", text).rstrip()
     return text[: max(text.rfind(" "), text.rfind("\n")) + 1] if text[-1:] in _SIGN_SET else text
 
@@ -130,7 +145,7 @@ def _closed(text: str) -> str:
 def _piece_before(text: str, end: int) -> str:
     """The part of a word that stops at ``end``."""
     start = end
-    while start and _IN_PIECE.match(text[start - 1]):
+    while start and text[start - 1] in _IN_PIECE:
         start -= 1
     return text[start:end]
 
@@ -165,14 +180,15 @@ def word_counts(u: DataFrame) -> DataFrame:
     blank, both as their skeletons with a MARK between."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: Counter = Counter()  # of what stands between blanks: no word reaches over one
         pairs: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
             words: Counter = Counter()
-            for w, n in counts.items():
-                if not _NO_WORD.match(w):
-                    words[w.lower()] += n
+            for piece, n in counts.items():
+                for w in TOKEN.findall(piece):
+                    if not _NO_WORD.match(w):
+                        words[w.lower()] += n
             rows = [("word", w, n) for w, n in words.items()]
             keys: Counter = Counter()
             for (kind, left, right), n in pairs.items():
@@ -186,12 +202,13 @@ def word_counts(u: DataFrame) -> DataFrame:
 
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            counts.update(TOKEN.findall("\n".join(map(_closed, texts))))
             for text in texts:
-                for m in _MID.finditer(text):
-                    left = _piece_before(text, m.start())
-                    if left and not left.isdigit():
-                        pairs["suspended" if m.group(1) else "compound", left, m.group(2)] += 1
+                counts.update(_closed(text).split())
+            text = "\n".join(texts)  # no pair reaches over a line break
+            for m in _MID.finditer(text):
+                left = _piece_before(text, m.start())
+                if left and not left.isdigit():
+                    pairs["suspended" if m.group(1) else "compound", left, m.group(2)] += 1
             if len(counts) + len(pairs) > FLUSH_AT:
                 yield flush()
         yield flush()
@@ -378,15 +395,20 @@ def _title(line: str) -> tuple[str, bool, list[float]] | None:
         core = _NUMBER_AFTER.sub("", core)
     if not 6 <= len(core) <= 120 or " " not in core or core[0].islower():
         return None
-    longer = _LONG.findall(core)
-    small = sum(map(str.islower, [w[0] for w in longer]))
-    words = [w for w in core.split() if not w.isdigit()]
-    if len(words) < 2:
+    parts = core.split()
+    ascii_only = core.isascii()
+    coded = core.encode() if ascii_only else b""
+    digits = len(coded) - len(coded.translate(None, b"0123456789")) if ascii_only else sum(map(str.isdigit, core))
+    words = len(parts) - sum([w.isdigit() for w in parts]) if digits else len(parts)
+    if words < 2:
         return None
+    longer = [w for w in parts if len(w) > 3]
+    small = sum([w[0].islower() for w in longer])
+    count = core.count
     return core, len(core) < whole - 1, [
-        len(words), len(longer), small, small / max(1, len(longer)), len(core), sum(map(str.isdigit, core)), sum(map(core.count, "—–·|")),
-        bool(_TITLE_END.search(core)), sum(map(core.count, (". ", "! ", "? "))), core.count(":"), core.count(","), core.isupper(),
-        core[0].isalpha(), any(map(str.isdigit, "".join(core.split(None, 2)[:2])))]
+        words, len(longer), small, small / max(1, len(longer)), len(core), digits, count("|") if ascii_only else count("—") + count("–") + count("·") + count("|"),
+        core[-1] in _TITLE_ENDS, count(". ") + count("! ") + count("? "), count(":"), count(","), core.isupper(),
+        core[0].isalpha(), digits > 0 and any(map(str.isdigit, "".join(parts[:2])))]
 
 
 def _roman(text: str) -> int:
@@ -429,43 +451,63 @@ def line_signs(u: DataFrame, trusted: frozenset[str]) -> DataFrame:
     beside it), ``word`` and ``lead`` (words that are not ``trusted``; a LINE's first), ``odd`` (a misread
     part of a word at the end of a LINE). ``f`` are the features of number and title."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sound: set[str] = set()
         for batch in batches:
-            names, ids, docs, kinds, pages, places, texts = (c.to_pylist() for c in batch.columns)
-            out: list[tuple] = []
-            for name, row, doc, kind, page, pos, text in zip(names, ids, docs, kinds, pages, places, texts, strict=True):
-                here = (name, row, doc, kind, page, pos)
-                lead = None
+            out: list[tuple] = []  # (row in the batch, sign, value), and of some the features
+            features, sizes = array("f"), array("i")
+            for at, kind, text in zip(range(batch.num_rows), batch.column(3).to_pylist(), batch.column(6).to_pylist(), strict=True):
+                whole = text
                 if kind != "CELL":
-                    hyphen = _HAS_HYPHEN.search(text)
-                    lines = [text] if kind == "LINE" else _LINE_BREAK.split(text)
+                    lines = _lines(text)
+                    hyphen = _has_hyphen(lines)
                     if kind == "LINE":
+                        lines = [text]
                         if hyphen and _CUT_ODD.search(text):
-                            out.append((*here, "odd", None, None))
-                        m = TOKEN.search(text.lower())
-                        lead = m.group() if m and text.lstrip()[:1].islower() else None
+                            out.append((at, "odd", None))
                     if hyphen:
                         full = [x for x in lines if x.strip()]
                         for i, line in enumerate(full):
-                            m = _END.search(line)
+                            m = _END.search(line) if line.rstrip()[-1:] in _SIGN_SET else None
                             if m and not m.group(1).isdigit():  # a number is no part of a word
                                 ahead = _ahead(full, i + 1)
-                                out.append((*here, "pair" if ahead else "end", MARK.join((m.group(1), m.group(2), *([ahead] if ahead else []))), None))
+                                out.append((at, "pair" if ahead else "end", MARK.join((m.group(1), m.group(2), *([ahead] if ahead else [])))))
                     for line in lines:
+                        if len(line) > 130:
+                            continue
                         number = _number_line(line)
                         if number:
-                            out.append((*here, "number", *number))
-                        if len(line) <= 130:
-                            t = _title(line)
-                            if t:
-                                out.append((*here, "titlen" if t[1] else "title", line_key(t[0]), t[2]))
+                            sizes.extend([*[0] * (len(out) - len(sizes)), len(number[1])])
+                            features.extend(number[1])
+                            out.append((at, "number", number[0]))
+                        t = _title(line)
+                        if t:
+                            sizes.extend([*[0] * (len(out) - len(sizes)), len(t[2])])
+                            features.extend(t[2])
+                            out.append((at, "titlen" if t[1] else "title", line_key(t[0])))
                     if hyphen:
-                        text = _closed(text)
-                for w in set(TOKEN.findall(text.lower())) - trusted:
-                    if not _NO_WORD.match(w):
-                        out.append((*here, "lead" if w == lead else "word", w, None))
-            cols = list(zip(*out, strict=True)) if out else [()] * len(fields)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=fields)
+                        text = _joined(text)
+                pieces = set(text.split())
+                pieces -= sound
+                if pieces:
+                    words = set()
+                    for piece in pieces:
+                        told = [w for w in TOKEN.findall(piece.lower()) if w not in trusted and not _NO_WORD.match(w)]
+                        words.update(told)
+                        if not told:
+                            sound.add(piece)
+                    if len(sound) > SOUND_PIECES:
+                        sound.clear()
+                    if words:
+                        m = TOKEN.search(whole.lower()) if kind == "LINE" and whole.lstrip()[:1].islower() else None
+                        lead = m.group() if m else None
+                        out += [(at, "lead" if w == lead else "word", w) for w in words]
+            rows, signs, values = zip(*out, strict=True) if out else ((), (), ())
+            rows = pa.array(rows, pa.int32())
+            sizes.extend([0] * (len(out) - len(sizes)))
+            n = np.array(sizes, dtype=np.int32)
+            f = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.array(features, dtype=np.float32)), mask=pa.array(n == 0))
+            yield pa.RecordBatch.from_arrays([*[batch.column(i).take(rows).cast(types[i]) for i in range(6)], pa.array(signs, pa.string()), pa.array(values, pa.string()), f], names=fields)
 
     fields = [x.split()[0] for x in SIGNS_SCHEMA.split(", ")]
     kinds_of = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "array<float>": pa.list_(pa.float32())}
@@ -474,6 +516,11 @@ def line_signs(u: DataFrame, trusted: frozenset[str]) -> DataFrame:
         run, SIGNS_SCHEMA)
 
 
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """A column of lists of one length as a matrix, without a Python object per value."""
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(lists), -1)
+
+
 def _taught(rows: DataFrame, label: str, features: str, model: BoostedTrees | None = None, weight: str | None = None) -> BoostedTrees:
     """Trees (``model``) fitted on all ``rows``, which stand ``weight`` times each.
 
@@ -488,12 +535,13 @@ def _taught(rows: DataFrame, label: str, features: str, model: BoostedTrees | No
     got = counted.agg(*[F.percentile(F.col("x")[i].cast("double"), cuts, F.col("n")).alias(f"e{i}") for i in range(any_row[0])]).first()
     edges = [np.unique(np.array(e)) for e in got]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                yield pd.DataFrame({"y": f.y, "b": [b.tobytes() for b in in_bins(np.array(f.x.tolist(), dtype=float), edges)], "n": f.n})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                bins = pa.array([r.tobytes() for r in in_bins(_matrix(b.column(1)), edges)], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0), bins, b.column(2)], names=["y", "b", "n"])
 
-    binned = counted.mapInPandas(run, "y boolean, b binary, n long").groupBy("y", "b").agg(F.sum("n").alias("n")).toPandas()
+    binned = counted.mapInArrow(run, "y boolean, b binary, n long").groupBy("y", "b").agg(F.sum("n").alias("n")).toPandas()
     binned["b"] = binned.b.map(bytes)
     binned = binned.sort_values(["b", "y"])  # sums of floats depend on the order
     bins = np.frombuffer(b"".join(binned.b), dtype=np.uint8).reshape(len(binned), len(edges))
@@ -504,12 +552,13 @@ def _scored(rows: DataFrame, model: BoostedTrees, features: str, name: str = "sc
     """``rows`` with the probability the trees give to ``features``."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                yield f.assign(**{name: model.predict(np.array(f[features].tolist(), dtype=float))})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                score = pa.array(model.predict(_matrix(b.column(b.schema.get_field_index(features)))), pa.float64())
+                yield pa.RecordBatch.from_arrays([*b.columns, score], names=[*b.schema.names, name])
 
-    return rows.mapInPandas(run, f"{fields}, {name} double")
+    return rows.mapInArrow(run, f"{fields}, {name} double")
 
 
 def headers(signs: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime
 from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -144,6 +146,76 @@ def test_trees_are_taught_by_all_rows(spark) -> None:  # noqa: ANN001
     assert np.allclose(scan_repair._taught(weighted, "y", "x", weight="times").predict(asked), want.predict(asked), atol=1e-9)
 
 
+class _Task:
+    """Takes the function that tasks run from a plan, and runs it on texts."""
+
+    def select(self, *_) -> _Task:  # noqa: ANN002
+        return self
+
+    groupBy = agg = select  # noqa: N815
+
+    def mapInArrow(self, run, schema) -> _Task:  # noqa: ANN001, N802
+        self.run = run
+        return self
+
+    def rows(self, names: str, *batches: list[tuple]) -> list[tuple]:
+        made = (pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*b, strict=True)], names=names.split()) for b in batches)
+        return [r for b in self.run(made) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+
+
+def test_words_are_looked_at_once_per_task(spark, monkeypatch) -> None:  # noqa: ANN001
+    class Scans:
+        def __init__(self, pattern: re.Pattern) -> None:
+            self.pattern, self.signs = pattern, 0
+
+        def findall(self, text: str) -> list[str]:
+            self.signs += len(text)
+            return self.pattern.findall(text)
+
+        def search(self, text: str) -> re.Match | None:
+            self.signs += len(text)
+            return self.pattern.search(text)
+
+    scans = Scans(scan_repair.TOKEN)
+    monkeypatch.setattr(scan_repair, "TOKEN", scans)
+    sound = "Children explore familiar materials, and families\u2003provide\x1clearning support."
+    texts = [sound] * 300 + [f"{sound} F\u00e9 m0rning{i}\ngarden-\ning exp1ore" for i in range(4)]
+    words = [*sound.lower().replace(",", "").replace(".", "").split(), "f\u00e9", "gardening", "exp1ore"]
+    counted = _Task()
+    scan_repair.word_counts(counted)
+    rows = counted.rows("text", [(t,) for t in texts[:150]], [(t,) for t in texts[150:]])
+    assert {w: n for k, w, n in rows if k == "word"} == {w: 304 if w in sound.lower() else 4 for w in words if len(w) > 2} | {f"m0rning{i}": 1 for i in range(4)}
+    signs = _Task()
+    scan_repair.line_signs(signs, frozenset(words) - {"exp1ore"})
+    blocks = [("text_blocks", i, "d", "LAYOUT_TEXT", 1, i, t) for i, t in enumerate(texts)]
+    rows = signs.rows("table_name row_id doc kind page pos text", blocks[:150], blocks[150:])
+    assert sorted((r[1], r[7]) for r in rows if r[6] == "word") == sorted((300 + i, w) for i in range(4) for w in ("exp1ore", f"m0rning{i}"))
+    assert [(r[1], re.split("[\x1d\x1f]", r[7])[:3]) for r in rows if r[6] == "pair"] == [(300 + i, ["garden", "-", "ing"]) for i in range(4)]
+    assert scans.signs < 0.05 * sum(map(len, texts))
+
+
+def test_keys_and_scores_without_rows_in_python(spark) -> None:  # noqa: ANN001
+    for line in ("Ages 30\u201347  \u00a7 5!", "\u00c9arn rtnn mwvd @q9 Cu2|t", "", "\u0130l\u1e9e"):
+        want = line_key_by_table(line)
+        assert scan_repair.line_key(line) == want
+    rows = spark.range(500).select("id", F.array(F.col("id") % 7, F.col("id") % 3).cast("array<float>").alias("x"))
+    whole = rows.toPandas()
+    x = np.array(whole.x.tolist(), dtype=float)
+    model = boost.BoostedTrees().fit(x, (x[:, 0] > 3) & (x[:, 1] > 0))
+    scored = scan_repair._scored(rows, model, "x")
+    assert "MapInArrow" in scored._jdf.queryExecution().toString()
+    got = scored.orderBy("id").toPandas()
+    assert got.columns.tolist() == ["id", "x", "score"] and np.allclose(got.score, model.predict(x))
+    assert scan_repair._scored(rows.where("id < 0"), model, "x").count() == 0
+
+
+def line_key_by_table(line: str) -> str:
+    t = " ".join(line.lower().split())
+    for a, b in scan_repair._PARTS:
+        t = t.replace(a, b)
+    return t.translate(str.maketrans(scan_repair._SAME, scan_repair._AS))
+
+
 def test_noise_of_empty_tables(spark) -> None:  # noqa: ANN001
     a, b = _scan(spark)
     assert scan_repair.noise(a.limit(0), b.limit(0)).count() == 0
